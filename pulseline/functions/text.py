@@ -1,7 +1,9 @@
-"""Column expressions for reading fields out of a comma-separated line and for writing text cells."""
+"""Expressions for reading fields out of a comma-separated line and for writing text cells."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,42 +15,38 @@ DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 LEADING_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})([^0-9].*)?$"
 LEADING_DATE = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})([^0-9].*)?$"
 
+# Fields of the line in `value`; trailing empty fields do not count.
+SPLIT_FIELDS = "split(rtrim(',', value), ',')"
+
 
-def compute_once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
-    """`keep` plus new columns that are evaluated once per row.
+def compute_once(df: DataFrame, keep: Iterable[str], columns: dict[str, str]) -> DataFrame:
+    """The columns `keep` plus new columns, given as SQL expressions, that are evaluated once per row.
 
     A plain projection would be copied by the optimizer into every later filter and expression that uses it; a
     generator over a one-element array is not.
     """
-    made = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select(*keep, F.inline(F.array(made)))
-
-
-def split_fields(value: Column) -> Column:
-    """Fields of a line; trailing empty fields do not count."""
-    return F.split(F.regexp_replace(value, ",+$", ""), ",")
+    made = ", ".join(f"'{name}', {expression}" for name, expression in columns.items())
+    return df.select(*keep, F.expr(f"inline(array(named_struct({made})))"))
 
 
-def field(fields: Column, position: int) -> Column:
+def field(fields: str, position: int) -> str:
     """One field, NULL when the line is too short."""
-    return F.element_at(fields, -1) if position == LAST else F.get(fields, F.lit(position))
+    return f"element_at({fields}, -1)" if position == LAST else f"get({fields}, {position})"
 
 
-def parse(raw: Column, kind: str, date_only: bool = False) -> Column:
+def parse(raw: str, kind: str, date_only: bool = False) -> str:
     """A typed value, NULL when the text is not of that type."""
     if kind == "text":
         return raw
     if kind == "time":
-        if date_only:
-            return F.try_to_timestamp(F.regexp_extract(raw, LEADING_DATE, 1), F.lit("yyyy-M-d"))
-        return F.try_to_timestamp(F.regexp_extract(raw, LEADING_TIME, 1), F.lit("yyyy-M-d H:m:s"))
+        return f"try_cast(regexp_extract({raw}, r'{LEADING_DATE if date_only else LEADING_TIME}', 1) AS timestamp)"
     guard, target = {
         "long": (INTEGER, "bigint"),
         "int": (INTEGER, "int"),
         "money": (DECIMAL, MONEY),
         "double": (DECIMAL, "double"),
     }[kind]
-    return F.when(raw.rlike(guard), raw.try_cast(target))
+    return f"CASE WHEN {raw} RLIKE r'{guard}' THEN try_cast({raw} AS {target}) END"
 
 
 def time_text(ts: Column, fmt: str = TIME_FORMAT) -> Column:
@@ -64,12 +62,8 @@ def percent_text(part: Column, whole: Column) -> Column:
     """100 * part / whole with one decimal, rounded half up, in whole-number arithmetic."""
     part, whole = part.cast("bigint"), whole.cast("bigint")
     tenths = F.call_function("div", 2000 * part + whole, 2 * whole)
-    return F.concat(
-        F.call_function("div", tenths, F.lit(10)).cast("string"),
-        F.lit("."),
-        (tenths % 10).cast("string"),
-        F.lit("%"),
-    )
+    whole_part = F.call_function("div", tenths, F.lit(10)).cast("string")
+    return F.concat(whole_part, F.lit("."), (tenths % 10).cast("string"), F.lit("%"))
 
 
 def top_text(items: Column, value) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, text
@@ -61,28 +61,25 @@ def decode(
         raise ValueError(f"on_bad: {on_bad}")
     required = tuple(name for name, _, _ in layout) if required is None else required
     line = ["value", "arrival", "arrival_ts"]
-    fields = text.compute_once(lines.select(*line), line, _fields=text.split_fields(F.col("value")))
-    typed = {name: text.parse(text.field(F.col("_fields"), position), kind, date_only) for name, position, kind in layout}
-    furthest = max((position for name, position, _ in layout if name in required), default=0)
-    typed["_short"] = F.size("_fields") <= max(furthest, 0)
-    parsed = text.compute_once(fields, line, **typed)
+    fields = text.compute_once(lines.select(*line), line, {"_fields": text.SPLIT_FIELDS})
+    furthest = max([position for name, position, _ in layout if name in required] + [0])
+    typed = {name: text.parse(text.field("_fields", position), kind, date_only) for name, position, kind in layout}
+    parsed = text.compute_once(fields, line, {**typed, "_short": f"size(_fields) <= {furthest}"})
     reason = _reason([(name, kind) for name, _, kind in layout if name in required])
     if on_bad == "fail":
-        message = F.concat(F.lit("malformed line: "), F.col("value"))
-        reason = F.when(reason.isNotNull(), F.raise_error(message).cast("string"))
-    names = [name for name, _, _ in layout]
-    rows = parsed.where(reason.isNull()).select(*names, "arrival", "arrival_ts")
-    rejects = parsed.select(*line, reason.alias("reason")).where(F.col("reason").isNotNull())
+        reason = f"CASE WHEN {reason} IS NOT NULL THEN CAST(raise_error(concat('malformed line: ', value)) AS string) END"
+    rows = parsed.where(f"{reason} IS NULL").select(*typed, "arrival", "arrival_ts")
+    rejects = parsed.select(*line, F.expr(reason).alias("reason")).where("reason IS NOT NULL")
     return Decoded(rows, rejects)
 
 
-def _reason(fields: list[tuple[str, str]]) -> Column:
-    reason = F.when(F.col("_short"), SHORT)
-    for wanted in (BAD_NUMBER, BAD_TIME):
-        for name, kind in fields:
-            if REASON_OF_TYPE.get(kind) == wanted:
-                reason = reason.when(F.col(name).isNull(), wanted)
-    return reason
+def _reason(fields: list[tuple[str, str]]) -> str:
+    cases = [f"WHEN _short THEN '{SHORT}'"]
+    for reason in (BAD_NUMBER, BAD_TIME):
+        bad = [f"{name} IS NULL" for name, kind in fields if REASON_OF_TYPE.get(kind) == reason]
+        if bad:
+            cases.append(f"WHEN {' OR '.join(bad)} THEN '{reason}'")
+    return f"(CASE {' '.join(cases)} END)"
 
 
 def reject_counts(*decoded: Decoded) -> DataFrame:

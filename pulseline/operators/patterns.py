@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import codes, text
 from ..session import cut_lineage
 from . import holds
-from .ranges import RANGE, Ranges, plan_ranges, split_hot
+from .ranges import RANGE, Ranges, plan_ranges, shuffled_once, split_hot
 from .running import previous_value, running_sums
 
 # Stretches of one key that are joined in one task.
 FAN_IN = 16
 
+ALERT = ["key", "alert", "last", "pending"]
 STRETCH = "first bigint, last bigint, reset boolean, fresh bigint, entries array<bigint>, leaves array<bigint>"
 
 
@@ -41,9 +43,10 @@ def hold_alerts(
     `last_match_time`. It alerts when start + hold has passed, which a later reading of the key or the end of the
     data shows, and the next match starts a new hold.
 
-    Readings are folded per key. A key with too many readings for one task is cut into time ranges that are folded
-    in parallel: each range is summed up as a map from pending hold to pending hold, the maps are joined in a tree,
-    and with the pending hold known at each range's beginning all ranges raise their alerts independently.
+    Readings are sorted by key and time and folded batch by batch, so no key has to fit in memory. A key with too many
+    readings for one task is cut into time ranges that are folded in parallel: each range is summed up as a map from
+    pending hold to pending hold, the maps are joined in a tree, and with the pending hold known at each range's
+    beginning all ranges raise their alerts independently.
     """
     hold_us = duration_micros(hold)
     readings = df.select(
@@ -54,18 +57,33 @@ def hold_alerts(
     ).where(F.col("t").isNotNull())
     ranges = ranges or plan_ranges(readings, "t", min_ranges=1)
     cold, hot = split_hot(readings, "key", "t", ranges)
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["t", "order"])
-        match = pdf["match"].to_numpy(dtype=bool)
-        return _alert_rows(pdf["key"].iloc[0], *holds.walk(pdf["t"].to_numpy(), ~match, match, hold_us), hold_us)
-
+    cold = shuffled_once(cold, "key")
     key_type = readings.schema["key"].dataType.simpleString()
-    alerts = cold.groupBy("key").applyInPandas(fold, f"key {key_type}, alert bigint, last bigint, pending boolean")
+    schema = f"key {key_type}, alert bigint, last bigint, pending boolean"
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Sorted by key and time: a key's readings follow each other, over several batches if need be.
+        key = start = last = None
+        for pdf in batches:
+            keys, t = pdf["key"].to_numpy(), pdf["t"].to_numpy()
+            match = pdf["match"].to_numpy(dtype=bool)
+            edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            rows: list[tuple] = []
+            for lo, hi in zip(edges, edges[1:]):
+                if keys[lo] != key:
+                    rows += _alert_rows(key, [], start, last, hold_us)
+                    key, start, last = keys[lo], None, None
+                alerts, start, last = holds.walk(t[lo:hi], ~match[lo:hi], match[lo:hi], hold_us, start, last)
+                rows += _alert_rows(key, alerts, None, None, hold_us)
+            yield pd.DataFrame(rows, columns=ALERT)
+        yield pd.DataFrame(_alert_rows(key, [], start, last, hold_us), columns=ALERT)
+
+    alerts = cold.sortWithinPartitions("key", "t", "order").select("key", "t", "match").mapInPandas(fold, schema)
+    end = cold.agg(F.max("t")).scalar()
     if hot is not None:
-        alerts = alerts.unionByName(_hot_alerts(hot, hold_us, key_type, ranges.count))
+        alerts = alerts.unionByName(_hot_alerts(hot, hold_us, key_type, schema, ranges.count))
+        end = F.greatest(end, hot.agg(F.max("t")).scalar())
     # A hold still pending at the end of a key's readings alerts when the data go on past its deadline.
-    end = readings.agg(F.max("t")).scalar()
     return alerts.where(~F.col("pending") | (F.col("alert") < end)).select(
         F.col("key").alias(key),
         F.timestamp_micros("alert").alias("alert_time"),
@@ -73,14 +91,14 @@ def hold_alerts(
     )
 
 
-def _alert_rows(key, alerts, start, last, hold: int, final: bool = True) -> pd.DataFrame:
+def _alert_rows(key, alerts, start, last, hold: int) -> list[tuple]:
     rows = [(key, alert, seen, False) for alert, seen in alerts]
-    if final and start is not None:
+    if start is not None:
         rows.append((key, start + hold, last, True))
-    return pd.DataFrame(rows, columns=["key", "alert", "last", "pending"])
+    return rows
 
 
-def _hot_alerts(readings: DataFrame, hold: int, key_type: str, range_count: int) -> DataFrame:
+def _hot_alerts(readings: DataFrame, hold: int, key_type: str, schema: str, range_count: int) -> DataFrame:
     # Merge readings of the same key and time: a reset if any is one, a match if the last is one.
     merged = readings.groupBy("key", RANGE, "t").agg(
         F.bool_or(~F.col("match")).alias("reset"), F.max_by("match", "order").alias("match")
@@ -112,13 +130,15 @@ def _hot_alerts(readings: DataFrame, hold: int, key_type: str, range_count: int)
         pdf = pdf.sort_values("t")
         columns = [pdf[c].to_numpy() for c in ("t", "reset", "match")]
         start, seen = (None if pd.isna(v) else int(v) for v in (pdf["start"].iloc[0], pdf["seen"].iloc[0]))
-        walked = holds.walk(*columns, hold, start, seen)
-        return _alert_rows(key[0], *walked, hold, bool(pdf["final"].iloc[0]))
+        alerts, start, seen = holds.walk(*columns, hold, start, seen)
+        if not pdf["final"].iloc[0]:
+            start = None
+        return pd.DataFrame(_alert_rows(key[0], alerts, start, seen, hold), columns=ALERT)
 
     return (
         merged.join(entering, ["key", RANGE])
         .groupBy("key", RANGE)
-        .applyInPandas(raise_alerts, f"key {key_type}, alert bigint, last bigint, pending boolean")
+        .applyInPandas(raise_alerts, schema)
     )
 
 

@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import compute_once
+
 TARGET_ROWS = 4_000_000
 MAX_RANGES = 10_000
 SAMPLE_PER_RANGE = 200
@@ -34,10 +36,9 @@ class Ranges:
 
 
 def order_number(df: DataFrame, order: str) -> Column:
-    """The order column as a number; times count in seconds."""
-    if dict(df.dtypes)[order] == "timestamp":
-        return F.unix_micros(order) / 1_000_000
-    return F.col(order).cast("double")
+    """The order column as a number; times count in microseconds."""
+    number = F.unix_micros(order) if dict(df.dtypes)[order] == "timestamp" else F.col(order)
+    return number.cast("double")
 
 
 def plan_ranges(df: DataFrame, order: str, *, target_rows: int = TARGET_ROWS, min_ranges: int | None = None) -> Ranges:
@@ -70,6 +71,16 @@ def with_range(df: DataFrame, order: str, ranges: Ranges, name: str = RANGE) ->
     return tagged.withColumn(name, F.col(name).cast("int")).drop("_number")
 
 
+def shuffled_once(df: DataFrame, *keys: str) -> DataFrame:
+    """`df` shuffled by `keys`, for plans that use it twice.
+
+    Both uses need the same columns of the shuffle (the generator keeps the optimizer from pruning them for one of
+    them), so Spark runs it once and reads its output twice. Aggregates, windows and joins on the keys need no other
+    shuffle.
+    """
+    return compute_once(df.repartition(*keys), keys, {c: f"`{c}`" for c in df.columns if c not in keys})
+
+
 def hot_keys(df: DataFrame, key: str, ranges: Ranges) -> DataFrame | None:
     """Keys with more than `target_rows` rows, or None.
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import codes, text
-from .ranges import RANGE, Ranges, plan_ranges, split_hot, with_range
+from .ranges import RANGE, Ranges, plan_ranges, shuffled_once, split_hot, with_range
 from .routing import is_sale
 
 BEFORE = (Window.unboundedPreceding, -1)
@@ -18,9 +18,9 @@ def running_sums(
 ) -> DataFrame:
     """Adds running sums of `increments` in the order of the unique column `order`, over all rows or per key.
 
-    Over all rows, the rows are cut into ranges: every range is summed up (a partial aggregate), the few range totals
-    are turned into the carry of each range, and the running sum inside a range starts from its carry. Per key, a
-    plain window does; only keys too large for one task are cut into ranges. Sums are exact for whole numbers and
+    Over all rows, the rows are cut into ranges and shuffled by range once: every range is summed up, the few range
+    totals are turned into the carry of each range, and the running sum inside a range starts from its carry. Per key,
+    a plain window does; only keys too large for one task are cut into ranges. Sums are exact for whole numbers and
     decimals.
     """
     ranges = ranges or plan_ranges(df, order, min_ranges=None if key is None else 1)
@@ -36,16 +36,21 @@ def running_sums(
 
 def _sums_in_ranges(df: DataFrame, key: list[str], order: str, increments: dict[str, Column]) -> DataFrame:
     place = [*key, RANGE]
-    totals = df.groupBy(*place).agg(*[F.sum(c).alias(name) for name, c in increments.items()])
+    made = [c.alias(f"_{name}") for name, c in increments.items()]
+    rows = shuffled_once(df.select("*", *made), *place)
+    totals = rows.groupBy(*place).agg(*[F.sum(f"_{name}").alias(name) for name in increments])
     # One row per range (and hot key): MAX_RANGES rows at most per key.
     earlier = Window.partitionBy(*key).orderBy(RANGE).rowsBetween(*BEFORE)
-    carry = totals.select(*place, *[F.sum(name).over(earlier).alias(f"_{name}") for name in increments])
+    carry = totals.select(*place, *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in increments])
     if not key:
         carry = F.broadcast(carry)
     inside = Window.partitionBy(*place).orderBy(order).rowsBetween(*UP_TO_HERE)
-    return df.join(carry, place).select(
-        *[c for c in df.columns if c != RANGE],
-        *[(F.sum(c).over(inside) + F.coalesce(F.col(f"_{n}"), F.lit(0))).alias(n) for n, c in increments.items()],
+
+    def value(name):
+        return F.sum(f"_{name}").over(inside) + F.coalesce(F.col(f"_before_{name}"), F.lit(0))
+
+    return rows.join(carry, place, "left").select(
+        *[c for c in df.columns if c != RANGE], *[value(name).alias(name) for name in increments]
     )
 
 
@@ -59,6 +64,7 @@ def previous_value(
     if hot is None:
         return result
     place = [key, RANGE]
+    hot = shuffled_once(hot, *place)
     last = hot.groupBy(*place).agg(F.max_by(column, order).alias("_last"))
     carry = last.select(*place, F.lag("_last").over(Window.partitionBy(key).orderBy(RANGE)).alias("_carry"))
     inside = Window.partitionBy(*place).orderBy(order)

@@ -20,6 +20,8 @@ RUNTIME_SETTINGS = {
 START_SETTINGS = {
     "spark.ui.enabled": "false",
     "spark.python.unix.domain.socket.enabled": "true",
+    # Call sites of column expressions are only needed for debugging and make plans slow to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

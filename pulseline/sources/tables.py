@@ -6,122 +6,90 @@ A few lines are made malformed on purpose, by a rule on the key.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions import codes
 from ..functions.text import compute_once
 
-UNPADDED = "yyyy-M-d H:mm:ss"
+UNPADDED = "'yyyy-M-d H:mm:ss'"
+PADDED = f"'{codes.TIME_FORMAT}'"
 
-# Columns that tell rows of one order apart.
-DETAIL_ORDER = (
-    "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
-)
+ORDER_STATUS = f"""CASE o_orderpriority WHEN '1-URGENT' THEN '{codes.CREATED}' WHEN '2-HIGH' THEN '{codes.PAID}'
+  WHEN '3-MEDIUM' THEN '{codes.COMPLETED}' WHEN '4-NOT SPECIFIED' THEN '{codes.CANCELLED}'
+  ELSE CASE WHEN o_orderstatus = 'O' THEN '{codes.REFUND_REQUESTED}' ELSE '{codes.REFUNDED}' END END"""
+MACHINE_STATUS = f"""CASE event_type WHEN 'error' THEN '{codes.WARNING}' WHEN 'view' THEN '{codes.RUNNING}'
+  WHEN 'click' THEN '待机' WHEN 'signup' THEN '离线' WHEN 'purchase' THEN '维修' END"""
+EVENT_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS int)"
+
+# Numbers the lines of one order. An order has a handful of lines; all columns together tell them apart.
+LINE_OF_ORDER = """row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+  l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)"""
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table. A table of fewer pieces than cores would be decoded by few tasks, so its rows are spread."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
-def _lines(df: DataFrame, arrival: Column, arrival_ts: Column, bad: Column, bad_line: Column, *fields) -> DataFrame:
-    value = F.when(bad, bad_line).otherwise(F.concat_ws(",", *fields))
-    return compute_once(df, [arrival.alias("arrival"), arrival_ts.alias("arrival_ts")], value=value).select(
-        "value", "arrival", "arrival_ts"
-    )
+def _lines(df: DataFrame, arrival: str, arrival_ts: str, fields: list[str], bad: str = "false", bad_line: str = "''"):
+    """(value, arrival, arrival_ts) from SQL expressions; lines with `bad` become `bad_line`."""
+    value = f"CASE WHEN {bad} THEN {bad_line} ELSE concat_ws(',', {', '.join(fields)}) END"
+    return compute_once(df, [], {"value": value, "arrival": arrival, "arrival_ts": f"CAST({arrival_ts} AS timestamp)"})
 
 
-def _text(c: str) -> Column:
-    return F.lit(c)
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    fields = [
+        "o_orderkey", "c_name", "concat('tel-', c_custkey)",
+        "CASE WHEN o_orderkey % 101 = 5 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS decimal(12,2)) AS string) END",
+        ORDER_STATUS, "c_custkey", "'addr'", "'note'", "'trade'", "'body'",
+        f"date_format(CAST(o_orderdate AS timestamp), {UNPADDED})",
+        f"date_format(CAST(o_orderdate AS timestamp) + make_dt_interval(0, 0, 0, o_orderkey % 86400), {UNPADDED})",
+        "c_nationkey", "'5'",
+    ]
+    joined = orders.join(customer, "c_custkey")
+    return _lines(joined, "o_orderkey", "o_orderdate", fields, "o_orderkey % 97 = 3", "concat('bad,', o_orderkey)")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    key, priority = F.col("o_orderkey"), F.col("o_orderpriority")
-    status = (
-        F.when(priority == "1-URGENT", codes.CREATED)
-        .when(priority == "2-HIGH", codes.PAID)
-        .when(priority == "3-MEDIUM", codes.COMPLETED)
-        .when(priority == "4-NOT SPECIFIED", codes.CANCELLED)
-        .when(F.col("o_orderstatus") == "O", codes.REFUND_REQUESTED)
-        .otherwise(codes.REFUNDED)
-    )
-    created = F.col("o_orderdate").cast("timestamp")
-    operated = created + F.make_dt_interval(secs=key % 86400)
-    amount = F.when(key % 101 == 5, "n/a").otherwise(F.col("o_totalprice").cast("decimal(12,2)").cast("string"))
-    return _lines(
-        orders.join(customer, orders.o_custkey == customer.c_custkey),
-        key,
-        created,
-        key % 97 == 3,
-        F.concat(_text("bad,"), key.cast("string")),
-        key, F.col("c_name"), F.concat(_text("tel-"), F.col("c_custkey").cast("string")), amount, status,
-        F.col("o_custkey"), _text("addr"), _text("note"), _text("trade"), _text("body"),
-        F.date_format(created, UNPADDED), F.date_format(operated, UNPADDED), F.col("c_nationkey"), _text("5"),
-    )
+def order_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival numbers of the order lines."""
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS arrival")
 
 
 def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Order numbers have a handful of lines each; the row number only tells those apart.
-    in_order = Window.partitionBy("l_orderkey").orderBy(*DETAIL_ORDER)
-    items = table(spark, sf_dir, "lineitem").withColumn(
-        "arrival", F.col("l_orderkey") * 100 + F.row_number().over(in_order)
-    )
-    arrival, shipped = F.col("arrival"), F.col("l_shipdate").cast("timestamp")
-    return _lines(
-        items,
-        arrival,
-        shipped,
-        arrival % 89 == 7,
-        _text("bad"),
-        arrival, F.col("l_orderkey"), F.col("l_partkey"), _text("sku"),
-        F.col("l_extendedprice").cast("decimal(12,2)").cast("string"), F.col("l_quantity").cast("int"),
-        F.date_format(shipped, codes.TIME_FORMAT),
-    )
-
-
-def _event_lines(spark: SparkSession, sf_dir: str, bad: Column, bad_line: Column, *fields) -> DataFrame:
-    ts = F.col("ts").cast("timestamp")
-    events = (
-        table(spark, sf_dir, "events")
-        .withColumn("time", F.date_format(ts, codes.TIME_FORMAT))
-        .withColumn("k", F.regexp_extract("props", "([0-9]+)", 1).cast("int"))
-    )
-    return _lines(events, F.col("event_id"), ts, bad, bad_line, F.col("event_id"), F.col("user_id"), *fields)
-
-
-def _bad_event(modulus: int, rest: int) -> Column:
-    return F.col("event_id") % modulus == rest
+    items = table(spark, sf_dir, "lineitem").selectExpr("*", f"l_orderkey * 100 + {LINE_OF_ORDER} AS number")
+    fields = [
+        "number", "l_orderkey", "l_partkey", "'sku'", "CAST(l_extendedprice AS decimal(12,2))",
+        "CAST(l_quantity AS int)", f"date_format(CAST(l_shipdate AS timestamp), {PADDED})",
+    ]
+    return _lines(items, "number", "l_shipdate", fields, "number % 89 = 7", "'bad'")
+
+
+def detail_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival numbers of the detail lines, up to the line number inside an order."""
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey * 100 AS arrival")
+
+
+def _event_lines(spark: SparkSession, sf_dir: str, fields: list[str], bad: str = "false", bad_line: str = "''"):
+    events = table(spark, sf_dir, "events")
+    return _lines(events, "event_id", "ts", ["event_id", "user_id", *fields], bad, bad_line)
 
 
 def change_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.col("event_type")
-    status = (
-        F.when(kind == "error", codes.WARNING)
-        .when(kind == "view", codes.RUNNING)
-        .when(kind == "click", "待机")
-        .when(kind == "signup", "离线")
-        .when(kind == "purchase", "维修")
-    )
-    bad_line = F.concat(_text("bad,"), F.col("event_id").cast("string"))
-    return _event_lines(
-        spark, sf_dir, _bad_event(83, 9), bad_line, _text("0000"), status, F.col("time"), _text("x"), F.col("k")
-    )
+    time = f"date_format(CAST(ts AS timestamp), {PADDED})"
+    fields = ["'0000'", MACHINE_STATUS, time, "'x'", EVENT_NUMBER]
+    return _event_lines(spark, sf_dir, fields, "event_id % 83 = 9", "concat('bad,', event_id)")
 
 
 def produce_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    time = F.col("time")
-    return _event_lines(
-        spark, sf_dir, F.lit(False), _text(""), _text("0000"), time, time, time,
-        _text("11560"), _text("1900-01-01 00:00:00"), _text("184962"), F.col("k") % 2,
-    )
+    time = f"date_format(CAST(ts AS timestamp), {PADDED})"
+    fields = ["'0000'", time, time, time, "'11560'", "'1900-01-01 00:00:00'", "'184962'", f"{EVENT_NUMBER} % 2"]
+    return _event_lines(spark, sf_dir, fields)
 
 
 def environment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    temperature = F.col("value").cast("decimal(10,2)").cast("string")
-    return _event_lines(
-        spark, sf_dir, _bad_event(79, 11), _text("x,y"),
-        _text("a"), _text("b"), _text("c"), temperature, _text("d"),
-    )
+    fields = ["'a'", "'b'", "'c'", "CAST(value AS decimal(10,2))", "'d'"]
+    return _event_lines(spark, sf_dir, fields, "event_id % 79 = 11", "'x,y'")
