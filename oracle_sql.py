@@ -464,7 +464,7 @@ def oracle_sql() -> dict[str, str]:
             DAY,
             f"'warning_last3min_everymin_out' AS key, {_us_text('window_end')} AS field, machine_id AS value",
         ),
-        "sink_row_upsert": _join_latest(30 * DAY, f"CAST(id AS VARCHAR) AS row_key, {JOIN_CELLS}"),
+        "sink_row_upsert": _join_latest(30 * DAY, f"CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, {_money_text('amount')} AS orderprice, CAST(num AS VARCHAR) AS orderdetailcount"),
         "cancelled_orders_upsert": f"""{ORDERS} SELECT {ORDER_CELLS} FROM (SELECT *, row_number() OVER
           (PARTITION BY id ORDER BY arrival DESC) AS place FROM o WHERE status = '1003') WHERE place = 1""",
         "sink_jdbc_append_order_info": f"""{ORDERS} SELECT CAST(id AS VARCHAR) AS id, consignee, consignee_tel,

@@ -18,8 +18,8 @@ def _details_side(details: DataFrame, size: str, time: str) -> DataFrame:
     )
 
 
-def _cells(joined: DataFrame) -> DataFrame:
-    return joined.select(
+def pair_cells(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         "id",
         text.money_text(F.col("amount")).alias("orderprice"),
         F.col("num").cast("string").alias("orderdetailcount"),
@@ -31,17 +31,20 @@ def order_detail_window_join(
 ) -> DataFrame:
     """Every (order, detail) pair with the same order id and window: (id, orderprice, orderdetailcount).
 
-    An equi-join on both; adaptive execution picks the join and splits skewed partitions. Streams carry a watermark
-    on `time` on both sides.
+    An equi-join on both; adaptive execution picks the join and splits skewed partitions.
     """
-    left, right = _orders_side(orders, size, time), _details_side(details, size, time)
-    return _cells(left.drop("o_arrival").join(right.drop("d_arrival"), ["id", "w"]))
+    return pair_cells(order_detail_pairs(orders, details, size, time=time))
+
+
+def order_detail_pairs(orders: DataFrame, details: DataFrame, size: str = "1 second", *, time: str = "arrival_ts"):
+    """The pairs with the columns that order them. Streams carry a watermark on `time` on both sides."""
+    return _orders_side(orders, size, time).join(_details_side(details, size, time), ["id", "w"])
 
 
 def order_detail_latest(
     orders: DataFrame, details: DataFrame, size: str = "1 second", *, time: str = "arrival_ts"
 ) -> DataFrame:
-    """The pair that is written last per order id.
+    """The pair that is written last per order id: (id, amount, num).
 
     That is the last order row and the last detail row of the latest window that has both, so each side is reduced
     to one row per id and window before the join instead of joining all pairs.
@@ -53,4 +56,4 @@ def order_detail_latest(
     left = last(_orders_side(orders, size, time), "amount", "o_arrival")
     right = last(_details_side(details, size, time), "num", "d_arrival")
     latest = left.join(right, ["id", "w"]).groupBy("id").agg(F.max_by(F.struct("amount", "num"), "w").alias("last"))
-    return _cells(latest.select("id", "last.amount", "last.num"))
+    return latest.select("id", "last.amount", "last.num")

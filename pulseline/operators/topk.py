@@ -16,18 +16,20 @@ def user_spend(orders: DataFrame) -> DataFrame:
     return sales_orders(orders).groupBy(key.alias("key")).agg(F.sum("amount").alias("value"))
 
 
+def sku_sums(details: DataFrame, min_events: int = 2) -> DataFrame:
+    """Quantity and amount sold per product with at least `min_events` lines."""
+    sums = details.groupBy(F.col("sku_id").alias("key")).agg(
+        F.sum("num").alias("quantity"), F.sum(line_amount()).alias("amount"), F.count("*").alias("events")
+    )
+    return sums.where(F.col("events") >= min_events)
+
+
 def sku_quantity(details: DataFrame, min_events: int = 2) -> DataFrame:
-    """Quantity sold per product with at least `min_events` lines."""
-    sums = details.groupBy(F.col("sku_id").alias("key")).agg(F.sum("num").alias("value"), F.count("*").alias("events"))
-    return sums.where(F.col("events") >= min_events).select("key", "value")
+    return sku_sums(details, min_events).select("key", F.col("quantity").alias("value"))
 
 
 def sku_amount(details: DataFrame, min_events: int = 2) -> DataFrame:
-    """Amount sold per product with at least `min_events` lines."""
-    sums = details.groupBy(F.col("sku_id").alias("key")).agg(
-        F.sum(line_amount()).alias("value"), F.count("*").alias("events")
-    )
-    return sums.where(F.col("events") >= min_events).select("key", "value")
+    return sku_sums(details, min_events).select("key", F.col("amount").alias("value"))
 
 
 def top_k(sums: DataFrame, k: int) -> DataFrame:

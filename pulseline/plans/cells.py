@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes, text
+from ..operators import joins
 
 
 def cancelled_cells(orders: DataFrame) -> DataFrame:
@@ -29,8 +30,10 @@ def order_cells(orders: DataFrame) -> DataFrame:
     )
 
 
-def join_cells(joined: DataFrame) -> DataFrame:
-    return joined.select(F.col("id").cast("string").alias("row_key"), *joined.columns)
+def join_cells(pairs: DataFrame) -> DataFrame:
+    """The cells of one (order, detail) pair per order id."""
+    key = F.col("id").cast("string")
+    return joins.pair_cells(pairs).select(key.alias("row_key"), key.alias("id"), "orderprice", "orderdetailcount")
 
 
 def warning_cells(counts: DataFrame) -> DataFrame:

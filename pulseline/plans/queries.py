@@ -243,7 +243,7 @@ def _join_latest(spark, sf):
 
 
 _query("order_detail_window_join", _window_join)
-_query("order_detail_latest", _join_latest)
+_query("order_detail_latest", lambda spark, sf: joins.pair_cells(_join_latest(spark, sf)))
 
 # Patterns.
 
