@@ -105,7 +105,7 @@ def _hot_alerts(readings: DataFrame, hold: int, key_type: str, schema: str, rang
     )
     merged = cut_lineage(merged)
 
-    def summarize(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def summarize(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
         columns = [pdf[c].to_numpy() for c in ("t", "reset", "match")]
         return _stretch_rows([(key[0], key[1], holds.summarize(*columns, hold))])
@@ -126,7 +126,7 @@ def _hot_alerts(readings: DataFrame, hold: int, key_type: str, schema: str, rang
         "key", F.col("parent").alias(RANGE), "start", "seen"
     ).withColumn("final", F.lead(RANGE).over(later).isNull())
 
-    def raise_alerts(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def raise_alerts(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("t")
         columns = [pdf[c].to_numpy() for c in ("t", "reset", "match")]
         start, seen = (None if pd.isna(v) else int(v) for v in (pdf["start"].iloc[0], pdf["seen"].iloc[0]))
@@ -158,7 +158,7 @@ def _stretches(pdf: pd.DataFrame) -> Iterator[tuple[int, holds.Stretch]]:
 def _join_level(level: DataFrame, hold: int, key_type: str) -> DataFrame:
     """Joins up to FAN_IN neighbouring stretches of a key into one."""
 
-    def merge(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def merge(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         joined = None
         for _, stretch in _stretches(pdf):
             joined = stretch if joined is None else holds.join(joined, stretch, hold)
@@ -171,7 +171,7 @@ def _join_level(level: DataFrame, hold: int, key_type: str) -> DataFrame:
 def _enter_level(level: DataFrame, entering: DataFrame, hold: int, key_type: str) -> DataFrame:
     """The hold pending at the beginning of each stretch, from the one at the beginning of its parent."""
 
-    def enter(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def enter(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         start, seen = (None if pd.isna(v) else int(v) for v in (pdf["start"].iloc[0], pdf["seen"].iloc[0]))
         rows = []
         for seg, stretch in _stretches(pdf):

@@ -36,9 +36,8 @@ def running_sums(
 
 def _sums_in_ranges(df: DataFrame, key: list[str], order: str, increments: dict[str, Column]) -> DataFrame:
     place = [*key, RANGE]
-    made = [c.alias(f"_{name}") for name, c in increments.items()]
-    rows = shuffled_once(df.select("*", *made), *place)
-    totals = rows.groupBy(*place).agg(*[F.sum(f"_{name}").alias(name) for name in increments])
+    rows = shuffled_once(df, *place)
+    totals = rows.groupBy(*place).agg(*[F.sum(c).alias(name) for name, c in increments.items()])
     # One row per range (and hot key): MAX_RANGES rows at most per key.
     earlier = Window.partitionBy(*key).orderBy(RANGE).rowsBetween(*BEFORE)
     carry = totals.select(*place, *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in increments])
@@ -47,7 +46,7 @@ def _sums_in_ranges(df: DataFrame, key: list[str], order: str, increments: dict[
     inside = Window.partitionBy(*place).orderBy(order).rowsBetween(*UP_TO_HERE)
 
     def value(name):
-        return F.sum(f"_{name}").over(inside) + F.coalesce(F.col(f"_before_{name}"), F.lit(0))
+        return F.sum(increments[name]).over(inside) + F.coalesce(F.col(f"_before_{name}"), F.lit(0))
 
     return rows.join(carry, place, "left").select(
         *[c for c in df.columns if c != RANGE], *[value(name).alias(name) for name in increments]
