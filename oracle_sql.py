@@ -241,6 +241,8 @@ window_counts AS (
 
 
 WINDOW_COLUMNS = f"machine_id, {_us_text('window_start')} AS window_start, {_us_text('window_end')} AS window_end, cnt"
+# The watermark of a stream at its end, in whole milliseconds.
+STREAM_END = "(SELECT max(epoch_us(arrival_ts)) // 1000 * 1000 FROM change_lines)"
 IS_PASSED = "passed = '1'"
 IS_FLAGGED = "status = '预警' AND flag % 2 = 0"
 
@@ -449,6 +451,7 @@ def oracle_sql() -> dict[str, str]:
             3 * DAY, DAY, f"{_us_text('window_end')} AS window_end, machine_id, cnt"
         ),
         "order_detail_window_join": _join_all(30 * DAY),
+        "order_detail_window_join_1s": _join_all(SECOND),
         "order_detail_latest": _join_latest(30 * DAY),
         "hold_alerts_status": _warning_holds(30 * SECOND),
         "hold_alerts_status_6h": _warning_holds(6 * HOUR),
@@ -481,4 +484,29 @@ def oracle_sql() -> dict[str, str]:
             f"DISTINCT machine_id || '-' || {_us_text('alert')} AS row_key, machine_id, "
             f"{_us_text('alert')} AS out_warning_time",
         ),
+        "stream_order_rates": _with(ORDER_LINES, KPI_ROWS)
+        + "SELECT key, value FROM kpi_rows WHERE key IN ('totalcount', 'refundcountminute', 'cancelrate')",
+        "stream_top_users": _with(ORDER_LINES, USER_SPEND) + TOP_USERS,
+        "stream_top_sku_amount": _with(DETAIL_LINES, SKU_SUMS) + TOP_SKU_AMOUNT,
+        # A stream emits the windows that have closed.
+        "stream_warning_counts": _warning_tumbling(
+            DAY, f"machine_id, CAST(cnt AS VARCHAR) AS cnt, {_us_text('window_end')} AS window_end"
+        )
+        + f" WHERE window_end <= {STREAM_END}",
+        "stream_warning_top": _warning_sliding(
+            3 * DAY,
+            DAY,
+            f"'warning_last3min_everymin_out' AS key, {_us_text('window_end')} AS field, machine_id AS value",
+        )
+        + f" AND window_end <= {STREAM_END}",
+        "stream_transitions": _with(CHANGE_LINES, TRANSITIONS)
+        + "SELECT machine_id, previous AS last_status, CAST(changes AS VARCHAR) AS changes, change_time FROM transitions",
+        "stream_warning_held": _holds(
+            CHANGE_LINES,
+            WARNING_READINGS,
+            6 * HOUR,
+            f"'warning30sMachine' AS key, machine_id AS field, arg_max({_message(21600)}, alert) AS value",
+        )
+        + " GROUP BY machine_id",
+        "stream_order_join": _join(30 * DAY) + "SELECT DISTINCT CAST(id AS VARCHAR) AS row_key FROM joined",
     }

@@ -234,8 +234,8 @@ _query("warning_top_sliding_daily", _of(_changes, _daily_top_warning, *_TOP_WARN
 # Joins.
 
 
-def _window_join(spark, sf):
-    return joins.order_detail_window_join(routing.sales_orders(_orders(spark, sf)), _details(spark, sf), MONTH)
+def _window_join(spark, sf, size=MONTH):
+    return joins.order_detail_window_join(routing.sales_orders(_orders(spark, sf)), _details(spark, sf), size)
 
 
 def _join_latest(spark, sf):
@@ -243,6 +243,7 @@ def _join_latest(spark, sf):
 
 
 _query("order_detail_window_join", _window_join)
+_query("order_detail_window_join_1s", lambda spark, sf: _window_join(spark, sf, "1 second"))
 _query("order_detail_latest", lambda spark, sf: joins.pair_cells(_join_latest(spark, sf)))
 
 # Patterns.

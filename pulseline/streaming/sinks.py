@@ -48,7 +48,9 @@ def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str])
     write_latest(read_latest(spark, path, keys), newest, target)
 
 
-def _latest_sink(path: str, keys: list[str], order) -> Sink:
+def latest_sink(path: str, keys: list[str], order: str | list[str] | None = None) -> Sink:
+    """A latest-value table under any keys. Without `order`, a batch has one row per key already."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = last_per_key(batch, keys, order) if order else batch
         write_latest(rows, batch_id, path)
@@ -58,17 +60,17 @@ def _latest_sink(path: str, keys: list[str], order) -> Sink:
 
 def kv_set(path: str, order: str | list[str] | None = None) -> Sink:
     """(key, value) rows: the last value of each key. Without `order`, a batch has one row per key already."""
-    return _latest_sink(path, ["key"], order)
+    return latest_sink(path, ["key"], order)
 
 
 def kv_hset(path: str, order: str | list[str] | None = None) -> Sink:
     """(key, field, value) rows: the last value of each field of each hash."""
-    return _latest_sink(path, ["key", "field"], order)
+    return latest_sink(path, ["key", "field"], order)
 
 
 def row_upsert(path: str, order: str | list[str] | None = None) -> Sink:
     """(row_key, text cells) rows: the last cells of each row key."""
-    return _latest_sink(path, ["row_key"], order)
+    return latest_sink(path, ["row_key"], order)
 
 
 def jdbc_options(url: str, table: str, **options: str) -> dict[str, str]:

@@ -115,7 +115,7 @@ def run(spark, name, lines, sink_of, folder, **options):
         for product in flow.outputs:
             keys, order = sink_of[product]
             tables_of[product] = (str(folder / "tables" / product), keys)
-            used[product] = sinks._latest_sink(tables_of[product][0], keys, order)
+            used[product] = sinks.latest_sink(tables_of[product][0], keys, order)
     for query in run_job(flows, used, checkpoint=str(folder / "check"), trigger={"availableNow": True}):
         query.awaitTermination()
     return {name: rows(sinks.read_latest(spark, path, keys)) for name, (path, keys) in tables_of.items()}
