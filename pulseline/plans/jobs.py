@@ -89,10 +89,9 @@ def top_users(lines: Lines, folder: str) -> list[Flow]:
     orders = decode.decode_orders(lines["order"], date_only=True, required=required).rows
     outputs = _kpis(folder, [codes.KEY_CANCEL_RATE])
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.order_cells)
-    top = {codes.KEY_TOP_USERS: lambda batch, batch_id: topk.top_k_text(batch, 2, codes.KEY_TOP_USERS)}
     return [
         Flow("cancelled_orders", orders, outputs),
-        Flow("top_users", topk.user_spend(orders), top, "complete"),
+        Flow("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: top_users_text}, "complete"),
     ]
 
 
@@ -103,16 +102,19 @@ def order_count(lines: Lines, folder: str) -> list[Flow]:
     return [Flow("order_count", routing.sales_orders(orders), _kpis(folder, [codes.KEY_ORDER_COUNT]))]
 
 
-def _sku_flow(details: DataFrame, *names: str) -> Flow:
-    outputs = {}
-    if codes.KEY_TOP_SKU_QUANTITY in names:
-        outputs[codes.KEY_TOP_SKU_QUANTITY] = lambda batch, batch_id: topk.top_k_text(
-            batch.select("key", F.col("quantity").alias("value")), 3, codes.KEY_TOP_SKU_QUANTITY
-        )
-    if codes.KEY_TOP_SKU_AMOUNT in names:
-        outputs[codes.KEY_TOP_SKU_AMOUNT] = lambda batch, batch_id: topk.top_k_text(
-            batch.select("key", F.col("amount").alias("value")), 3, codes.KEY_TOP_SKU_AMOUNT
-        )
+def top_users_text(batch: DataFrame, batch_id: int) -> DataFrame:
+    return topk.top_k_text(batch, 2, codes.KEY_TOP_USERS)
+
+
+def _top_skus(column: str, key: str) -> Output:
+    return lambda batch, batch_id: topk.top_k_text(batch.select("key", F.col(column).alias("value")), 3, key)
+
+
+def sku_flow(details: DataFrame) -> Flow:
+    outputs = {
+        codes.KEY_TOP_SKU_QUANTITY: _top_skus("quantity", codes.KEY_TOP_SKU_QUANTITY),
+        codes.KEY_TOP_SKU_AMOUNT: _top_skus("amount", codes.KEY_TOP_SKU_AMOUNT),
+    }
     return Flow("top_skus", topk.sku_sums(details), outputs, "complete")
 
 
@@ -121,7 +123,7 @@ def top_skus(lines: Lines, folder: str) -> list[Flow]:
     """The three products sold most, by quantity and by amount."""
     required = ("detail_id", "sku_id", "price", "num", "create_time")
     details = decode.decode_order_details(lines["order_detail"], required=required).rows
-    return [_sku_flow(details, codes.KEY_TOP_SKU_QUANTITY, codes.KEY_TOP_SKU_AMOUNT)]
+    return [sku_flow(details)]
 
 
 @job("orders_with_details", "order", "order_detail")
@@ -132,13 +134,15 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
     orders = routing.sales_orders(decode.decode_orders(order_lines, required=required).rows)
     details = decode.decode_order_details(lines["order_detail"].withWatermark("arrival_ts", delay)).rows
 
+    top_amount = codes.KEY_TOP_SKU_AMOUNT
+
     def last_rows(batch: DataFrame, batch_id: int) -> DataFrame:
         return cells.join_cells(last_per_key(batch, ["id"], ["w", "o_arrival", "d_arrival"]))
 
     joined = joins.order_detail_pairs(orders, details, size)
     return [
         Flow("order_count", orders, _kpis(folder, [codes.KEY_ORDER_COUNT])),
-        _sku_flow(details, codes.KEY_TOP_SKU_AMOUNT),
+        Flow("top_skus", topk.sku_sums(details), {top_amount: _top_skus("amount", top_amount)}, "complete"),
         Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: last_rows}),
     ]
 
@@ -225,12 +229,12 @@ def transitions(lines: Lines, folder: str) -> list[Flow]:
 
 @job("temperature_held", "environment")
 def temperature_held(
-    lines: Lines, folder: str, hold: str = codes.TEMPERATURE_HOLD, delay: str = "0 seconds"
+    lines: Lines, folder: str, hold: str = codes.TEMPERATURE_HOLD, delay: str = "0 seconds", clock: str = "event"
 ) -> list[Flow]:
-    """Machines above the temperature limit for a while."""
+    """Machines above the temperature limit for a while; live jobs use the processing clock."""
     readings = decode.decode_environment(lines["environment"]).rows
     if readings.isStreaming:
-        alerts = processors.stream_temperature_held(readings, hold, delay=delay)
+        alerts = processors.stream_temperature_held(readings, hold, delay=delay, clock=clock)
     else:
         alerts = patterns.temperature_held(readings, hold)
     return [Flow("temperature_held", alerts, {codes.TABLE_TEMPERATURE: lambda batch, _: cells.temperature_cells(batch)})]

@@ -19,7 +19,8 @@ from ..session import shared_folder
 from ..sources import tables
 from ..sources.lines import read_files
 from ..streaming import sinks
-from . import cells
+from ..streaming.runner import Flow, run_job
+from . import cells, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -284,45 +285,45 @@ _query(
 # Sinks: write to a latest-value table in the shared folder and read its content back.
 
 
-def _folder(spark, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _write_and_read(spark, flows: list[Flow], keys: list[str], order=None) -> DataFrame:
+    """Write all products of the flows to one table, and return its content."""
+    path = f"{shared_folder(spark)}/{flows[0].name}-{uuid.uuid4().hex}"
+    sink = sinks.latest_sink(path, keys, order)
+    run_job(flows, {name: sink for flow in flows for name in flow.outputs})
+    return sinks.read_latest(spark, path, keys)
 
 
 def _kv_set(spark, sf):
-    path = _folder(spark, "kv")
-    orders, details = _orders(spark, sf), _details(spark, sf)
-    sink = sinks.kv_set(path)
-    for batch_id, rows in enumerate(
-        (kpis.order_kpis_latest(orders), _top_users(orders), _top_quantity(details), _top_amount(details))
-    ):
-        sink(rows, batch_id)
-    return sinks.read_latest(spark, path, ["key"])
+    orders = _orders(spark, sf)
+    flows = [
+        Flow("kpis", orders, {"kpis": lambda batch, _: kpis.order_kpis_latest(batch)}),
+        Flow("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: jobs.top_users_text}),
+        jobs.sku_flow(_details(spark, sf)),
+    ]
+    return _write_and_read(spark, flows, ["key"])
+
+
+def _one(spark, name: str, frame: DataFrame, keys: list[str], order=None) -> DataFrame:
+    return _write_and_read(spark, [Flow(name, frame, {name: lambda batch, _: batch})], keys, order)
 
 
 def _kv_hset(spark, sf):
-    path = _folder(spark, "hash")
-    sinks.kv_hset(path)(windows.warning_top_values(_daily_top_warning(_changes(spark, sf))), 0)
-    return sinks.read_latest(spark, path, ["key", "field"])
+    values = windows.warning_top_values(_daily_top_warning(_changes(spark, sf)))
+    return _one(spark, codes.HASH_TOP_WARNING, values, ["key", "field"])
 
 
 def _row_upsert(spark, sf):
-    path = _folder(spark, "rows")
-    sinks.row_upsert(path)(cells.join_cells(_join_latest(spark, sf)), 0)
-    return sinks.read_latest(spark, path, ["row_key"])
+    return _one(spark, codes.TABLE_ORDER_JOIN, cells.join_cells(_join_latest(spark, sf)), ["row_key"])
 
 
 def _row_upsert_temperature(spark, sf):
-    path = _folder(spark, "temperature")
     alerts = patterns.temperature_held(_environment(spark, sf), SIX_HOURS)
-    sinks.row_upsert(path, order="alert_time")(cells.temperature_cells(alerts), 0)
-    return sinks.read_latest(spark, path, ["row_key"])
+    return _one(spark, codes.TABLE_TEMPERATURE, cells.temperature_cells(alerts), ["row_key"], "alert_time")
 
 
 def _cancelled_upsert(spark, sf):
-    path = _folder(spark, "cancelled")
     rows = cells.order_cells(routing.cancelled_orders(_orders(spark, sf)))
-    sinks.row_upsert(path, order="arrival")(rows, 0)
-    return sinks.read_latest(spark, path, ["row_key"])
+    return _one(spark, codes.TABLE_ORDER_INFO, rows, ["row_key"], "arrival")
 
 
 _query("sink_kv_set", _kv_set)

@@ -27,10 +27,14 @@ LINE_OF_ORDER = """row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenum
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A test table. A table of fewer pieces than cores would be decoded by few tasks, so its rows are spread."""
-    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A test table. With fewer pieces than cores, few tasks would do all the work, so its rows are spread then."""
+    rows = table(spark, sf_dir, name)
     cores = spark.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, key) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _lines(df: DataFrame, arrival: str, arrival_ts: str, fields: list[str], bad: str = "false", bad_line: str = "''"):
@@ -40,8 +44,8 @@ def _lines(df: DataFrame, arrival: str, arrival_ts: str, fields: list[str], bad:
 
 
 def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = spark.read.parquet(f"{sf_dir}/customer.parquet").select("c_custkey", "c_name", "c_nationkey")
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
+    orders = spread_table(spark, sf_dir, "orders", "o_orderkey").withColumnRenamed("o_custkey", "c_custkey")
     fields = [
         "o_orderkey", "c_name", "concat('tel-', c_custkey)",
         "CASE WHEN o_orderkey % 101 = 5 THEN 'n/a' ELSE CAST(CAST(o_totalprice AS decimal(12,2)) AS string) END",
@@ -56,7 +60,7 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The arrival numbers of the order lines."""
-    return spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr("o_orderkey AS arrival")
+    return table(spark, sf_dir, "orders").selectExpr("o_orderkey AS arrival")
 
 
 def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,11 +74,11 @@ def detail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detail_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The arrival numbers of the detail lines, up to the line number inside an order."""
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr("l_orderkey * 100 AS arrival")
+    return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 100 AS arrival")
 
 
 def _event_lines(spark: SparkSession, sf_dir: str, fields: list[str], bad: str = "false", bad_line: str = "''"):
-    events = table(spark, sf_dir, "events")
+    events = spread_table(spark, sf_dir, "events", "event_id")
     return _lines(events, "event_id", "ts", ["event_id", "user_id", *fields], bad, bad_line)
 
 

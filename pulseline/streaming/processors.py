@@ -91,9 +91,19 @@ def stream_hold_alerts(
     time: str = "arrival_ts",
     order: str = "arrival",
     delay: str = "0 seconds",
+    clock: str = "event",
 ) -> DataFrame:
-    """`hold_alerts` on a stream; the watermark on `time` stands for the end of the data seen so far."""
-    readings = df.withWatermark(time, delay).select(
+    """`hold_alerts` on a stream.
+
+    With `clock="event"` the watermark on `time` stands for the end of the data seen so far, so a silent machine
+    alerts once any machine has reported later than its deadline; a replay gives the same alerts. With
+    `clock="processing"` it alerts when the wall clock passes the deadline, also if all machines are silent; that is
+    for live lines whose `time` is their arrival time.
+    """
+    if clock not in ("event", "processing"):
+        raise ValueError(f"clock: {clock}")
+    timed = df.withWatermark(time, delay) if clock == "event" else df
+    readings = timed.select(
         F.col(key).alias("key"),
         F.col(time).alias("time"),
         F.unix_micros(time).alias("t"),
@@ -101,7 +111,7 @@ def stream_hold_alerts(
         F.coalesce(condition, F.lit(False)).alias("match"),
     )
     alerts = readings.groupBy("key").transformWithState(
-        HoldProcessor(duration_micros(hold)), "key string, alert bigint, last bigint", "append", "eventTime"
+        HoldProcessor(duration_micros(hold)), "key string, alert bigint, last bigint", "append", f"{clock}Time"
     )
     return alerts.select(
         F.col("key").alias(key),

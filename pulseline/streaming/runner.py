@@ -25,13 +25,16 @@ class Flow:
 
 
 def write_outputs(batch: DataFrame, batch_id: int, outputs: dict[str, Output], sinks: dict[str, Sink]) -> None:
-    batch.persist()
+    wanted = {name: output for name, output in outputs.items() if name in sinks}
+    shared = len(wanted) > 1
+    if shared:
+        batch.persist()
     try:
-        for name, output in outputs.items():
-            if name in sinks:
-                sinks[name](output(batch, batch_id), batch_id)
+        for name, output in wanted.items():
+            sinks[name](output(batch, batch_id), batch_id, name)
     finally:
-        batch.unpersist()
+        if shared:
+            batch.unpersist()
 
 
 def run_job(

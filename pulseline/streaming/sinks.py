@@ -1,9 +1,9 @@
 """Sinks. Each works on one batch of rows, so that it serves batch jobs and `foreachBatch` alike.
 
-Latest-value tables (key to value, hash field to value, row key to cells) are parquet folders with one
-`batch_id=N` partition per batch, each holding the batch's last row per key. Writing a batch again replaces its own
-partition and nothing else, so a replayed batch changes nothing, and a lost executor or driver leaves older batches
-untouched. The table's content is the row with the highest batch id per key.
+Latest-value tables (key to value, hash field to value, row key to cells) are parquet folders with one partition per
+product and batch, each holding the batch's last row per key. Writing a batch again replaces its own partition and
+nothing else, so a replayed batch changes nothing, and a lost executor or driver leaves older batches untouched. The
+table's content is the row with the highest batch id per key.
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 JDBC_BATCH_ROWS = "100"
 JDBC_INTERVAL = "3 seconds"
 
-Sink = Callable[[DataFrame, int], None]
+# Takes the rows of a batch, the batch id, and the product's name.
+Sink = Callable[[DataFrame, int, str], None]
+PARTS = ["product", "batch_id"]
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
@@ -31,29 +33,30 @@ def last_per_key(rows: DataFrame, keys: list[str], order: str | list[str]) -> Da
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cells])
 
 
-def write_latest(rows: DataFrame, batch_id: int, path: str) -> None:
+def write_latest(rows: DataFrame, batch_id: int, product: str, path: str) -> None:
     """`rows` has one row per key."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    rows.write.mode("overwrite").parquet(f"{path}/product={product}/batch_id={batch_id}")
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    table = spark.read.parquet(path)
-    return last_per_key(table, keys, "batch_id")
+    return last_per_key(spark.read.parquet(path), keys, PARTS[::-1])
 
 
 def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
-    """Write the table's content to a new folder, to go on from there with the next batch."""
+    """Write the table's content to a new folder, to go on from there with the next batches."""
     table = spark.read.parquet(path)
-    newest = table.agg(F.max("batch_id")).first()[0]
-    write_latest(read_latest(spark, path, keys), newest, target)
+    # One row per product.
+    newest = table.groupBy("product").agg(F.max("batch_id").alias("batch_id"))
+    content = last_per_key(table, ["product", *keys], "batch_id").join(F.broadcast(newest), "product")
+    content.write.partitionBy(*PARTS).parquet(target)
 
 
 def latest_sink(path: str, keys: list[str], order: str | list[str] | None = None) -> Sink:
     """A latest-value table under any keys. Without `order`, a batch has one row per key already."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, product: str) -> None:
         rows = last_per_key(batch, keys, order) if order else batch
-        write_latest(rows, batch_id, path)
+        write_latest(rows, batch_id, product, path)
 
     return write
 
@@ -80,7 +83,7 @@ def jdbc_options(url: str, table: str, **options: str) -> dict[str, str]:
 def jdbc_append(url: str, table: str, **options: str) -> Sink:
     """Append rows of text cells to a database table; a batch that fails halfway is inserted again."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, product: str) -> None:
         text_cells(batch).write.format("jdbc").mode("append").options(**jdbc_options(url, table, **options)).save()
 
     return write
@@ -93,7 +96,7 @@ def text_cells(rows: DataFrame) -> DataFrame:
 def console(rows: int = 20) -> Sink:
     """Print the first rows of each batch."""
 
-    def write(batch: DataFrame, batch_id: int) -> None:
+    def write(batch: DataFrame, batch_id: int, product: str) -> None:
         batch.show(rows, truncate=False)
 
     return write

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 from conftest import LINE, TESTDATA, rows
@@ -99,6 +100,30 @@ def test_temperature_alerts(spark, captured, tmp_path):
     assert want.count() > 300
 
 
+def test_processing_clock_ends_holds_without_further_lines(spark, captured, tmp_path):
+    """The lines are old, so every pending hold is overdue by the wall clock."""
+    path = captured("environment", 1)
+    readings = decode.decode_environment(stream(spark, path, files="10")).rows.where("machine_id <> 'flush'")
+    alerts = processors.stream_temperature_held(readings, "6 hours", clock="processing")
+    want = rows(patterns.temperature_held(decode.decode_environment(batch(spark, path)).rows, "6 hours"))
+    found = []
+
+    def collect(part, batch_id):
+        found.extend(tuple(r) for r in part.collect())
+
+    # Such a query never runs out of batches, so it is stopped once it has raised the alerts.
+    query = alerts.writeStream.foreachBatch(collect).option("checkpointLocation", str(tmp_path / "check"))
+    query = query.trigger(processingTime="1 second").start()
+    try:
+        for _ in range(60):
+            if len(found) >= len(want) or query.exception():
+                break
+            time.sleep(1)
+    finally:
+        query.stop()
+    assert sorted(found, key=str) == want
+
+
 def test_transitions(spark, captured, tmp_path):
     path = captured("change", 4)
     want = patterns.transitions_to_running(decode.decode_changes(batch(spark, path)).rows)
