@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes
 from ..operators import decode, joins, patterns, routing, topk, windows
+from ..operators.ranges import plan_ranges
 from ..streaming import processors
 from ..streaming.folds import fold_kpis
 from ..streaming.runner import Flow, Output
@@ -197,7 +198,7 @@ def warning_held(lines: Lines, folder: str, hold: str = codes.WARNING_HOLD, dela
     if changes.isStreaming:
         alerts = processors.stream_warning_held(changes, hold, delay=delay)
     else:
-        alerts = patterns.warning_held(changes, hold)
+        alerts = patterns.warning_held(changes, hold, ranges=plan_ranges(lines["change"], "arrival_ts", min_ranges=1))
     outputs = {"alerts": _rows, codes.HASH_WARNING_HELD: lambda batch, _: cells.warning_held_values(batch)}
     return [Flow("warning_held", alerts, outputs)]
 
@@ -222,9 +223,12 @@ def warning_top(
 def transitions(lines: Lines, folder: str) -> list[Flow]:
     """Changes from another status to running."""
     changes = decode.decode_changes(lines["change"]).rows
-    make = processors.stream_transitions if changes.isStreaming else patterns.transitions_to_running
-    outputs = {codes.TABLE_TRANSITIONS: lambda batch, _: cells.transition_cells(batch)}
-    return [Flow("transitions", make(changes), outputs)]
+    if changes.isStreaming:
+        found = processors.stream_transitions(changes)
+    else:
+        ranges = plan_ranges(lines["change"], "arrival", min_ranges=1)
+        found = patterns.transitions_to_running(changes, ranges=ranges)
+    return [Flow("transitions", found, {codes.TABLE_TRANSITIONS: lambda batch, _: cells.transition_cells(batch)})]
 
 
 @job("temperature_held", "environment")
@@ -236,5 +240,6 @@ def temperature_held(
     if readings.isStreaming:
         alerts = processors.stream_temperature_held(readings, hold, delay=delay, clock=clock)
     else:
-        alerts = patterns.temperature_held(readings, hold)
+        ranges = plan_ranges(lines["environment"], "arrival_ts", min_ranges=1)
+        alerts = patterns.temperature_held(readings, hold, ranges=ranges)
     return [Flow("temperature_held", alerts, {codes.TABLE_TEMPERATURE: lambda batch, _: cells.temperature_cells(batch)})]

@@ -250,9 +250,18 @@ _query("order_detail_latest", lambda spark, sf: joins.pair_cells(_join_latest(sp
 # Patterns.
 
 
+def _event_ranges(spark, sf, order):
+    """From the arrival numbers or times alone, which needs no decoding."""
+    return plan_ranges(tables.event_arrivals(spark, sf), order, min_ranges=1)
+
+
+def _transitions(spark, sf):
+    return patterns.transitions_to_running(_changes(spark, sf), ranges=_event_ranges(spark, sf, "arrival"))
+
+
 def _warning_held(hold):
     def run(spark, sf):
-        alerts = patterns.warning_held(_changes(spark, sf, True), hold)
+        alerts = patterns.warning_held(_changes(spark, sf, True), hold, ranges=_event_ranges(spark, sf, "arrival_ts"))
         return _pick(alerts, "machine_id", _time("alert_time"), "message")
 
     return run
@@ -260,7 +269,8 @@ def _warning_held(hold):
 
 def _temperature_held(hold):
     def run(spark, sf):
-        alerts = patterns.temperature_held(_environment(spark, sf), hold)
+        ranges = _event_ranges(spark, sf, "arrival_ts")
+        alerts = patterns.temperature_held(_environment(spark, sf), hold, ranges=ranges)
         return alerts.select(
             "machine_id",
             F.unix_micros("alert_time").alias("alert_us"),
@@ -277,7 +287,7 @@ _query("hold_alerts_threshold_6h", _temperature_held(SIX_HOURS))
 _query(
     "transitions_to_running",
     _of(
-        _changes, patterns.transitions_to_running,
+        _transitions, _same,
         "arrival", "machine_id", "previous", "changes", _time("change_time"),
     ),
 )

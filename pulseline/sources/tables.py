@@ -77,6 +77,11 @@ def detail_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").selectExpr("l_orderkey * 100 AS arrival")
 
 
+def event_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrival numbers and times of the machine lines."""
+    return table(spark, sf_dir, "events").selectExpr("event_id AS arrival", "CAST(ts AS timestamp) AS arrival_ts")
+
+
 def _event_lines(spark: SparkSession, sf_dir: str, fields: list[str], bad: str = "false", bad_line: str = "''"):
     events = spread_table(spark, sf_dir, "events", "event_id")
     return _lines(events, "event_id", "ts", ["event_id", "user_id", *fields], bad, bad_line)
