@@ -8,6 +8,33 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+class Recent(dict):
+    """Results per key, made by `make` when first asked for, at most 2 * `limit` of them.
+
+    When `limit` are held they become the old ones, and the old ones before them are forgotten; an old one that is
+    asked for again is taken over. What is often asked for stays, and results do not depend on any of it.
+    """
+
+    limit = 300_000
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def make(self, key):
+        raise NotImplementedError
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        made = self.old.get(key)
+        if made is None:
+            made = self.make(key)
+        self[key] = made
+        return made
+
+
 def unused_name(df: DataFrame, wanted: str) -> str:
     """`wanted`, with underscores appended until no column of `df` has that name (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -27,20 +27,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .common import Recent
 
 WINDOW = 2048
 PIECE = 512
 #: Pieces of a group: what one Python call holds, and the work of one merge stays small.
-GROUP_PIECES = 1_000
+GROUP_PIECES = 600
 CLOSING_ID = 1
-#: Remembered words per Python worker; beyond it the memory is emptied, results do not depend on it.
-REMEMBERED = 1_200_000
 MARKS = string.punctuation
 PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
 PLACED = "row long, sequence_id long, offset long"
 
 
-class WordIds(dict):
+class WordIds(Recent):
     """Ids (as bytes of 32-bit numbers) of what white space separates, by one tokenizer file.
 
     The tokenizer drops white space and its pieces never reach over it, so a text's ids are those of its words, one
@@ -65,23 +64,18 @@ class WordIds(dict):
         # The byte-level alphabet: printable bytes stand for themselves, the others for characters from U+0100 on.
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
-    def __missing__(self, word: str) -> bytes:
+    def make(self, word: str) -> bytes:
         if self.tokenizer is None:
             self._open()
-        if len(self) >= REMEMBERED:
-            self.clear()
         head = word.rstrip(MARKS)
         if not word:
-            made = b""
-        elif head and head != word and plain(head):
-            made = self[head] + self[word[len(head) :]]
-        elif plain(word) or word.isascii() and not head:
-            spelled = word.encode().decode("latin-1").translate(self.alphabet)
-            made = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        else:
-            made = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        self[word] = made
-        return made
+            return b""
+        if head and head != word and plain(head):
+            return self[head] + self[word[len(head) :]]
+        if plain(word) or word.isascii() and not head:
+            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def of(self, text: str) -> bytes:
         """Ids of a whole text."""
@@ -100,7 +94,7 @@ def simple(text: str) -> bool:
 
 
 def plain(word: str) -> bool:
-    return word.isalpha() and simple(word) and word == word.lower()
+    return word.isalpha() and (word.isascii() or simple(word)) and word == word.lower()
 
 
 def pieces_of(ids: bytes, window: int = WINDOW, most: int = PIECE) -> list[tuple[int, int, int, int]]:

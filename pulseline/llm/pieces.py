@@ -19,10 +19,10 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 
+from .common import Recent
+
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-#: Remembered segments per Python worker; beyond it the memory is emptied, results do not depend on it.
-REMEMBERED = 800_000
 NEVER = float("-inf")
 MARKS = string.punctuation
 #: A run of spaces and what follows it; a line break stands alone unless a piece holds one.
@@ -46,8 +46,8 @@ class Vocabulary:
         """`ids` (as bytes of 32-bit numbers) or `count` per segment; a broadcast vocabulary keeps it between tasks."""
         if what not in self.tools:
             segmenter = Segmenter(self)
-            make = segmenter.count if what == "count" else lambda s: array("i", segmenter.ids(s)).tobytes()
-            self.tools[what] = Remembering(segmenter, make)
+            result = segmenter.count if what == "count" else lambda s: array("i", segmenter.ids(s)).tobytes()
+            self.tools[what] = Remembering(segmenter, result)
         return self.tools[what]
 
     @classmethod
@@ -174,29 +174,25 @@ class Segmenter:
         return at if 0 < at < len(segment) and segment[at - 1 : at + 1] not in self.neighbours else 0
 
 
-class Remembering(dict):
-    """Results per segment, made when first asked for; marks at the end of a segment are looked up by themselves."""
+class Remembering(Recent):
+    """Results per segment; marks at the end of a segment are looked up by themselves."""
 
-    def __init__(self, segmenter: Segmenter, make: Callable):
+    def __init__(self, segmenter: Segmenter, result: Callable):
         super().__init__()
-        self.segmenter, self.make = segmenter, make
+        self.segmenter, self.result = segmenter, result
         vocabulary = segmenter.vocabulary
         lone_breaks = vocabulary.byte_ids and not any("\n" in p for p in vocabulary.scores)
         self.cut = (LINE_SEGMENT if lone_breaks else SEGMENT).findall
 
-    def __missing__(self, segment: str):
-        if len(self) >= REMEMBERED:
-            self.clear()
+    def make(self, segment: str):
         at = self.segmenter.ending(segment)
-        made = self[segment[:at]] + self[segment[at:]] if at else self.make(segment)
-        self[segment] = made
-        return made
+        return self[segment[:at]] + self[segment[at:]] if at else self.result(segment)
 
     def parts(self, text: str) -> list:
         """Results of the pieces of a text that can be worked on by themselves, in order."""
         prefix = self.segmenter.vocabulary.prefix
         if not self.segmenter.separable:
-            return [self.make(normalise(text, prefix))]
+            return [self.result(normalise(text, prefix))]
         return list(map(self.__getitem__, self.cut(normalise(text, prefix))))
 
 
