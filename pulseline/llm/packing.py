@@ -32,7 +32,7 @@ from .common import Recent
 WINDOW = 2048
 PIECE = 512
 #: Pieces of a group: what one Python call holds, and the work of one merge stays small.
-GROUP_PIECES = 600
+GROUP_PIECES = 400
 CLOSING_ID = 1
 MARKS = string.punctuation
 PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
@@ -67,13 +67,15 @@ class WordIds(Recent):
     def make(self, word: str) -> bytes:
         if self.tokenizer is None:
             self._open()
+        if word.isascii() and word.isalpha() and word.islower():
+            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
         head = word.rstrip(MARKS)
         if not word:
             return b""
         if head and head != word and plain(head):
             return self[head] + self[word[len(head) :]]
         if plain(word) or word.isascii() and not head:
-            spelled = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+            spelled = word.encode().decode("latin-1").translate(self.alphabet)
             return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
