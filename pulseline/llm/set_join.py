@@ -7,7 +7,7 @@ shingles that any partner of similarity 0.8 must share one of. Two relations bet
   a list is only visited in blocks of matching sizes.
 * Answers are derived: in every list the members first meet a few pivots. Members that a pivot links are in one group
   and need no look at each other. For any other two members their overlaps with a pivot bound their own overlap from
-  above and from below, so most pairs are refused or linked without comparing the sets.
+  above, and two bitmaps of parities bound it as well, so most pairs are refused without comparing the sets.
 
 Rarity comes from counts of shingles over all texts; of each chunk of texts only shingles in many of them are counted
 on, so the table of frequent shingles has a size bound (see `frequent`). The order is the same for every set, which is
@@ -30,6 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.ranges import shuffled_once
 from ..session import cut_lineage
 from .components import components
 
@@ -39,9 +40,11 @@ FREQUENT_ONE_IN = 1_000
 CHUNK_SHINGLES = 4_000_000
 #: Classes a task remembers so as not to repeat a copy's entries; results do not depend on it.
 REMEMBERED = 1_000_000
+#: Buckets of a set's bitmap.
+BITS = 1_024
 #: Pairs of one set that meet in one task.
 SALT_PAIRS = 256
-ROUNDS = 1
+#: Members of a list that meet all others of it first.
 PIVOTS = 8
 
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -65,8 +68,14 @@ def class_of(shingle_set: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(shingle_set.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+def bitmap(shingle_set: np.ndarray) -> np.ndarray:
+    """For each of BITS buckets of hashes whether an odd number of the set's shingles fall in, as 64-bit numbers."""
+    odd = np.bincount((shingle_set % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def signatures(documents: DataFrame) -> DataFrame:
-    """One pass over all texts: (doc_id, n, class) per row, and (token, n) for shingles in many texts of a chunk."""
+    """One pass over all texts: (doc_id, n, class, bitmap) per row, and (token, n) for shingles in many of a chunk."""
 
     def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, total, texts = [], 0, 0
@@ -74,26 +83,27 @@ def signatures(documents: DataFrame) -> DataFrame:
         def counted() -> pd.DataFrame:
             token, n = np.unique(np.concatenate(held), return_counts=True)
             often = n > max(2, texts / (2 * FREQUENT_ONE_IN))
-            return pd.DataFrame({"kind": 1, "doc_id": None, "n": n[often], "token": token[often].view(np.int64)}).astype(
-                {"doc_id": "Int64"}
-            )
+            made = {"kind": 1, "doc_id": None, "n": n[often], "token": token[often].view(np.int64), "bits": None}
+            return pd.DataFrame(made).astype({"doc_id": "Int64"})
 
         for batch in batches:
-            sizes, classes = [], []
+            sizes, classes, bits = [], [], []
             for text in batch["text"]:
                 own = shingles(text)
                 sizes.append(len(own))
                 classes.append(class_of(own))
+                bits.append(bitmap(own))
                 held.append(own)
                 total, texts = total + len(own), texts + 1
                 if total >= CHUNK_SHINGLES:
                     yield counted()
                     held, total, texts = [], 0, 0
-            yield pd.DataFrame({"kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "token": classes})
+            made = {"kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "token": classes, "bits": bits}
+            yield pd.DataFrame(made)
         if held:
             yield counted()
 
-    return documents.select("doc_id", "text").mapInPandas(signed, "kind int, doc_id long, n long, token long")
+    return documents.select("doc_id", "text").mapInPandas(signed, "kind int, doc_id long, n long, token long, bits array<long>")
 
 
 def frequent(signed: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +175,7 @@ def can_match(n: Column, pos: Column, m: Column, at: Column) -> Column:
 
 
 def class_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """(c, tokens) of the documents with these ids: the sorted hashes as bytes."""
+    """(c, tokens) of the documents with these ids: the sorted hashes as bytes; a repeated row repeats its set."""
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -173,7 +183,7 @@ def class_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
             yield pd.DataFrame({"c": [class_of(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
 
     rows = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    return rows.mapInPandas(made, "c long, tokens binary").dropDuplicates(["c"])
+    return rows.mapInPandas(made, "c long, tokens binary")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -183,9 +193,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     order = Window.partitionBy("a").orderBy("b")
     salted = cut_lineage(pairs.withColumn("salt", F.floor((F.row_number().over(order) - 1) / SALT_PAIRS)))
-    left = salted.select("a", "salt").distinct().join(
-        sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a"
-    )
+    sets = shuffled_once(sets, "c")  # both sides read one shuffle
+    left = salted.select("a", "salt").distinct().join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
     right = salted.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b")
 
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -198,52 +207,55 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     common.__annotations__ = {"x": pd.Series, "y": pd.Series, "return": pd.Series}
     met = right.join(left, ["a", "salt"])
-    return met.select("a", "b", "na", "nb", F.pandas_udf(common, "int")("ta", "tb").alias("both"))
+    return met.select("a", "b", "na", "nb", F.pandas_udf(common, "int")("ta", "tb").alias("both")).distinct()
 
 
-def pivot_order(round_: int):
+def pivot_order():
     """Members of a list that hold its shingle early come first: they can still match most others."""
-    return Window.partitionBy("token").orderBy(
-        F.floor(10 * F.col("pos") / F.col("n")), F.xxhash64("c", F.lit(round_)), "c"
-    )
+    return Window.partitionBy("token").orderBy(F.floor(10 * F.col("pos") / F.col("n")), F.xxhash64("c"), "c")
 
 
 LINKED = "9 * both >= 4 * (na + nb)"
 
 
-def class_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, label) of classes with a partner, from index lists (token, c, n, pos).
+def not_refused(pairs: DataFrame, bits: DataFrame) -> DataFrame:
+    """Pairs (a, b, na, nb) whose bitmaps allow a link: differing buckets are at most the elements not in both."""
+    met = pairs.join(bits.select(F.col("c").alias("a"), F.col("bits").alias("x")), "a")
+    met = met.join(bits.select(F.col("c").alias("b"), F.col("bits").alias("y")), "b")
+    differ = F.aggregate(
+        F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")), F.lit(0), lambda s, v: s + v
+    )
+    most = F.col("na") + F.col("nb") - 2 * needed_overlap(F.col("na"), F.col("nb"))
+    return met.where(differ <= most).select("a", "b", "na", "nb")
+
+
+def pivot_pairs(lists: DataFrame) -> DataFrame:
+    """(a, b, na, nb): in each list the members against its pivots."""
+    ranked = lists.withColumn("rank", F.row_number().over(pivot_order()))
+    p = ranked.where(F.col("rank") <= PIVOTS).select("token", *[F.col(c).alias(f"p_{c}") for c in ("c", "n", "pos")])
+    star = ranked.join(p, "token").where(
+        (F.col("p_c") != F.col("c")) & ((F.col("rank") > PIVOTS) | (F.col("p_c") < F.col("c")))
+        & can_match(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos"))
+    )
+    return star.groupBy(F.col("p_c").alias("a"), F.col("c").alias("b")).agg(
+        F.min("p_n").alias("na"), F.min("n").alias("nb")
+    )
+
+
+def open_pairs(crowded: DataFrame, labels: DataFrame, met: DataFrame) -> DataFrame:
+    """(a, b, na, nb): what the pivots leave open in lists with more members than they cover.
 
-    Rounds of pivots first: in each list the members of other groups meet one pivot. What they leave open is closed by
-    a join inside the lists that skips blocks of other sizes, pairs of one group and pairs that the pivots decide.
+    A join inside the lists that skips blocks of other sizes, pairs of one group, and pairs that the overlaps with the
+    list's first pivot refuse.
     """
-    spark = lists.sparkSession
-    labels = spark.createDataFrame([], "c long, label long")
-    links = spark.createDataFrame([], "u long, v long")
-    met = None
-    for round_ in range(ROUNDS):
-        named = lists.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        p = named.withColumn("rank", F.row_number().over(pivot_order(round_))).where(F.col("rank") <= PIVOTS)
-        p = p.select("token", *[F.col(c).alias(f"p_{c}") for c in ("c", "n", "pos", "label")])
-        star = named.join(p, "token").where(
-            (F.col("p_label") != F.col("label")) & can_match(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos"))
-        )
-        pairs = star.groupBy(F.col("p_c").alias("a"), F.col("c").alias("b")).agg(
-            F.min("p_n").alias("na"), F.min("n").alias("nb")
-        )
-        found = cut_lineage(overlaps(pairs, sets))
-        met = met or found
-        links = cut_lineage(links.union(found.where(LINKED).select("a", "b")))
-        labels = components(links).withColumnRenamed("node", "c")
-    # Pairs that are still open: members of different groups, bounded by the first pivot of the first round.
-    named = lists.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    named = crowded.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     inside = Window.partitionBy("token")
     open_ = named.select(
-        "*", F.first("c").over(pivot_order(0)).alias("p"),
+        "*", F.first("c").over(pivot_order()).alias("p"),
         F.min("label").over(inside).alias("low"), F.max("label").over(inside).alias("high"),
     ).where("low <> high AND p <> c")
     known = met.select(F.col("a").alias("p"), F.col("b").alias("c"), "both")
-    open_ = cut_lineage(open_.join(known, ["p", "c"], "left").select("token", "c", "n", "pos", "label", "p", "both"))
+    open_ = cut_lineage(open_.join(known, ["p", "c"], "left").select("token", "c", "n", "pos", "label", "both"))
     level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
     x = open_.select(*[F.col(c).alias(f"x_{c}") for c in open_.columns if c != "token"], "token",
                      F.explode(F.array(level, level + 1)).alias("level"))
@@ -257,35 +269,49 @@ def class_links(lists: DataFrame, sets: DataFrame) -> DataFrame:
         & can_match(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"))
         & F.coalesce(at_most >= need, F.lit(True)),
     )
-    pairs = candidates.groupBy(F.col("x_c").alias("a"), F.col("y_c").alias("b")).agg(
+    return candidates.groupBy(F.col("x_c").alias("a"), F.col("y_c").alias("b")).agg(
         F.min("x_n").alias("na"), F.min("y_n").alias("nb")
     )
-    found = overlaps(pairs, sets).where(LINKED).select("a", "b")
-    return components(links.union(found))
+
+
+def index_lists(entries: DataFrame) -> DataFrame:
+    """(token, c, n, pos, members) of lists with two classes at least; a copy that several tasks met is one entry."""
+    inside = Window.partitionBy("token")
+    ends = entries.select("*", F.min("c").over(inside).alias("low"), F.max("c").over(inside).alias("high"))
+    one = ends.where("low <> high").groupBy("token", "c").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    return one.withColumn("members", F.count("*").over(inside))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of every row."""
     signed = cut_lineage(signatures(documents))
-    rows = signed.where("kind = 0").select("doc_id", "n", F.col("token").alias("c"))
+    rows = signed.where("kind = 0").select("doc_id", "n", F.col("token").alias("c"), "bits")
     token, often = frequent(signed, rows.count())
-    entries = index_entries(documents, token, often)
-    inside = Window.partitionBy("token")
-    ends = entries.select("*", F.min("c").over(inside).alias("low"), F.max("c").over(inside).alias("high"))
-    # Lists of one class link nothing. A copy that several tasks met is one entry.
-    lists = cut_lineage(ends.where("low <> high").groupBy("token", "c").agg(F.min("n").alias("n"), F.min("pos").alias("pos")))
-    first = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"))
-    first = cut_lineage(first)
-    listed = lists.select("c").distinct().join(first, "c").select("doc_id")
-    sets = cut_lineage(class_sets(documents, listed))
-    labels = cut_lineage(class_links(lists, sets))
-    named = first.join(labels.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+    lists = cut_lineage(index_lists(index_entries(documents, token, often)))
+    classes = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("c")
+    classes = cut_lineage(classes.agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")))
+    first, bits = classes.select("c", "doc_id"), classes.select("c", "bits")
+
+    star = cut_lineage(not_refused(pivot_pairs(lists), bits))
+    crowded = lists.where(F.col("members") > PIVOTS + 1).select("token", "c", "n", "pos")
+    needed = star.select(F.col("a").alias("c")).union(star.select("b")).union(crowded.select("c")).distinct()
+    sets = cut_lineage(class_sets(documents, needed.join(first, "c").select("doc_id")))
+    met = cut_lineage(overlaps(star, sets))
+    links = met.where(LINKED).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    labels = components(links).withColumnRenamed("node", "c")
+    rest = cut_lineage(not_refused(open_pairs(crowded, labels, met), bits))
+    if rest.limit(1).count():
+        more = overlaps(rest, sets).where(LINKED).select("a", "b")
+        labels = components(links.union(more)).withColumnRenamed("node", "c")
+
+    named = first.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     groups = named.join(smallest, "label").select("c", "component_id")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    joined = rows.join(groups, "c", "left")
     component = F.when(F.col("doc_id").isNotNull(), own)
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return rows.join(groups, "c", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")
+    )
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
