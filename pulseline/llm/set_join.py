@@ -42,7 +42,10 @@ CHUNK_SHINGLES = 4_000_000
 REMEMBERED = 1_000_000
 #: Buckets of a set's bitmap.
 BITS = 1_024
-#: Pairs of one set that meet in one task.
+#: Bits of the filter that says whose sets are wanted.
+FILTER_BITS = 1 << 24
+SETS_AT_ONCE = 2_000
+#: Partners of one set in one row.
 SALT_PAIRS = 256
 #: Members of a list that meet all others of it first.
 PIVOTS = 8
@@ -174,28 +177,50 @@ def can_match(n: Column, pos: Column, m: Column, at: Column) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (most >= needed_overlap(n, m))
 
 
+def id_filter(ids: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS hashed ids, 2 MB whatever their number: it may let others pass, never stops one of them."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = ids.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    return out
+
+
 def class_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """(c, tokens) of the documents with these ids: the sorted hashes as bytes; a repeated row repeats its set."""
+    """(c, tokens) of the documents with these ids, and of a few others: the sorted hashes as bytes.
+
+    The texts stay where they are read; a bitmap of the ids says which ones to look at.
+    """
+    bits = documents.sparkSession.sparkContext.broadcast(id_filter(ids))
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(t) for t in batch["text"]]
-            yield pd.DataFrame({"c": [class_of(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
-
-    rows = documents.select("doc_id", "text").join(ids, "doc_id", "left_semi")
+            place = batch["place"].to_numpy()
+            wanted = (bits.value[place // 64] >> (place % 64)) & 1 == 1
+            for first in range(0, int(wanted.sum()), SETS_AT_ONCE):
+                sets = [shingles(t) for t in batch["text"][wanted].iloc[first : first + SETS_AT_ONCE]]
+                yield pd.DataFrame({"c": [class_of(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
+
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place")
+    rows = documents.where("doc_id IS NOT NULL").select(place, "text")
     return rows.mapInPandas(made, "c long, tokens binary")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b, na, nb) with `both`, the size of the overlap.
 
-    A set with many partners is sent once for every SALT_PAIRS of them, so they spread over tasks.
+    A set goes to its partners in rows of at most SALT_PAIRS of them. Sets with more partners have several rows, which
+    are dealt out before they are unfolded, so no task sends one set to all of its partners.
     """
     order = Window.partitionBy("a").orderBy("b")
-    salted = cut_lineage(pairs.withColumn("salt", F.floor((F.row_number().over(order) - 1) / SALT_PAIRS)))
-    sets = shuffled_once(sets, "c")  # both sides read one shuffle
-    left = salted.select("a", "salt").distinct().join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
-    right = salted.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b")
+    salted = pairs.withColumn("salt", F.floor((F.row_number().over(order) - 1) / SALT_PAIRS))
+    rows = cut_lineage(salted.groupBy("a", "na", "salt").agg(F.collect_list(F.struct("b", "nb")).alias("partners")))
+    sets = shuffled_once(sets, "c")  # both sides of the pairs read one shuffle
+    sent = rows.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
+    dealt = sent.where("salt > 0").repartition("a", "salt")
+    sent = sent.where("salt = 0").union(dealt).select("a", "na", "ta", F.inline("partners"))
 
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
         out = []
@@ -206,7 +231,8 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         return pd.Series(out, dtype="int32")
 
     common.__annotations__ = {"x": pd.Series, "y": pd.Series, "return": pd.Series}
-    met = right.join(left, ["a", "salt"])
+    met = sent.join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b")
+    # A repeated row repeats its set, and so its pairs.
     return met.select("a", "b", "na", "nb", F.pandas_udf(common, "int")("ta", "tb").alias("both")).distinct()
 
 
@@ -282,6 +308,12 @@ def index_lists(entries: DataFrame) -> DataFrame:
     return one.withColumn("members", F.count("*").over(inside))
 
 
+def sets_of(pairs: DataFrame, documents: DataFrame, first: DataFrame) -> DataFrame:
+    """Sets of the classes in pairs, made from each class's first document."""
+    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    return class_sets(documents, wanted.join(first, "c").select("doc_id"))
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of every row."""
     signed = cut_lineage(signatures(documents))
@@ -294,14 +326,12 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
     star = cut_lineage(not_refused(pivot_pairs(lists), bits))
     crowded = lists.where(F.col("members") > PIVOTS + 1).select("token", "c", "n", "pos")
-    needed = star.select(F.col("a").alias("c")).union(star.select("b")).union(crowded.select("c")).distinct()
-    sets = cut_lineage(class_sets(documents, needed.join(first, "c").select("doc_id")))
-    met = cut_lineage(overlaps(star, sets))
+    met = cut_lineage(overlaps(star, sets_of(star, documents, first)))
     links = met.where(LINKED).select(F.col("a").alias("u"), F.col("b").alias("v"))
     labels = components(links).withColumnRenamed("node", "c")
     rest = cut_lineage(not_refused(open_pairs(crowded, labels, met), bits))
     if rest.limit(1).count():
-        more = overlaps(rest, sets).where(LINKED).select("a", "b")
+        more = overlaps(rest, sets_of(rest, documents, first)).where(LINKED).select("a", "b")
         labels = components(links.union(more)).withColumnRenamed("node", "c")
 
     named = first.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
