@@ -40,7 +40,7 @@ FREQUENT_ONE_IN = 1_000
 CHUNK_SHINGLES = 4_000_000
 #: Classes a task remembers so as not to repeat a copy's entries; results do not depend on it.
 REMEMBERED = 1_000_000
-#: Buckets of a set's bitmap.
+#: Buckets of a set's bitmap, at least.
 BITS = 1_024
 #: Bits of the filter that says whose sets are wanted.
 FILTER_BITS = 1 << 24
@@ -72,8 +72,12 @@ def class_of(shingle_set: np.ndarray) -> int:
 
 
 def bitmap(shingle_set: np.ndarray) -> np.ndarray:
-    """For each of BITS buckets of hashes whether an odd number of the set's shingles fall in, as 64-bit numbers."""
-    odd = np.bincount((shingle_set % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    """For each bucket of hashes whether an odd number of the set's shingles fall in, as 64-bit numbers.
+
+    There are as many buckets as shingles, rounded up to a power of two, and BITS at least.
+    """
+    size = max(BITS, 1 << max(len(shingle_set) - 1, 1).bit_length())
+    odd = np.bincount((shingle_set % np.uint64(size)).astype(np.int64), minlength=size) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -245,12 +249,23 @@ LINKED = "9 * both >= 4 * (na + nb)"
 
 
 def not_refused(pairs: DataFrame, bits: DataFrame) -> DataFrame:
-    """Pairs (a, b, na, nb) whose bitmaps allow a link: differing buckets are at most the elements not in both."""
+    """Pairs (a, b, na, nb) whose bitmaps allow a link: differing buckets are at most the elements not in both.
+
+    The longer of two bitmaps is folded onto the other; sizes that can match differ by one fold at most.
+    """
     met = pairs.join(bits.select(F.col("c").alias("a"), F.col("bits").alias("x")), "a")
     met = met.join(bits.select(F.col("c").alias("b"), F.col("bits").alias("y")), "b")
+
+    def onto(long: str, short: str) -> Column:
+        size = F.size(short)
+        halves = F.slice(long, 1, size), F.slice(long, size + 1, size)
+        folded = F.zip_with(*halves, lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(long) > size, folded).otherwise(F.col(long))
+
     differ = F.aggregate(
-        F.zip_with("x", "y", lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")), F.lit(0), lambda s, v: s + v
-    )
+        F.zip_with(onto("x", "y"), onto("y", "x"), lambda p, q: F.bit_count(p.bitwiseXOR(q)).cast("int")),
+        F.lit(0), lambda s, v: s + v,
+    )
     most = F.col("na") + F.col("nb") - 2 * needed_overlap(F.col("na"), F.col("nb"))
     return met.where(differ <= most).select("a", "b", "na", "nb")
 
