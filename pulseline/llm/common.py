@@ -9,13 +9,13 @@ from ..session import cut_lineage
 
 
 class Recent(dict):
-    """Results per key, made by `make` when first asked for, at most 2 * `limit` of them.
+    """Results per key, made by `make` when first asked for, at most twice `limit` of them.
 
     When `limit` are held they become the old ones, and the old ones before them are forgotten; an old one that is
     asked for again is taken over. What is often asked for stays, and results do not depend on any of it.
     """
 
-    limit = 300_000
+    limit = 200_000
 
     def __init__(self):
         super().__init__()

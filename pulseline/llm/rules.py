@@ -6,7 +6,7 @@ penalty weighs the rules and leaves most at zero, and the remaining ones are com
 so all rows are scored inside the JVM.
 
 Defined results: null texts count as empty; an empty text has all statistics at zero and is scored like any other.
-Without labelled rows of both classes there is nothing to learn and every text scores 0.5. Repeated rows and extra or
+Without labelled rows of both classes, or enough rows for a cut, there is nothing to learn and every text scores 0.5. Repeated rows and extra or
 clashing columns don't matter.
 """
 
@@ -167,6 +167,8 @@ def fit_rules(x: np.ndarray, y: np.ndarray, seed: int = 11) -> RuleEnsemble:
         return RuleEnsemble(0.0, ())
     rng = np.random.default_rng(seed)
     rules = list(dict.fromkeys(r for _ in range(TREES) for r in grow(x, y, rng)))
+    if not rules:  # too few rows for any cut
+        return RuleEnsemble(0.0, ())
     held = np.stack([r.holds(x) for r in rules], axis=1)
     _, first = np.unique(held, axis=1, return_index=True)  # rules that hold for the same rows are one
     first = np.sort(first)
