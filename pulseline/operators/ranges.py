@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.text import compute_once
 
 TARGET_ROWS = 4_000_000
-MAX_RANGES = 10_000
 SAMPLE_PER_RANGE = 200
 RANGE = "_range"
 
@@ -44,14 +43,14 @@ def order_number(df: DataFrame, order: str) -> Column:
 def plan_ranges(df: DataFrame, order: str, *, target_rows: int = TARGET_ROWS, min_ranges: int | None = None) -> Ranges:
     """Cut points for `order`, from a row count and a sample of that one column.
 
-    The sample only places the cuts; its size is bounded by the number of ranges, which is bounded as well.
+    The number of ranges grows with the rows, so a range stays as small at any size. The sample only places the cuts:
+    SAMPLE_PER_RANGE rows for each of them.
     `min_ranges` defaults to the cores of the session.
     """
     number = df.select(order_number(df, order).alias("n"))
     rows = number.count()
     wanted = max(min_ranges or df.sparkSession.sparkContext.defaultParallelism, -(-rows // target_rows))
-    wanted = min(wanted, MAX_RANGES, max(rows, 1))
-    target_rows = max(target_rows, -(-rows // MAX_RANGES))
+    wanted = min(wanted, max(rows, 1))
     if wanted <= 1:
         return Ranges(rows, target_rows)
     fraction = min(1.0, SAMPLE_PER_RANGE * wanted / rows)
@@ -84,7 +83,7 @@ def shuffled_once(df: DataFrame, *keys: str) -> DataFrame:
 def hot_keys(df: DataFrame, key: str, ranges: Ranges) -> DataFrame | None:
     """Keys with more than `target_rows` rows, or None.
 
-    There are at most rows / target_rows of them, which is at most MAX_RANGES, so they fit a broadcast.
+    There are at most rows / target_rows of them, one in four million rows, so they fit a broadcast.
     """
     if ranges.rows <= ranges.target_rows:
         return None

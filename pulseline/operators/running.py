@@ -38,7 +38,7 @@ def _sums_in_ranges(df: DataFrame, key: list[str], order: str, increments: dict[
     place = [*key, RANGE]
     rows = shuffled_once(df, *place)
     totals = rows.groupBy(*place).agg(*[F.sum(c).alias(name) for name, c in increments.items()])
-    # One row per range (and hot key): MAX_RANGES rows at most per key.
+    # One row per range (and hot key).
     earlier = Window.partitionBy(*key).orderBy(RANGE).rowsBetween(*BEFORE)
     carry = totals.select(*place, *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in increments])
     if not key:

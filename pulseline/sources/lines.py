@@ -39,7 +39,8 @@ def kafka_options(
         raise ValueError("a bounded read starts at 'earliest' or at named offsets")
     settings = {"subscribe": topic, "kafka.bootstrap.servers": brokers, "startingOffsets": start}
     if group:
-        settings["kafka.group.id"] = group
+        # A prefix: the queries of a job read the topic each for itself, not as members of one group.
+        settings["groupIdPrefix"] = group
     if max_per_trigger:
         settings["maxOffsetsPerTrigger"] = str(max_per_trigger)
     return settings

@@ -20,6 +20,8 @@ JDBC_INTERVAL = "3 seconds"
 # Takes the rows of a batch, the batch id, and the product's name.
 Sink = Callable[[DataFrame, int, str], None]
 PARTS = ["product", "batch_id"]
+# Where a compacted table's content lies.
+BASE_PRODUCT, BASE_BATCH = "compacted-base", -1
 
 
 def last_per_key(rows: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
@@ -43,12 +45,13 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
 
 
 def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
-    """Write the table's content to a new folder, to go on from there with the next batches."""
-    table = spark.read.parquet(path)
-    # One row per product.
-    newest = table.groupBy("product").agg(F.max("batch_id").alias("batch_id"))
-    content = last_per_key(table, ["product", *keys], "batch_id").join(F.broadcast(newest), "product")
-    content.write.partitionBy(*PARTS).parquet(target)
+    """Write the table's content to a new folder, to go on from there with the next batches.
+
+    The content becomes the base, under a product and a batch id that no batch has: a batch that is replayed after the
+    compaction writes its own partition beside the base, which stays below every batch.
+    """
+    content = read_latest(spark, path, keys)
+    content.write.parquet(f"{target}/product={BASE_PRODUCT}/batch_id={BASE_BATCH}")
 
 
 def latest_sink(path: str, keys: list[str], order: str | list[str] | None = None) -> Sink:

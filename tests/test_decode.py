@@ -134,7 +134,7 @@ def test_kafka_options():
     options = sources.kafka_options("order", "b1:9092", start="latest", stream=True, group="g", max_per_trigger=10)
     assert options == {
         "subscribe": "order", "kafka.bootstrap.servers": "b1:9092", "startingOffsets": "latest",
-        "kafka.group.id": "g", "maxOffsetsPerTrigger": "10",
+        "groupIdPrefix": "g", "maxOffsetsPerTrigger": "10",
     }
     with pytest.raises(ValueError):
         sources.kafka_options("order", "b1:9092", start="latest", stream=False)

@@ -59,6 +59,21 @@ def test_compaction_keeps_the_content(spark, tmp_path):
     assert {("a", "new"), ("other", "new")} <= set(rows(sinks.read_latest(spark, target, ["key"])))
 
 
+def test_replay_after_compaction_loses_nothing(spark, tmp_path):
+    path, target, again = (str(tmp_path / name) for name in ("kv", "compact", "again"))
+    batches = [kv(spark, ("a", str(i)), (f"k{i}", "1")) for i in range(4)]
+    for i, batch in enumerate(batches):
+        sinks.kv_set(path)(batch, i, "p")
+    before = rows(sinks.read_latest(spark, path, ["key"]))
+    sinks.compact_latest(spark, path, target, ["key"])
+    sinks.kv_set(target)(batches[3], 3, "p")
+    assert rows(sinks.read_latest(spark, target, ["key"])) == before
+    sinks.kv_set(target)(kv(spark, ("a", "new")), 4, "p")
+    sinks.compact_latest(spark, target, again, ["key"])
+    sinks.kv_set(again)(kv(spark, ("a", "new")), 4, "p")
+    assert rows(sinks.read_latest(spark, again, ["key"])) == sorted([("a", "new")] + [r for r in before if r[0] != "a"])
+
+
 def test_jdbc_rows_and_options(spark, monkeypatch):
     """No database here: the writer is replaced."""
     saved = {}
