@@ -6,7 +6,7 @@ Every statement builds the raw lines from the tables, decodes them, and computes
 from __future__ import annotations
 
 INTEGER = r"'^[+-]?[0-9]+$'"
-DECIMAL = r"'^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$'"
+DECIMAL = r"'^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$'"
 LEADING_TIME = r"'^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})([^0-9].*)?$'"
 PADDED = "'%Y-%m-%d %H:%M:%S'"
 UNPADDED = "'%Y-%-m-%-d %-H:%M:%S'"
@@ -154,7 +154,8 @@ environment_lines AS (
   SELECT event_id AS arrival, {_TS} AS arrival_ts,
     CASE WHEN event_id % 79 = 11 THEN 'x,y'
     ELSE concat_ws(',', CAST(event_id AS VARCHAR), CAST(user_id AS VARCHAR), 'a', 'b', 'c',
-      CAST(CAST("value" AS DECIMAL(10,2)) AS VARCHAR), 'd') END AS value
+      CASE WHEN event_id % 73 = 5 THEN ' ' || CAST(CAST("value" AS DECIMAL(10,2)) AS VARCHAR) || ' '
+        ELSE CAST(CAST("value" AS DECIMAL(10,2)) AS VARCHAR) END, 'd') END AS value
   FROM events
 ),
 environment_fields AS (
@@ -241,8 +242,6 @@ window_counts AS (
 
 
 WINDOW_COLUMNS = f"machine_id, {_us_text('window_start')} AS window_start, {_us_text('window_end')} AS window_end, cnt"
-# The watermark of a stream at its end, in whole milliseconds.
-STREAM_END = "(SELECT max(epoch_us(arrival_ts)) // 1000 * 1000 FROM change_lines)"
 IS_PASSED = "passed = '1'"
 IS_FLAGGED = "status = '预警' AND flag % 2 = 0"
 
@@ -368,9 +367,12 @@ transitions AS (
   FROM previous WHERE status = '运行' AND previous <> '运行'
 )"""
 
+JOIN_CELLS = f"""CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, {_money_text("amount")} AS orderprice,
+  CAST(num AS VARCHAR) AS orderdetailcount"""
 ORDER_CELLS = f"""CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, consignee, {_money_text("amount")}
-  AS final_total_amount, status AS order_status, user_id, {_text("create_time")} AS create_time,
-  {_text("operation_time")} AS operation_time"""
+  AS final_total_amount, status AS order_status, user_id,
+  {_text("date_trunc('day', create_time)")} AS create_time,
+  {_text("date_trunc('day', operation_time)")} AS operation_time"""
 
 REASONS = f"""
 reasons AS (
@@ -467,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
             DAY,
             f"'warning_last3min_everymin_out' AS key, {_us_text('window_end')} AS field, machine_id AS value",
         ),
-        "sink_row_upsert": _join_latest(30 * DAY, f"CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, {_money_text('amount')} AS orderprice, CAST(num AS VARCHAR) AS orderdetailcount"),
+        "sink_row_upsert": _join_latest(30 * DAY, JOIN_CELLS),
         "cancelled_orders_upsert": f"""{ORDERS} SELECT {ORDER_CELLS} FROM (SELECT *, row_number() OVER
           (PARTITION BY id ORDER BY arrival DESC) AS place FROM o WHERE status = '1003') WHERE place = 1""",
         "sink_jdbc_append_order_info": f"""{ORDERS} SELECT CAST(id AS VARCHAR) AS id, consignee, consignee_tel,
@@ -488,17 +490,14 @@ def oracle_sql() -> dict[str, str]:
         + "SELECT key, value FROM kpi_rows WHERE key IN ('totalcount', 'refundcountminute', 'cancelrate')",
         "stream_top_users": _with(ORDER_LINES, USER_SPEND) + TOP_USERS,
         "stream_top_sku_amount": _with(DETAIL_LINES, SKU_SUMS) + TOP_SKU_AMOUNT,
-        # A stream emits the windows that have closed.
         "stream_warning_counts": _warning_tumbling(
             DAY, f"machine_id, CAST(cnt AS VARCHAR) AS cnt, {_us_text('window_end')} AS window_end"
-        )
-        + f" WHERE window_end <= {STREAM_END}",
+        ),
         "stream_warning_top": _warning_sliding(
             3 * DAY,
             DAY,
             f"'warning_last3min_everymin_out' AS key, {_us_text('window_end')} AS field, machine_id AS value",
-        )
-        + f" AND window_end <= {STREAM_END}",
+        ),
         "stream_transitions": _with(CHANGE_LINES, TRANSITIONS)
         + "SELECT machine_id, previous AS last_status, CAST(changes AS VARCHAR) AS changes, change_time FROM transitions",
         "stream_warning_held": _holds(
@@ -508,5 +507,11 @@ def oracle_sql() -> dict[str, str]:
             f"'warning30sMachine' AS key, machine_id AS field, arg_max({_message(21600)}, alert) AS value",
         )
         + " GROUP BY machine_id",
-        "stream_order_join": _join(30 * DAY) + "SELECT DISTINCT CAST(id AS VARCHAR) AS row_key FROM joined",
+        "stream_order_join": _join_latest(30 * DAY, JOIN_CELLS),
+        "read_lines_text": _with(CHANGE_LINES, TRANSITIONS) + "SELECT machine_id, previous, changes FROM transitions",
+        "hold_alerts_status_6h_split": _warning_holds(6 * HOUR),
+        "hold_alerts_threshold_6h_split": _temperature_holds(6 * HOUR),
+        "transitions_to_running_split": _with(CHANGE_LINES, TRANSITIONS)
+        + "SELECT arrival, machine_id, previous, changes, change_time FROM transitions",
+        "sku_running_amount_split": _sku_running(_money_text("amount"), "amount"),
     }

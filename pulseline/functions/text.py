@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from .codes import LAST, MONEY, TIME_FORMAT
 
 INTEGER = r"^[+-]?[0-9]+$"
-DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# Amounts and readings may have white space around them, whole numbers may not.
+DECIMAL = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 # The leading timestamp (or date) of a field; whatever follows a non-digit is ignored.
 LEADING_TIME = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2} [0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})([^0-9].*)?$"
 LEADING_DATE = r"^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})([^0-9].*)?$"

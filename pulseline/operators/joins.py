@@ -18,9 +18,14 @@ def _details_side(details: DataFrame, size: str, time: str) -> DataFrame:
     )
 
 
-def pair_cells(pairs: DataFrame) -> DataFrame:
+# Which of two pairs of an order is written later.
+PAIR_ORDER = ["w", "o_arrival", "d_arrival"]
+
+
+def pair_cells(pairs: DataFrame, *kept: str) -> DataFrame:
     return pairs.select(
         "id",
+        *kept,
         text.money_text(F.col("amount")).alias("orderprice"),
         F.col("num").cast("string").alias("orderdetailcount"),
     )

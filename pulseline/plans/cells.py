@@ -30,10 +30,11 @@ def order_cells(orders: DataFrame) -> DataFrame:
     )
 
 
-def join_cells(pairs: DataFrame) -> DataFrame:
-    """The cells of one (order, detail) pair per order id."""
+def join_cells(pairs: DataFrame, *order: str) -> DataFrame:
+    """The cells of (order, detail) pairs under the order id; the `order` columns decide which pair is the last."""
     key = F.col("id").cast("string")
-    return joins.pair_cells(pairs).select(key.alias("row_key"), key.alias("id"), "orderprice", "orderdetailcount")
+    cells = joins.pair_cells(pairs, *order)
+    return cells.select(key.alias("row_key"), key.alias("id"), "orderprice", "orderdetailcount", *order)
 
 
 def warning_cells(counts: DataFrame) -> DataFrame:

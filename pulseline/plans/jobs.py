@@ -137,14 +137,15 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
 
     top_amount = codes.KEY_TOP_SKU_AMOUNT
 
-    def last_rows(batch: DataFrame, batch_id: int) -> DataFrame:
-        return cells.join_cells(last_per_key(batch, ["id"], ["w", "o_arrival", "d_arrival"]))
+    def join_rows(batch: DataFrame, batch_id: int) -> DataFrame:
+        last = last_per_key(batch, ["id"], joins.PAIR_ORDER, kept=tuple(joins.PAIR_ORDER))
+        return cells.join_cells(last, *joins.PAIR_ORDER)
 
     joined = joins.order_detail_pairs(orders, details, size)
     return [
         Flow("order_count", orders, _kpis(folder, [codes.KEY_ORDER_COUNT])),
         Flow("top_skus", topk.sku_sums(details), {top_amount: _top_skus("amount", top_amount)}, "complete"),
-        Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: last_rows}),
+        Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: join_rows}),
     ]
 
 

@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, text
 from ..operators import decode, joins, kpis, patterns, routing, running, topk, windows
-from ..operators.ranges import plan_ranges
+from ..operators.ranges import TARGET_ROWS, plan_ranges
 from ..session import shared_folder
 from ..sources import tables
-from ..sources.lines import read_files
+from ..sources.lines import read_files, read_lines
 from ..streaming import sinks
 from ..streaming.runner import Flow, run_job
 from . import cells, jobs
@@ -27,6 +27,8 @@ QUERIES: dict[str, Query] = {}
 
 # Durations for the test tables, where one machine reports about every few hours.
 DAY, THREE_DAYS, SIX_HOURS, MONTH = "1 day", "3 days", "6 hours", "30 days"
+# Rows of a range in the queries whose names end in `_split`: keys of the test tables hold more, so they are cut.
+SPLIT_ROWS = 40
 
 
 def _query(name: str, make: Query) -> None:
@@ -154,9 +156,9 @@ def _running(operator, *columns) -> Query:
     return run
 
 
-def _per_sku(operator, *columns) -> Query:
+def _per_sku(operator, *columns, target_rows: int = TARGET_ROWS) -> Query:
     def run(spark, sf):
-        ranges = plan_ranges(tables.detail_arrivals(spark, sf), "arrival", min_ranges=1)
+        ranges = plan_ranges(tables.detail_arrivals(spark, sf), "arrival", target_rows=target_rows, min_ranges=1)
         rows = operator(_details(spark, sf), ranges=ranges)
         return _pick(rows, "arrival", "sku_id", "events", *columns)
 
@@ -172,6 +174,9 @@ _query("order_kpis_latest", _of(_orders, kpis.order_kpis_latest))
 _query("user_spend", _of(_orders, topk.user_spend, "key", _money("value")))
 _query("sku_running_quantity", _per_sku(running.sku_running_quantity, "quantity"))
 _query("sku_running_amount", _per_sku(running.sku_running_amount, _money("amount")))
+_query(
+    "sku_running_amount_split", _per_sku(running.sku_running_amount, _money("amount"), target_rows=SPLIT_ROWS)
+)
 
 # Top-k.
 
@@ -250,26 +255,40 @@ _query("order_detail_latest", lambda spark, sf: joins.pair_cells(_join_latest(sp
 # Patterns.
 
 
-def _event_ranges(spark, sf, order):
+def _event_ranges(spark, sf, order, target_rows=TARGET_ROWS):
     """From the arrival numbers or times alone, which needs no decoding."""
-    return plan_ranges(tables.event_arrivals(spark, sf), order, min_ranges=1)
+    return plan_ranges(tables.event_arrivals(spark, sf), order, target_rows=target_rows, min_ranges=1)
+
 
+def _transitions(target_rows=TARGET_ROWS):
+    def source(spark, sf):
+        ranges = _event_ranges(spark, sf, "arrival", target_rows)
+        return patterns.transitions_to_running(_changes(spark, sf), ranges=ranges)
 
-def _transitions(spark, sf):
-    return patterns.transitions_to_running(_changes(spark, sf), ranges=_event_ranges(spark, sf, "arrival"))
+    return source
 
 
-def _warning_held(hold):
+def _text_transitions(spark, sf):
+    """The machine lines as text files, read back; the transitions depend on their order."""
+    path = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
+    lines = tables.change_lines(spark, sf).repartitionByRange("arrival").sortWithinPartitions("arrival")
+    lines.select("value").write.text(path)
+    changes = decode.decode_changes(read_lines(spark, "text", path=path, files_by="path")).rows
+    return patterns.transitions_to_running(changes).select("machine_id", "previous", "changes")
+
+
+def _warning_held(hold, target_rows=TARGET_ROWS):
     def run(spark, sf):
-        alerts = patterns.warning_held(_changes(spark, sf, True), hold, ranges=_event_ranges(spark, sf, "arrival_ts"))
+        ranges = _event_ranges(spark, sf, "arrival_ts", target_rows)
+        alerts = patterns.warning_held(_changes(spark, sf, True), hold, ranges=ranges)
         return _pick(alerts, "machine_id", _time("alert_time"), "message")
 
     return run
 
 
-def _temperature_held(hold):
+def _temperature_held(hold, target_rows=TARGET_ROWS):
     def run(spark, sf):
-        ranges = _event_ranges(spark, sf, "arrival_ts")
+        ranges = _event_ranges(spark, sf, "arrival_ts", target_rows)
         alerts = patterns.temperature_held(_environment(spark, sf), hold, ranges=ranges)
         return alerts.select(
             "machine_id",
@@ -284,13 +303,14 @@ _query("hold_alerts_status", _warning_held(codes.WARNING_HOLD))
 _query("hold_alerts_status_6h", _warning_held(SIX_HOURS))
 _query("hold_alerts_threshold", _temperature_held(codes.TEMPERATURE_HOLD))
 _query("hold_alerts_threshold_6h", _temperature_held(SIX_HOURS))
-_query(
-    "transitions_to_running",
-    _of(
-        _transitions, _same,
-        "arrival", "machine_id", "previous", "changes", _time("change_time"),
-    ),
-)
+_query("hold_alerts_status_6h_split", _warning_held(SIX_HOURS, SPLIT_ROWS))
+_query("hold_alerts_threshold_6h_split", _temperature_held(SIX_HOURS, SPLIT_ROWS))
+
+_TRANSITION = ("arrival", "machine_id", "previous", "changes", _time("change_time"))
+
+_query("transitions_to_running", _of(_transitions(), _same, *_TRANSITION))
+_query("transitions_to_running_split", _of(_transitions(SPLIT_ROWS), _same, *_TRANSITION))
+_query("read_lines_text", _text_transitions)
 
 # Sinks: write to a latest-value table in the shared folder and read its content back.
 
@@ -332,7 +352,7 @@ def _row_upsert_temperature(spark, sf):
 
 
 def _cancelled_upsert(spark, sf):
-    rows = cells.order_cells(routing.cancelled_orders(_orders(spark, sf)))
+    rows = cells.order_cells(routing.cancelled_orders(_orders(spark, sf, date_only=True)))
     return _one(spark, codes.TABLE_ORDER_INFO, rows, ["row_key"], "arrival")
 
 

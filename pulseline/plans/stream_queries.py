@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import codes
+from ..operators.joins import PAIR_ORDER
 from ..session import shared_folder
 from ..sources import tables
 from ..sources.lines import read_lines
@@ -21,6 +22,8 @@ from ..streaming.runner import run_job
 from . import jobs
 
 PIECES = 2
+# A line of no machine and without a warning.
+LAST_LINE = "0,,0000,离线,2000-01-01 00:00:00,x,1"
 LINE = "value string, arrival bigint, arrival_ts timestamp"
 SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "order": tables.order_lines,
@@ -42,8 +45,26 @@ def capture(lines: DataFrame, path: str, pieces: int = PIECES) -> None:
         kept.where(F.col("arrival").between(first, first + width - 1)).write.mode("append").parquet(path)
 
 
+def close_windows(path: str, spark: SparkSession) -> None:
+    """Append a line far in the future, which closes all windows and is in no result itself."""
+    last = spark.read.schema(LINE).parquet(path).agg(
+        F.lit(LAST_LINE).alias("value"),
+        (F.max("arrival") + 1).alias("arrival"),
+        (F.max("arrival_ts") + F.expr("INTERVAL 10 YEARS")).alias("arrival_ts"),
+    )
+    last.write.mode("append").parquet(path)
+
+
 def run_streams(
-    spark: SparkSession, sf_dir: str, job: str, product: str, keys: list[str], order: list[str] | None = None, **options
+    spark: SparkSession,
+    sf_dir: str,
+    job: str,
+    product: str,
+    keys: list[str],
+    order: list[str] | None = None,
+    *,
+    close: bool = False,
+    **options,
 ) -> DataFrame:
     """The content of one product's table after the job has read all lines."""
     folder = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
@@ -51,6 +72,8 @@ def run_streams(
     for kind in jobs.JOBS[job].inputs:
         path = f"{folder}/lines/{kind}"
         capture(SOURCES[kind](spark, sf_dir), path)
+        if close:
+            close_windows(path, spark)
         files = len(spark.read.schema(LINE).parquet(path).inputFiles())
         lines[kind] = read_lines(
             spark, "parquet", path=path, schema=LINE, stream=True, maxFilesPerTrigger=str(-(-files // PIECES))
@@ -68,10 +91,10 @@ STREAM_QUERIES = {
     "stream_top_users": lambda s, d: run_streams(s, d, "top_users", codes.KEY_TOP_USERS, ["key"]),
     "stream_top_sku_amount": lambda s, d: run_streams(s, d, "top_skus", codes.KEY_TOP_SKU_AMOUNT, ["key"]),
     "stream_warning_counts": lambda s, d: run_streams(
-        s, d, "warning_counts", codes.TABLE_WARNING_COUNT, ["machine_id", "window_end"], size="1 day"
+        s, d, "warning_counts", codes.TABLE_WARNING_COUNT, ["machine_id", "window_end"], close=True, size="1 day"
     ),
     "stream_warning_top": lambda s, d: run_streams(
-        s, d, "warning_top", codes.HASH_TOP_WARNING, ["key", "field"], size="3 days", slide="1 day"
+        s, d, "warning_top", codes.HASH_TOP_WARNING, ["key", "field"], close=True, size="3 days", slide="1 day"
     ),
     "stream_transitions": lambda s, d: run_streams(
         s, d, "transitions", codes.TABLE_TRANSITIONS, ["machine_id", "changes"]
@@ -80,6 +103,6 @@ STREAM_QUERIES = {
         s, d, "warning_held", codes.HASH_WARNING_HELD, ["key", "field"], ["alert_time"], hold="6 hours"
     ),
     "stream_order_join": lambda s, d: run_streams(
-        s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], size="30 days", delay="4000 days"
-    ).select("row_key"),
+        s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], PAIR_ORDER, size="30 days", delay="4000 days"
+    ),
 }

@@ -7,13 +7,17 @@ arrival_ts  when the line arrived
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 # Offsets of different partitions are interleaved: arrival = offset * KAFKA_PARTITIONS + partition.
 KAFKA_PARTITIONS = 65536
 
+# The place of a line in a text file counts in bytes, below this bit; the number of the file stands above it.
+FILE_BITS = 40
+FILE_ORDERS = {"time": ["_time", "_file"], "path": ["_file"]}
+
 
 def read_kafka(
     spark: SparkSession,
@@ -65,20 +69,23 @@ def read_files(
     arrival: str | Column | None = "arrival",
     arrival_ts: str | Column | None = "arrival_ts",
     stream: bool = False,
+    files_by: str = "time",
     **options: str,
 ) -> DataFrame:
     """Captured lines from files, as a stream or as a batch.
 
     `value`, `arrival` and `arrival_ts` name (or compute) the columns. Plain text files hold the line only: there
-    the arrival time is the file's modification time, and the arrival number follows the file listing (batch only).
+    the arrival time is the file's modification time, and lines arrive file by file, in the order of the files' time
+    (`files_by="time"`) or of their paths alone (`"path"`). A stream of text files has no such order and is refused.
     """
+    if format == "text":
+        if stream:
+            raise ValueError("a stream of text files has no arrival order; capture lines with an arrival number")
+        return text_lines(spark, path, files_by, options)
     reader = (spark.readStream if stream else spark.read).format(format).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load(path)
-    if format == "text":
-        arrival_ts = F.col("_metadata.file_modification_time")
-        arrival = F.lit(None).cast("bigint") if stream else F.monotonically_increasing_id()
     return raw.select(
         _column(value).cast("string").alias("value"),
         _column(arrival).cast("bigint").alias("arrival"),
@@ -86,6 +93,31 @@ def read_files(
     )
 
 
+def text_lines(spark: SparkSession, path: str, files_by: str, options: dict[str, str]) -> DataFrame:
+    """Lines of text files: `arrival` is made of the file's number and of the line's place in the file.
+
+    A file's blocks are numbered by themselves, so a large file is never one task. A line takes at least one byte, so
+    a block's start plus the line's number in it is a place that no other block reaches; files that are compressed and
+    yet cut into blocks (bzip2) are not supported. Only one row per file meets in one task.
+    """
+    name, time = "_metadata.file_path AS _file", "_metadata.file_modification_time AS _time"
+    files = spark.read.format("binaryFile").options(**options).load(path).selectExpr(name, time)
+    number = F.row_number().over(Window.orderBy(*FILE_ORDERS[files_by])) - 1
+    files = files.select("_file", "_time", number.cast("bigint").alias("_number"))
+    lines = spark.read.format("text").options(**options).load(path).selectExpr(
+        "value", name, "_metadata.file_block_start AS _block", "monotonically_increasing_id() AS _id"
+    )
+    in_block = F.row_number().over(Window.partitionBy("_file", "_block").orderBy("_id"))
+    # The first block may hold one line more than bytes: one that begins where the next block does.
+    place = F.col("_block") + in_block - F.when(F.col("_block") == 0, 1).otherwise(0)
+    placed = lines.select("value", "_file", place.alias("_place"))
+    return placed.join(files, "_file").select(
+        "value",
+        (F.shiftleft("_number", FILE_BITS) + F.col("_place")).alias("arrival"),
+        F.col("_time").cast("timestamp").alias("arrival_ts"),
+    )
+
+
 def _column(c: str | Column | None) -> Column:
     if c is None:
         return F.lit(None)

@@ -93,5 +93,7 @@ def produce_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def environment_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = ["'a'", "'b'", "'c'", "CAST(value AS decimal(10,2))", "'d'"]
+    number = "CAST(CAST(value AS decimal(10,2)) AS string)"
+    padded = f"CASE WHEN event_id % 73 = 5 THEN concat(' ', {number}, ' ') ELSE {number} END"
+    fields = ["'a'", "'b'", "'c'", padded, "'d'"]
     return _event_lines(spark, sf_dir, fields, "event_id % 79 = 11", "'x,y'")

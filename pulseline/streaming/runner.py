@@ -24,9 +24,12 @@ class Flow:
     output_mode: str = "append"
 
 
-def write_outputs(batch: DataFrame, batch_id: int, outputs: dict[str, Output], sinks: dict[str, Sink]) -> None:
+def write_outputs(
+    batch: DataFrame, batch_id: int, outputs: dict[str, Output], sinks: dict[str, Sink], *, streamed: bool = False
+) -> None:
+    """A micro-batch is held while it is worked on: an output may use it twice, and its lines are read once."""
     wanted = {name: output for name, output in outputs.items() if name in sinks}
-    shared = len(wanted) > 1
+    shared = streamed or len(wanted) > 1
     if shared:
         batch.persist()
     try:
@@ -54,7 +57,7 @@ def run_job(
             raise ValueError("a stream needs a checkpoint folder")
 
         def write(batch: DataFrame, batch_id: int, flow: Flow = flow) -> None:
-            write_outputs(batch, batch_id, flow.outputs, sinks)
+            write_outputs(batch, batch_id, flow.outputs, sinks, streamed=True)
 
         writer = flow.frame.writeStream.outputMode(flow.output_mode).queryName(flow.name).foreachBatch(write)
         queries.append(writer.option("checkpointLocation", f"{checkpoint}/{flow.name}").trigger(

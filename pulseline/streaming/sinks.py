@@ -3,7 +3,9 @@
 Latest-value tables (key to value, hash field to value, row key to cells) are parquet folders with one partition per
 product and batch, each holding the batch's last row per key. Writing a batch again replaces its own partition and
 nothing else, so a replayed batch changes nothing, and a lost executor or driver leaves older batches untouched. The
-table's content is the row with the highest batch id per key.
+table's content is one row per key: the last by the sink's `order`, which the table keeps in the column `_order`, and
+then by batch id. So a late row that an earlier batch has overtaken stays behind it. All products of a table have an
+order, or none has.
 """
 
 from __future__ import annotations
@@ -20,17 +22,18 @@ JDBC_INTERVAL = "3 seconds"
 # Takes the rows of a batch, the batch id, and the product's name.
 Sink = Callable[[DataFrame, int, str], None]
 PARTS = ["product", "batch_id"]
+ORDER = "_order"
 # Where a compacted table's content lies.
 BASE_PRODUCT, BASE_BATCH = "compacted-base", -1
 
 
-def last_per_key(rows: DataFrame, keys: list[str], order: str | list[str]) -> DataFrame:
-    """The last row of each key by `order`, without the order columns.
+def last_per_key(rows: DataFrame, keys: list[str], order: str | list[str], kept: tuple[str, ...] = ()) -> DataFrame:
+    """The last row of each key by `order`, without the order columns but those in `kept`.
 
     A partial aggregate, so a hot key is reduced before the shuffle.
     """
     order = [order] if isinstance(order, str) else order
-    cells = [c for c in rows.columns if c not in keys and c not in order]
+    cells = [c for c in rows.columns if c not in keys and (c in kept or c not in order)]
     last = rows.groupBy(*keys).agg(F.max_by(F.struct(*cells), F.struct(*order)).alias("_last"))
     return last.select(*keys, *[F.col(f"_last.{c}").alias(c) for c in cells])
 
@@ -41,7 +44,13 @@ def write_latest(rows: DataFrame, batch_id: int, product: str, path: str) -> Non
 
 
 def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    return last_per_key(spark.read.parquet(path), keys, PARTS[::-1])
+    return _content(spark, path, keys).drop(ORDER)
+
+
+def _content(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+    table = spark.read.parquet(path)
+    order = [ORDER] if ORDER in table.columns else []
+    return last_per_key(table, keys, [*order, *PARTS[::-1]], kept=(ORDER,))
 
 
 def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
@@ -50,16 +59,18 @@ def compact_latest(spark: SparkSession, path: str, target: str, keys: list[str])
     The content becomes the base, under a product and a batch id that no batch has: a batch that is replayed after the
     compaction writes its own partition beside the base, which stays below every batch.
     """
-    content = read_latest(spark, path, keys)
-    content.write.parquet(f"{target}/product={BASE_PRODUCT}/batch_id={BASE_BATCH}")
+    _content(spark, path, keys).write.parquet(f"{target}/product={BASE_PRODUCT}/batch_id={BASE_BATCH}")
 
 
 def latest_sink(path: str, keys: list[str], order: str | list[str] | None = None) -> Sink:
     """A latest-value table under any keys. Without `order`, a batch has one row per key already."""
+    columns = [order] if isinstance(order, str) else order
 
     def write(batch: DataFrame, batch_id: int, product: str) -> None:
-        rows = last_per_key(batch, keys, order) if order else batch
-        write_latest(rows, batch_id, product, path)
+        if columns:
+            ordered = batch.withColumn(ORDER, F.struct(*columns))
+            batch = last_per_key(ordered, keys, [ORDER, *columns], kept=(ORDER,))
+        write_latest(batch, batch_id, product, path)
 
     return write
 

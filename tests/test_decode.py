@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 from decimal import Decimal
 
 import pytest
@@ -122,6 +123,37 @@ def test_text_files(spark, tmp_path):
     assert got.where(F.col("arrival_ts").isNull()).count() == 0
 
 
+def test_text_files_keep_their_order(spark, tmp_path):
+    """A small old file, a large one cut into blocks, and a small new one whose name comes first."""
+    want = ["a-0", "a-1", *(f"b-{i}" for i in range(60_000)), "", "c"]
+    for at, (name, part) in enumerate({"n.txt": want[:2], "o.txt": want[2:-2], "a.txt": want[-2:]}.items()):
+        (tmp_path / name).write_text("\n".join(part) + "\n")
+        os.utime(tmp_path / name, (1_700_000_000 + at, 1_700_000_000 + at))
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
+    try:
+        got = sources.read_lines(spark, "text", path=str(tmp_path)).orderBy("arrival").collect()
+        by_path = sources.read_lines(spark, "text", path=str(tmp_path), files_by="path").orderBy("arrival").first()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert [r.value for r in got] == want
+    assert len({r.arrival for r in got}) == len(want)
+    assert by_path.value == ""
+
+
+def test_a_stream_of_text_files_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="arrival order"):
+        sources.read_lines(spark, "text", path=str(tmp_path), stream=True)
+
+
+def test_white_space_around_numbers(lines):
+    reading = decode.decode_environment(lines(["1,m,a,b,c, 39.5 ,d"])).rows.first()
+    assert reading.temperature == 39.5
+    assert decode.decode_orders(lines([order_line(amount=" 7.5 ")])).rows.first().amount == Decimal("7.50")
+    bad = order_line(id=" 7 ")
+    assert reasons(decode.decode_orders(lines([bad]))) == {bad: "bad_number"}
+
+
 def test_kafka_records(spark):
     schema = "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
     made = [(None, b"a,b", "t", p, o, dt.datetime(2024, 1, 1, 0, 0, o), 0) for p in (0, 1) for o in (0, 1)]

@@ -43,7 +43,22 @@ def test_rows_of_a_batch_are_reduced_to_the_last(spark, tmp_path):
     path = str(tmp_path / "rows")
     batch = spark.createDataFrame([("r", 1, "x"), ("r", 2, "y"), ("q", 1, "z")], "row_key string, n int, cell string")
     sinks.row_upsert(path, order="n")(batch, 0, "p")
-    assert rows(spark.read.parquet(path).drop(*sinks.PARTS)) == [("q", "z"), ("r", "y")]
+    assert rows(spark.read.parquet(path).drop(*sinks.PARTS, sinks.ORDER)) == [("q", "z"), ("r", "y")]
+
+
+def test_a_late_row_stays_behind_the_last(spark, tmp_path):
+    path, target = str(tmp_path / "rows"), str(tmp_path / "compact")
+
+    def batch(n, cell):
+        return spark.createDataFrame([("r", n, cell)], "row_key string, n int, cell string")
+
+    sink = sinks.row_upsert(path, order="n")
+    sink(batch(100, "last"), 0, "p")
+    sink(batch(0, "late"), 1, "p")
+    assert rows(sinks.read_latest(spark, path, ["row_key"])) == [("r", "last")]
+    sinks.compact_latest(spark, path, target, ["row_key"])
+    sinks.row_upsert(target, order="n")(batch(50, "late again"), 2, "p")
+    assert rows(sinks.read_latest(spark, target, ["row_key"])) == [("r", "last")]
 
 
 def test_compaction_keeps_the_content(spark, tmp_path):
