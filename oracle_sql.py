@@ -507,6 +507,9 @@ def oracle_sql() -> dict[str, str]:
             f"'warning30sMachine' AS key, machine_id AS field, arg_max({_message(21600)}, alert) AS value",
         )
         + " GROUP BY machine_id",
+        "stream_rejects": _with(ENVIRONMENT_LINES)
+        + """SELECT arrival, value, CASE WHEN short THEN 'short' ELSE 'bad_number' END AS reason FROM environment_parsed
+          WHERE short OR temperature IS NULL""",
         "stream_order_join": _join_latest(30 * DAY, JOIN_CELLS),
         "read_lines_text": _with(CHANGE_LINES, TRANSITIONS) + "SELECT machine_id, previous, changes FROM transitions",
         "hold_alerts_status_6h_split": _warning_holds(6 * HOUR),

@@ -2,7 +2,8 @@
 
 `JOBS` maps a job name to its line kinds and a function `(lines, folder, **options) -> flows`; `lines` holds one
 frame per line kind, `folder` is where the job keeps figures between batches, and products are named by the key or
-table they are written to.
+table they are written to. Malformed lines of a kind are the product `rejects_<kind>`, a flow of its own that reads the
+lines for itself and runs only where that product has a sink.
 """
 
 from __future__ import annotations
@@ -49,6 +50,11 @@ def _rows(batch: DataFrame, batch_id: int) -> DataFrame:
     return batch
 
 
+def _rejects(kind: str, decoded: decode.Decoded) -> Flow:
+    """(value, arrival, arrival_ts, reason) of the lines that were not decoded."""
+    return Flow(f"rejects_{kind}", decoded.rejects, {f"rejects_{kind}": _rows})
+
+
 def _kpis(folder: str, keys: list[str]) -> dict[str, Output]:
     """The figures under `keys`, as one product."""
 
@@ -68,39 +74,43 @@ def _cancelled(make: Callable[[DataFrame], DataFrame]) -> Output:
 @job("order_totals", "order")
 def order_totals(lines: Lines, folder: str) -> list[Flow]:
     """Running sales and refund totals, and the cancelled orders."""
-    orders = decode.with_event_time(decode.decode_orders(lines["order"]).rows)
+    decoded = decode.decode_orders(lines["order"])
+    orders = decode.with_event_time(decoded.rows)
     outputs = _kpis(folder, [codes.KEY_SALES_TOTAL, codes.KEY_REFUND_TOTAL])
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.cancelled_cells)
-    return [Flow("order_totals", orders, outputs)]
+    return [Flow("order_totals", orders, outputs), _rejects("order", decoded)]
 
 
 @job("order_rates", "order")
 def order_rates(lines: Lines, folder: str) -> list[Flow]:
     """Order count, refund request count, and cancel rate."""
     required = ("amount", "status", "create_time", "operation_time")
-    orders = decode.decode_orders(lines["order"], date_only=True, required=required).rows
+    decoded = decode.decode_orders(lines["order"], date_only=True, required=required)
     keys = [codes.KEY_ORDER_COUNT, codes.KEY_REFUND_REQUESTS, codes.KEY_CANCEL_RATE]
-    return [Flow("order_rates", orders, _kpis(folder, keys))]
+    return [Flow("order_rates", decoded.rows, _kpis(folder, keys)), _rejects("order", decoded)]
 
 
 @job("top_users", "order")
 def top_users(lines: Lines, folder: str) -> list[Flow]:
     """The two users who spent most, the cancel rate, and the latest row of each cancelled order."""
     required = ("id", "consignee", "amount", "status", "user_id", "create_time", "operation_time")
-    orders = decode.decode_orders(lines["order"], date_only=True, required=required).rows
+    decoded = decode.decode_orders(lines["order"], date_only=True, required=required)
+    orders = decoded.rows
     outputs = _kpis(folder, [codes.KEY_CANCEL_RATE])
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.order_cells)
     return [
         Flow("cancelled_orders", orders, outputs),
         Flow("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: top_users_text}, "complete"),
+        _rejects("order", decoded),
     ]
 
 
 @job("order_count", "order")
 def order_count(lines: Lines, folder: str) -> list[Flow]:
     """Number of sales orders; the amount is not looked at."""
-    orders = decode.decode_orders(lines["order"], required=("status", "create_time", "operation_time")).rows
-    return [Flow("order_count", routing.sales_orders(orders), _kpis(folder, [codes.KEY_ORDER_COUNT]))]
+    decoded = decode.decode_orders(lines["order"], required=("status", "create_time", "operation_time"))
+    sales = routing.sales_orders(decoded.rows)
+    return [Flow("order_count", sales, _kpis(folder, [codes.KEY_ORDER_COUNT])), _rejects("order", decoded)]
 
 
 def top_users_text(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -123,17 +133,24 @@ def sku_flow(details: DataFrame) -> Flow:
 def top_skus(lines: Lines, folder: str) -> list[Flow]:
     """The three products sold most, by quantity and by amount."""
     required = ("detail_id", "sku_id", "price", "num", "create_time")
-    details = decode.decode_order_details(lines["order_detail"], required=required).rows
-    return [sku_flow(details)]
+    decoded = decode.decode_order_details(lines["order_detail"], required=required)
+    return [sku_flow(decoded.rows), _rejects("order_detail", decoded)]
 
 
 @job("orders_with_details", "order", "order_detail")
 def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay: str = "0 seconds") -> list[Flow]:
-    """Number of sales orders, the three products with most sales, and orders joined with their details."""
-    required = ("id", "amount", "status", "create_time", "operation_time")
+    """Number of sales orders, the three products with most sales, and orders joined with their details.
+
+    Only the join needs the order id as a number; a row without one finds no partner there.
+    """
+    required = ("amount", "status", "create_time", "operation_time")
     order_lines = lines["order"].withWatermark("arrival_ts", delay)
-    orders = routing.sales_orders(decode.decode_orders(order_lines, required=required).rows)
-    details = decode.decode_order_details(lines["order_detail"].withWatermark("arrival_ts", delay)).rows
+    decoded_orders = decode.decode_orders(order_lines, required=required)
+    orders = routing.sales_orders(decoded_orders.rows)
+    required = ("detail_id", "sku_id", "price", "num", "create_time")
+    detail_lines = lines["order_detail"].withWatermark("arrival_ts", delay)
+    decoded_details = decode.decode_order_details(detail_lines, required=required)
+    details = decoded_details.rows
 
     top_amount = codes.KEY_TOP_SKU_AMOUNT
 
@@ -146,6 +163,8 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
         Flow("order_count", orders, _kpis(folder, [codes.KEY_ORDER_COUNT])),
         Flow("top_skus", topk.sku_sums(details), {top_amount: _top_skus("amount", top_amount)}, "complete"),
         Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: join_rows}),
+        _rejects("order", decoded_orders),
+        _rejects("order_detail", decoded_details),
     ]
 
 
@@ -155,18 +174,18 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
 # The watermark sits on the lines, before any filter, so that time goes on with every line.
 
 
-def _produce(lines: Lines, delay: str, **options) -> DataFrame:
-    return decode.decode_produce(lines["produce"].withWatermark("arrival_ts", delay), **options).rows
+def _produce(lines: Lines, delay: str, **options) -> decode.Decoded:
+    return decode.decode_produce(lines["produce"].withWatermark("arrival_ts", delay), **options)
 
 
-def _changes(lines: Lines, delay: str) -> DataFrame:
-    return decode.decode_changes(lines["change"].withWatermark("arrival_ts", delay)).rows
+def _changes(lines: Lines, delay: str, with_time: bool) -> decode.Decoded:
+    return decode.decode_changes(lines["change"].withWatermark("arrival_ts", delay), with_time=with_time)
 
 
 @job("produced_latest", "produce")
 def produced_latest(lines: Lines, folder: str, size: str = "5 minutes", delay: str = "0 seconds") -> list[Flow]:
     """Passed products of each machine's latest window. A malformed line fails the job."""
-    counts = windows.produce_count_filtered(_produce(lines, delay, on_bad="fail"), size)
+    counts = windows.produce_count_filtered(_produce(lines, delay, on_bad="fail").rows, size)
     latest = {codes.HASH_PRODUCED: lambda batch, batch_id: windows.produce_latest_window(batch)}
     return [Flow("produced_latest", counts, latest)]
 
@@ -174,41 +193,48 @@ def produced_latest(lines: Lines, folder: str, size: str = "5 minutes", delay: s
 @job("produced_with_zeros", "produce")
 def produced_with_zeros(lines: Lines, folder: str, size: str = "5 minutes", delay: str = "0 seconds") -> list[Flow]:
     """Passed products per machine and window, with windows that have none."""
-    counts = windows.produce_count_conditional(_produce(lines, delay, on_bad="fail"), size)
+    counts = windows.produce_count_conditional(_produce(lines, delay, on_bad="fail").rows, size)
     return [Flow("produced_with_zeros", counts, {"counts": _rows})]
 
 
 @job("produced", "produce")
 def produced(lines: Lines, folder: str, size: str = "5 minutes", delay: str = "0 seconds") -> list[Flow]:
     """Passed products per machine and window."""
-    counts = windows.produce_count_filtered(_produce(lines, delay, on_bad="fail"), size)
+    counts = windows.produce_count_filtered(_produce(lines, delay, on_bad="fail").rows, size)
     return [Flow("produced", counts, {"counts": _rows})]
 
 
 @job("produced_rows", "produce")
 def produced_rows(lines: Lines, folder: str, size: str = "5 minutes", delay: str = "0 seconds") -> list[Flow]:
     """Passed products per machine and window as rows of a row store."""
-    counts = windows.produce_count_filtered(_produce(lines, delay), size)
-    return [Flow("produced_rows", counts, {codes.TABLE_PRODUCED: lambda batch, _: windows.produce_rowkey(batch)})]
+    decoded = _produce(lines, delay)
+    counts = windows.produce_count_filtered(decoded.rows, size)
+    rowkeys = {codes.TABLE_PRODUCED: lambda batch, _: windows.produce_rowkey(batch)}
+    return [Flow("produced_rows", counts, rowkeys), _rejects("produce", decoded)]
 
 
 @job("warning_held", "change")
 def warning_held(lines: Lines, folder: str, hold: str = codes.WARNING_HOLD, delay: str = "0 seconds") -> list[Flow]:
     """Machines in the warning state for a while."""
-    changes = decode.decode_changes(lines["change"], with_time=True).rows
+    decoded = decode.decode_changes(lines["change"], with_time=True)
+    changes = decoded.rows
     if changes.isStreaming:
         alerts = processors.stream_warning_held(changes, hold, delay=delay)
     else:
         alerts = patterns.warning_held(changes, hold, ranges=plan_ranges(lines["change"], "arrival_ts", min_ranges=1))
     outputs = {"alerts": _rows, codes.HASH_WARNING_HELD: lambda batch, _: cells.warning_held_values(batch)}
-    return [Flow("warning_held", alerts, outputs)]
+    return [Flow("warning_held", alerts, outputs), _rejects("change", decoded)]
 
 
 @job("warning_counts", "change")
-def warning_counts(lines: Lines, folder: str, size: str = "3 minutes", delay: str = "0 seconds") -> list[Flow]:
-    """Flagged warnings per machine and window."""
-    counts = windows.warning_count_tumbling(_changes(lines, delay), size)
-    return [Flow("warning_counts", counts, {codes.TABLE_WARNING_COUNT: lambda batch, _: cells.warning_cells(batch)})]
+def warning_counts(
+    lines: Lines, folder: str, size: str = "3 minutes", delay: str = "0 seconds", with_time: bool = False
+) -> list[Flow]:
+    """Flagged warnings per machine and window; `with_time` takes lines with a valid start time only."""
+    decoded = _changes(lines, delay, with_time)
+    counts = windows.warning_count_tumbling(decoded.rows, size)
+    outputs = {codes.TABLE_WARNING_COUNT: lambda batch, _: cells.warning_cells(batch)}
+    return [Flow("warning_counts", counts, outputs), _rejects("change", decoded)]
 
 
 @job("warning_top", "change")
@@ -216,20 +242,24 @@ def warning_top(
     lines: Lines, folder: str, size: str = "3 minutes", slide: str = "1 minute", delay: str = "0 seconds"
 ) -> list[Flow]:
     """The machine with most warnings per sliding window."""
-    top = windows.warning_top_sliding(_changes(lines, delay), size, slide)
-    return [Flow("warning_top", top, {codes.HASH_TOP_WARNING: lambda batch, _: windows.warning_top_values(batch)})]
+    decoded = _changes(lines, delay, with_time=False)
+    top = windows.warning_top_sliding(decoded.rows, size, slide)
+    outputs = {codes.HASH_TOP_WARNING: lambda batch, _: windows.warning_top_values(batch)}
+    return [Flow("warning_top", top, outputs), _rejects("change", decoded)]
 
 
 @job("transitions", "change")
 def transitions(lines: Lines, folder: str) -> list[Flow]:
     """Changes from another status to running."""
-    changes = decode.decode_changes(lines["change"]).rows
+    decoded = decode.decode_changes(lines["change"])
+    changes = decoded.rows
     if changes.isStreaming:
         found = processors.stream_transitions(changes)
     else:
         ranges = plan_ranges(lines["change"], "arrival", min_ranges=1)
         found = patterns.transitions_to_running(changes, ranges=ranges)
-    return [Flow("transitions", found, {codes.TABLE_TRANSITIONS: lambda batch, _: cells.transition_cells(batch)})]
+    outputs = {codes.TABLE_TRANSITIONS: lambda batch, _: cells.transition_cells(batch)}
+    return [Flow("transitions", found, outputs), _rejects("change", decoded)]
 
 
 @job("temperature_held", "environment")
@@ -237,10 +267,12 @@ def temperature_held(
     lines: Lines, folder: str, hold: str = codes.TEMPERATURE_HOLD, delay: str = "0 seconds", clock: str = "event"
 ) -> list[Flow]:
     """Machines above the temperature limit for a while; live jobs use the processing clock."""
-    readings = decode.decode_environment(lines["environment"]).rows
+    decoded = decode.decode_environment(lines["environment"])
+    readings = decoded.rows
     if readings.isStreaming:
         alerts = processors.stream_temperature_held(readings, hold, delay=delay, clock=clock)
     else:
         ranges = plan_ranges(lines["environment"], "arrival_ts", min_ranges=1)
         alerts = patterns.temperature_held(readings, hold, ranges=ranges)
-    return [Flow("temperature_held", alerts, {codes.TABLE_TEMPERATURE: lambda batch, _: cells.temperature_cells(batch)})]
+    outputs = {codes.TABLE_TEMPERATURE: lambda batch, _: cells.temperature_cells(batch)}
+    return [Flow("temperature_held", alerts, outputs), _rejects("environment", decoded)]

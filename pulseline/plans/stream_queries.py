@@ -102,6 +102,9 @@ STREAM_QUERIES = {
     "stream_warning_held": lambda s, d: run_streams(
         s, d, "warning_held", codes.HASH_WARNING_HELD, ["key", "field"], ["alert_time"], hold="6 hours"
     ),
+    "stream_rejects": lambda s, d: run_streams(s, d, "temperature_held", "rejects_environment", ["arrival"]).select(
+        "arrival", "value", "reason"
+    ),
     "stream_order_join": lambda s, d: run_streams(
         s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], PAIR_ORDER, size="30 days", delay="4000 days"
     ),

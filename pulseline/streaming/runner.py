@@ -50,6 +50,8 @@ def run_job(
     """
     queries = []
     for flow in flows:
+        if flow.outputs and not flow.outputs.keys() & sinks.keys():
+            continue
         if not flow.frame.isStreaming:
             write_outputs(flow.frame, 0, flow.outputs, sinks)
             continue

@@ -138,6 +138,8 @@ def run(spark, name, lines, sink_of, folder, **options):
     used = {}
     for flow in flows:
         for product in flow.outputs:
+            if product not in sink_of:
+                continue
             keys, order = sink_of[product]
             tables_of[product] = (str(folder / "tables" / product), keys)
             used[product] = sinks.latest_sink(tables_of[product][0], keys, order)
@@ -198,6 +200,32 @@ def test_join_on_stream(spark, captured, tmp_path):
     assert got == want
 
 
+def test_rejects_on_stream(spark, captured, tmp_path):
+    paths = {kind: captured(kind, 2) for kind in ("order", "order_detail")}
+    sink_of = {"rejects_order": (["arrival"], None), "rejects_order_detail": (["arrival"], None)}
+    want, got = (
+        run(spark, "orders_with_details", {k: read(spark, p) for k, p in paths.items()}, sink_of, tmp_path / folder)
+        for read, folder in ((batch, "b"), (stream, "s"))
+    )
+    assert got == want
+    assert all(want.values())
+
+
+def test_orders_without_a_number_count(spark, lines, tmp_path):
+    made = {"order": lines([order_line(id="x"), order_line(id=2)]), "order_detail": lines([])}
+    got = run(spark, "orders_with_details", made, {"kpis": KV}, tmp_path)
+    assert got["kpis"] == [(codes.KEY_ORDER_COUNT, "2")]
+
+
+def test_lines_of_a_stream_are_read_once(spark, captured, tmp_path):
+    path = captured("order", 1)
+    flows = jobs.build("order_rates", {"order": stream(spark, path)}, str(tmp_path / "state"))
+    sink = {"kpis": sinks.kv_set(str(tmp_path / "table"))}
+    (query,) = run_job(flows, sink, checkpoint=str(tmp_path / "check"), trigger={"availableNow": True})
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == batch(spark, path).count()
+
+
 def test_late_pairs_on_stream(spark, tmp_path):
     """The second batch brings an earlier pair of an order; the later pair stays."""
 
