@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from .pieces import Vocabulary, decode
 
+#: Rows whose results are held at a time.
+SLICE = 500
+
 
 def _columns(function, kind: str):
     function.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
@@ -41,11 +44,31 @@ def with_piece_text(df: DataFrame, ids: str, name: str, model_path: str) -> Data
 
     def decoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
-            yield pd.Series([None if i is None else decode(held.value, i) for i in batch], dtype=object)
+            yield pd.Series([None if i is None else decode(held.value, i.tolist()) for i in batch], dtype=object)
 
     return df.withColumn(name, _columns(decoded, "string")(ids))
 
 
+def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
+    """Adds a struct of the `ids` of `text` and the `text` that these ids stand for.
+
+    Both are made in one Python worker, slice by slice, where the two columns above take a worker each.
+    """
+    held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))
+
+    def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        memory = held.value.tool("ids")
+        for batch in texts:
+            for at in range(0, len(batch), SLICE):
+                part = batch.iloc[at : at + SLICE]
+                ids = [None if t is None else np.frombuffer(b"".join(memory.parts(t)), np.int32) for t in part]
+                decoded = [None if i is None else decode(held.value, i.tolist()) for i in ids]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "text": pd.Series(decoded, dtype=object)})
+
+    both.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return df.withColumn(name, F.pandas_udf(both, "ids array<int>, text string")(text))
+
+
 def with_token_count(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
     """Adds how many ids `text` has, without making them."""
     held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))

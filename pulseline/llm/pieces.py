@@ -16,6 +16,7 @@ import string
 from array import array
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import ahocorasick
 
@@ -68,6 +69,15 @@ class Vocabulary:
         byte_ids = [bytes_of[b] for b in range(256)] if len(bytes_of) == 256 else None
         return cls(scores, byte_ids, model.unk_id(), texts, control=control)
 
+    @cached_property
+    def byte_of(self) -> dict[int, int]:
+        return {i: b for b, i in enumerate(self.byte_ids or [])}
+
+    @cached_property
+    def special(self) -> set[int]:
+        """Ids that do not stand for their piece's text."""
+        return {*self.byte_of, self.unknown, *self.control}
+
     @property
     def separable(self) -> bool:
         """Whether segments can be worked on by themselves with the same result.
@@ -198,19 +208,22 @@ class Remembering(Recent):
 
 def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     """The text of a list of ids: bytes are joined (broken ones read as U+FFFD), the leading space goes."""
-    byte_of = {i: b for b, i in enumerate(vocabulary.byte_ids or [])}
-    out, run = [], bytearray()
-    for i in ids:
-        if i in byte_of:
-            run.append(byte_of[i])
-            continue
-        if run:
-            out.append(run.decode(errors="replace"))
-            run = bytearray()
-        if i == vocabulary.unknown:
-            out.append(" ⁇ ")
-        elif i not in vocabulary.control:
-            out.append(vocabulary.texts[i])
-    out.append(run.decode(errors="replace"))
+    texts, byte_of, special = vocabulary.texts, vocabulary.byte_of, vocabulary.special
+    if special.isdisjoint(ids):
+        out = [texts[i] for i in ids]
+    else:
+        out, run = [], bytearray()
+        for i in ids:
+            if i in byte_of:
+                run.append(byte_of[i])
+                continue
+            if run:
+                out.append(run.decode(errors="replace"))
+                run = bytearray()
+            if i not in special:
+                out.append(texts[i])
+            elif i == vocabulary.unknown:
+                out.append(" ⁇ ")
+        out.append(run.decode(errors="replace"))
     text = "".join(out).replace(SPACE, " ")
     return text[1:] if vocabulary.prefix and text.startswith(" ") else text

@@ -69,13 +69,13 @@ def op7_conv_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the ids and of the text they decode to."""
     path = vocabulary_path("piece_bpe_32k.model")
-    coded = piece_codec.with_piece_ids(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", "ids", path)
-    decoded = piece_codec.with_piece_text(coded, "ids", "decoded", path)
-    return evaluated(decoded, {
-        "n_ids": F.size("ids").cast("long"),
-        "ids_xxhash64": F.xxhash64("ids"),
-        "decoded_crc32": F.crc32(F.col("decoded").cast("binary")).cast("long"),
-        "round_trip": F.col("decoded").eqNullSafe(F.col("text")),
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = piece_codec.with_round_trip(documents, "text", "coded", path)
+    return evaluated(coded, {
+        "n_ids": F.size("coded.ids").cast("long"),
+        "ids_xxhash64": F.xxhash64("coded.ids"),
+        "decoded_crc32": F.crc32(F.col("coded.text").cast("binary")).cast("long"),
+        "round_trip": F.col("coded.text").eqNullSafe(F.col("text")),
     }).select("doc_id", "n_ids", "ids_xxhash64", "decoded_crc32", "round_trip")
 
 

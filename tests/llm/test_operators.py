@@ -308,3 +308,17 @@ def test_pipeline_stages(spark):
 from llm_rows import TEXTS  # noqa: E402
 
 TEXT_BY_ID = {i: t for i, t in TEXTS if i is not None}
+
+
+def test_round_trip_column_equals_the_two_columns(spark):
+    from pulseline.llm import piece_codec
+    from pulseline.llm.queries import vocabulary_path
+
+    path = vocabulary_path("piece_bpe_32k.model")
+    texts = [None, "", "a ⁇ ☃ \U0001F600 x  y\n\nz", "plain words " * 2000] + ["again"] * 1200
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    two = piece_codec.with_piece_text(piece_codec.with_piece_ids(docs, "text", "ids", path), "ids", "decoded", path)
+    one = piece_codec.with_round_trip(docs, "text", "coded", path)
+    one = one.selectExpr("doc_id", "text", "coded.ids AS ids", "coded.text AS decoded")
+    assert two.exceptAll(one).count() == one.exceptAll(two).count() == 0
+    assert one.where("NOT decoded <=> text").count() == 0
