@@ -35,6 +35,18 @@ class Recent(dict):
         return made
 
 
+#: Bytes of one Arrow batch of texts, as a worker holds it (the longest text alone may be more).
+BATCH_BYTES = 4 << 20
+
+
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Cap the bytes, not only the rows, of the batches that Python workers get; a cap set by the session stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) is None:
+        spark.conf.set(name, str(BATCH_BYTES))
+    return spark
+
+
 def unused_name(df: DataFrame, wanted: str) -> str:
     """`wanted`, with underscores appended until no column of `df` has that name (names compare without case)."""
     taken = {c.lower() for c in df.columns}
