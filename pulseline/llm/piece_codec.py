@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bound_batches
 from .pieces import Vocabulary, decode
 
 #: Rows whose results are held at a time.
@@ -26,7 +27,7 @@ def _columns(function, kind: str):
 
 def with_piece_ids(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
     """Adds the ids of `text`; the model file is read on the driver, its vocabulary is broadcast (its size is fixed)."""
-    held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))
+    held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def encoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memory = held.value.tool("ids")
@@ -40,7 +41,7 @@ def with_piece_ids(df: DataFrame, text: str, name: str, model_path: str) -> Data
 
 def with_piece_text(df: DataFrame, ids: str, name: str, model_path: str) -> DataFrame:
     """Adds the text that a column of ids stands for."""
-    held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))
+    held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def decoded(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
@@ -54,7 +55,7 @@ def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> Dat
 
     Both are made in one Python worker, slice by slice, where the two columns above take a worker each.
     """
-    held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))
+    held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         memory = held.value.tool("ids")
@@ -71,7 +72,7 @@ def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> Dat
 
 def with_token_count(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
     """Adds how many ids `text` has, without making them."""
-    held = df.sparkSession.sparkContext.broadcast(Vocabulary.from_model(model_path))
+    held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         memory = held.value.tool("count")
