@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import Recent
+from .common import Recent, bound_batches
 
 WINDOW = 2048
 PIECE = 512
@@ -181,7 +181,7 @@ def packed_group(rows: pd.DataFrame) -> pd.DataFrame:
 
 def with_pieces(df: DataFrame, text: str, name: str, tokenizer_path: str) -> DataFrame:
     """Adds the pieces of `text`; the tokenizer file is read on each executor from the library's own folder."""
-    held = df.sparkSession.sparkContext.broadcast(WordIds(tokenizer_path))
+    held = bound_batches(df.sparkSession).sparkContext.broadcast(WordIds(tokenizer_path))
 
     def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         ids = held.value
