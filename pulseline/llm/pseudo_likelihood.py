@@ -7,7 +7,12 @@ predicts the token's class and then the token within the class.
 
 The network is trained on every text of the corpus: each partition trains a copy in numpy on all of its tokens, and the
 copies are averaged by their numbers of tokens in an ordinary aggregation, so neither texts nor copies meet in one
-place. Words are counted over all texts as well.
+place. Words are counted over all texts as well. Every word with at least OWN_COUNT occurrences has a row of the network
+by itself, and the FREQUENT most frequent ones in any case. The others share rows by hash bucket, and the word within its
+bucket is predicted from the counts of all words, which stay a Spark table and are joined on the distinct words of each
+batch of texts: P(word | bucket) = (n + (D + 1) G) / (N + D + 1), where n counts the word, N the tokens and D the distinct
+words of the bucket. G = 256^-(octets + 1) spells the word out octet by octet with an end mark, so words never counted
+have a probability too and all words of a bucket sum up to at most 1.
 
 Defined results: null, empty and wordless texts have no tokens, score 0.0 and no mean. Places outside of a text have a
 token of their own as context. An empty corpus leaves the network as it started. Repeated rows count each time; other
@@ -22,33 +27,51 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..session import cut_lineage
+from .common import bound_batches
 
 CLASSES = 32
 FREQUENT = 768
-HASHED = 256
+HASHED = 256  # at least
+#: Words of at least so many occurrences have a row of the network by themselves.
+OWN_COUNT = 10_000
 SIDE = 2  # neighbours on each side
 HIDDEN = 16
 BATCH = 16_384
 STEP = 0.08
 #: Distinct words counted, and words remembered, by a task before it hands them on or forgets them.
 HELD_WORDS = 500_000
-SCORED = "struct<log_likelihood: double, tokens: bigint>"
 
 TINY = np.float32(1e-30)
-VOCABULARY = FREQUENT + HASHED
+VOCABULARY = FREQUENT + HASHED  # of a small corpus
 OUTSIDE = VOCABULARY
-INSIDE = VOCABULARY // CLASSES
 PLACES = [o for o in range(-SIDE, SIDE + 1) if o]
-SHAPES = {
-    "embed": (len(PLACES), VOCABULARY + 1, HIDDEN),
-    "hidden": (HIDDEN,),
-    "to_class": (HIDDEN, CLASSES),
-    "class_bias": (CLASSES,),
-    "to_word": (CLASSES, HIDDEN, INSIDE),
-    "word_bias": (CLASSES, INSIDE),
-}
+
+
+def sizes(own: int) -> tuple[int, int]:
+    """Classes and ids of a network with `own` words by themselves; both grow with it, so a token costs about a root."""
+    classes = max(CLASSES, round((own + HASHED) ** 0.5))
+    return classes, classes * -(-(max(own, FREQUENT) + HASHED) // classes)
+
+
+def shapes(own: int) -> dict[str, tuple[int, ...]]:
+    classes, vocabulary = sizes(own)
+    inside = vocabulary // classes
+    return {
+        "embed": (len(PLACES), vocabulary + 1, HIDDEN),
+        "hidden": (HIDDEN,),
+        "to_class": (HIDDEN, classes),
+        "class_bias": (classes,),
+        "to_word": (classes, HIDDEN, inside),
+        "word_bias": (classes, inside),
+    }
 
 
 def words_of(text: str | None) -> list[str]:
@@ -56,50 +79,55 @@ def words_of(text: str | None) -> list[str]:
 
 
 class TokenIds(dict):
-    """Ids of words: by rank for frequent ones, by hash bucket for the others."""
+    """Ids of words: by rank for those with a row by themselves, by hash bucket for the others."""
 
     def __init__(self, frequent: list[str]):
         self.rank = {w: i for i, w in enumerate(frequent)}
+        self.own = max(FREQUENT, len(frequent))
+        self.buckets = sizes(len(frequent))[1] - self.own
         super().__init__(self.rank)
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= HELD_WORDS:
+        if len(self) >= HELD_WORDS + len(self.rank):
             self.clear()
             self.update(self.rank)
-        made = self[word] = FREQUENT + zlib.crc32(word.encode()) % HASHED
+        made = self[word] = self.own + zlib.crc32(word.encode()) % self.buckets
         return made
 
-    def of(self, text: str | None) -> np.ndarray:
-        words = words_of(text)
+    def of(self, words: list[str]) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
 
 
-def initial(seed: int = 5) -> dict[str, np.ndarray]:
+def initial(own: int = 0, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
-    return {n: rng.normal(0, 0.05, s).astype(np.float32) for n, s in SHAPES.items()}
+    return {n: rng.normal(0, 0.05, s).astype(np.float32) for n, s in shapes(own).items()}
 
 
 def flat(net: dict[str, np.ndarray]) -> np.ndarray:
-    return np.concatenate([net[n].ravel() for n in SHAPES])
+    return np.concatenate([v.ravel() for v in net.values()])
 
 
-def shaped(values: np.ndarray) -> dict[str, np.ndarray]:
+def shaped(values: np.ndarray, own: int = 0) -> dict[str, np.ndarray]:
     out, at = {}, 0
-    for name, shape in SHAPES.items():
+    for name, shape in shapes(own).items():
         size = int(np.prod(shape))
         out[name] = values[at : at + size].reshape(shape).astype(np.float32)
         at += size
     return out
 
 
-def framed(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def framed(texts: list[np.ndarray], outside: int = OUTSIDE) -> tuple[np.ndarray, np.ndarray]:
     """All ids in a row with SIDE outside marks around each text, and the positions of the real tokens."""
-    edge = np.full(SIDE, OUTSIDE, np.int32)
+    edge = np.full(SIDE, outside, np.int32)
     parts = [edge]
     for ids in texts:
         parts += [ids, edge]
     row = np.concatenate(parts)
-    return row, np.flatnonzero(row != OUTSIDE)
+    return row, np.flatnonzero(row != outside)
+
+
+def outside(net: dict) -> int:
+    return net["embed"].shape[1] - 1
 
 
 def forward(net: dict, row: np.ndarray, at: np.ndarray):
@@ -120,22 +148,27 @@ def softmax(logits: np.ndarray) -> np.ndarray:
     return logits
 
 
-def by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(classes.astype(np.int16), kind="stable")  # sixteen bits sort by radix
-    ends = np.searchsorted(classes[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
+def in_order(ids: np.ndarray, below: int) -> np.ndarray:
+    """Stable order of ids; sixteen bits sort by radix."""
+    return np.argsort(ids.astype(np.int16) if below < 1 << 15 else ids, kind="stable")
+
+
+def by_class(classes: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+    order = in_order(classes, count)
+    ends = np.searchsorted(classes[order], np.arange(count + 1))
+    for c in range(count):
         if ends[c] < ends[c + 1]:
             yield c, order[ends[c] : ends[c + 1]]
 
 
 def log_probabilities(net: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of each token from its neighbours."""
-    token = row[at]
+    token, (count, inside) = row[at], net["word_bias"].shape
     h, classes = forward(net, row, at)
-    out = np.log(classes[np.arange(len(at)), token // INSIDE])
-    for c, who in by_class(token // INSIDE):
+    out = np.log(classes[np.arange(len(at)), token // inside])
+    for c, who in by_class(token // inside, count):
         word = softmax(h[who] @ net["to_word"][c] + net["word_bias"][c])
-        out[who] += np.log(word[np.arange(len(who)), token[who] % INSIDE])
+        out[who] += np.log(word[np.arange(len(who)), token[who] % inside])
     return out
 
 
@@ -152,15 +185,16 @@ class Trainer:
 
     def step(self, row: np.ndarray, at: np.ndarray) -> None:
         net, token, scale = self.net, row[at], np.float32(1 / np.sqrt(len(at)))
+        count, inside = net["word_bias"].shape
         h, wrong = forward(net, row, at)
-        wrong[np.arange(len(at)), token // INSIDE] -= 1
+        wrong[np.arange(len(at)), token // inside] -= 1
         wrong *= scale
         down = wrong @ net["to_class"].T
         words = []
-        for c, who in by_class(token // INSIDE):
+        for c, who in by_class(token // inside, count):
             own = h[who]
             miss = softmax(own @ net["to_word"][c] + net["word_bias"][c])
-            miss[np.arange(len(who)), token[who] % INSIDE] -= 1
+            miss[np.arange(len(who)), token[who] % inside] -= 1
             miss *= scale
             down[who] += miss @ net["to_word"][c].T
             words.append((c, own.T @ miss, miss.sum(axis=0)))
@@ -173,7 +207,7 @@ class Trainer:
         self.update("hidden", down.sum(axis=0))
         for j, o in enumerate(PLACES):
             near = row[at + o]
-            order = np.argsort(near.astype(np.int16), kind="stable")
+            order = in_order(near, net["embed"].shape[1])
             first = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
             self.update("embed", np.add.reduceat(down[order], first, axis=0), (j, near[order][first]))
 
@@ -195,25 +229,30 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def fit_network(documents: DataFrame, text: str = "text") -> tuple[list[str], dict[str, np.ndarray]]:
-    """Frequent words and the averaged network; both have a fixed size."""
+def fit_network(documents: DataFrame, text: str = "text", own_count: int = OWN_COUNT) -> tuple:
+    """(words with a row by themselves, averaged network, counts of all words as a table, tokens and words by bucket)."""
     texts = documents.select(F.col(text).alias("text"))
-    top = word_counts(texts).orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    words = cut_lineage(word_counts(texts))
+    first = [F.desc("n"), F.col("word")]
+    top = words.orderBy(*first).limit(FREQUENT).collect()
+    if len(top) == FREQUENT and top[-1]["n"] >= own_count:
+        top = words.where(F.col("n") >= own_count).orderBy(*first).collect()
     frequent = [r["word"] for r in top]
-    start = documents.sparkSession.sparkContext.broadcast((frequent, initial()))
+    totals = bucket_totals(words, frequent, top[-1]["n"]) if top else np.zeros((2, TokenIds([]).buckets))
+    start = documents.sparkSession.sparkContext.broadcast((frequent, initial(len(frequent))))
 
     def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         frequent, net = start.value
         ids, trainer, tokens, waiting, held = TokenIds(frequent), Trainer(net), 0, [], 0
 
         def learn() -> None:
-            row, at = framed(waiting)
+            row, at = framed(waiting, outside(net))
             for first in range(0, len(at), BATCH):
                 trainer.step(row, at[first : first + BATCH])
 
         for batch in batches:
             for t in batch["text"]:
-                own = ids.of(t)
+                own = ids.of(words_of(t))
                 waiting.append(own)
                 held, tokens = held + len(own), tokens + len(own)
                 if held >= BATCH:
@@ -228,31 +267,123 @@ def fit_network(documents: DataFrame, text: str = "text") -> tuple[list[str], di
     sums = copies.select("tokens", F.posexplode("net").alias("at", "x")).groupBy("at")
     mean = sums.agg((F.sum(F.col("tokens") * F.col("x")) / F.sum("tokens")).cast("float").alias("x"))
     rows = mean.orderBy("at").toPandas()
-    return frequent, shaped(rows["x"].to_numpy()) if len(rows) else start.value[1]
-
-
-def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple) -> DataFrame:
-    """Adds struct(log_likelihood, tokens) of `text` under a fitted (frequent words, network)."""
-    held = df.sparkSession.sparkContext.broadcast(model)
-
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        frequent, net = held.value
-        ids = TokenIds(frequent)
-        for batch in texts:
-            own = [ids.of(t) for t in batch]
-            sizes = np.array([len(x) for x in own], np.int64)
-            sums = np.zeros(len(own))
-            for group in grouped(sizes):
-                row, at = framed([own[i] for i in group])
-                owner = np.repeat(group, sizes[group])
-                for first in range(0, len(at), BATCH):
-                    part = slice(first, first + BATCH)
-                    logs = log_probabilities(net, row, at[part]).astype(float)
-                    np.add.at(sums, owner[part], logs)
-            yield pd.DataFrame({"log_likelihood": sums, "tokens": sizes})
-
-    scored.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    return df.withColumn(name, F.pandas_udf(scored, SCORED)(text))
+    net = shaped(rows["x"].to_numpy(), len(frequent)) if len(rows) else start.value[1]
+    return frequent, net, words, totals
+
+
+def bucket_totals(words: DataFrame, frequent: list[str], least: int) -> np.ndarray:
+    """Tokens and distinct words of each bucket, without the words that have a row by themselves."""
+    buckets = TokenIds(frequent).buckets
+    # Own words are the first ones by (n descending, word).
+    last = F.lit(frequent[-1])
+    shared = words.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > last)))
+    bucket = F.crc32(F.col("word").cast("binary")) % buckets
+    out = np.zeros((2, buckets))
+    for r in shared.groupBy(bucket.alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("d")).collect():
+        out[:, r["b"]] = r["n"], r["d"]
+    return out
+
+
+def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, keep: list[str] | None = None) -> DataFrame:
+    """Adds struct(log_likelihood, tokens) of `text` under a fitted model to the columns `keep`, or to all columns.
+
+    Each batch of texts is scored by the network and hands on its distinct words without a row by themselves, each with
+    the places of its texts. These are joined with the word counts, and go back to their batch, where texts add them up.
+    """
+    frequent, net, words, totals = model
+    spark = bound_batches(df.sparkSession)
+    held = spark.sparkContext.broadcast((frequent, net, totals))
+    keep = [c for c in (keep or df.columns) if c.lower() != name.lower()]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), F.col(f"`{text}`").alias("text"))
+    kept_type = T.StructField("kept", rows.schema["kept"].dataType)
+    parts = T.StructType([
+        T.StructField("chunk", T.LongType()), T.StructField("word", T.StringType()),
+        T.StructField("places", T.ArrayType(T.IntegerType())), T.StructField("bucket", T.IntegerType()),
+        T.StructField("log", T.DoubleType()), T.StructField("tokens", T.LongType()), kept_type,
+    ])
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent, net, _ = held.value
+        ids, chunk = TokenIds(frequent), TaskContext.get().partitionId() << 32
+        for batch in batches:
+            kept, own, places = batch.column("kept"), [], []
+            met = Places()
+            for t in batch.column("text").to_pylist():
+                split = words_of(t)
+                own.append(ids.of(split))
+                shared = [split[k] for k in np.flatnonzero(own[-1] >= ids.own)]
+                places.append(met.of(shared))
+            counts, sums = network_sums(net, own)
+            n = len(own)
+            if not n:
+                continue
+            # Rows of texts have keys that are no words, so that they spread over the join and match nothing.
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.full(n, chunk)), pa.array([f"\n{chunk} {i}" for i in range(n)], pa.string()),
+                lists(np.arange(n + 1), np.arange(n)), pa.nulls(n, pa.int32()), pa.array(sums), pa.array(counts), kept,
+            ], parts.names)
+            if met:
+                every = np.concatenate(places)
+                order = np.argsort(every, kind="stable")
+                ends = np.searchsorted(every[order], np.arange(len(met) + 1))
+                texts = np.repeat(np.arange(n), [len(p) for p in places])[order]
+                m = len(met)
+                octets = np.array([len(w.encode()) for w in met], float)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(m, chunk)), pa.array(list(met), pa.string()), lists(ends, texts),
+                    pa.array(ids.of(list(met)) - ids.own, pa.int32()), pa.array(-(octets + 1) * np.log(256)),
+                    pa.nulls(m, pa.int64()), pa.nulls(m, kept.type),
+                ], parts.names)
+            chunk += 1
+
+    def summed(table: pa.Table) -> pa.Table:
+        tokens, distinct = held.value[2]
+        is_text = pc.is_valid(table["tokens"])
+        texts, met = table.filter(is_text), table.filter(pc.invert(is_text))
+        bucket, spelled = met["bucket"].to_numpy(), met["log"].to_numpy()
+        seen = np.log(np.maximum(pc.fill_null(met["n"], 0).to_numpy(), 1e-300))
+        bucket = bucket.astype(np.int64)
+        share = np.logaddexp(seen, np.log(distinct[bucket] + 1) + spelled) - np.log(tokens[bucket] + distinct[bucket] + 1)
+        lengths = pc.list_value_length(met["places"]).to_numpy()
+        place = pc.list_flatten(met["places"]).to_numpy()
+        sums = np.bincount(place.astype(np.int64), np.repeat(share, lengths), minlength=len(texts))
+        logs = texts["log"].to_numpy() + sums[pc.list_flatten(texts["places"]).to_numpy()]
+        return pa.table({"kept": texts["kept"], "log_likelihood": logs, "tokens": texts["tokens"]})
+
+    both = rows.mapInArrow(scored, parts)
+    joined = both.join(words.hint("shuffle_hash"), "word", "left").drop("word")
+    result = T.StructType([kept_type, T.StructField("log_likelihood", T.DoubleType()), T.StructField("tokens", T.LongType())])
+    out = joined.groupBy("chunk").applyInArrow(summed, result)
+    return out.select("kept.*", F.struct("log_likelihood", "tokens").alias(name))
+
+
+class Places(dict):
+    """Words in the order in which they are first met."""
+
+    def __missing__(self, word: str) -> int:
+        made = self[word] = len(self)
+        return made
+
+    def of(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+
+def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
+
+
+def network_sums(net: dict, own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and summed log probabilities of ids by the network, for each text."""
+    counts = np.array([len(x) for x in own], np.int64)
+    sums = np.zeros(len(own))
+    for group in grouped(counts):
+        row, at = framed([own[i] for i in group], outside(net))
+        owner = np.repeat(group, counts[group])
+        for first in range(0, len(at), BATCH):
+            part = slice(first, first + BATCH)
+            logs = log_probabilities(net, row, at[part]).astype(float)
+            np.add.at(sums, owner[part], logs)
+    return counts, sums
 
 
 def grouped(sizes: np.ndarray) -> Iterator[np.ndarray]:

@@ -49,7 +49,7 @@ def op5_differencing_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = pseudo_likelihood.fit_network(documents)
-    scored = pseudo_likelihood.with_pseudo_likelihood(documents, "text", "s", model)
+    scored = pseudo_likelihood.with_pseudo_likelihood(documents, "text", "s", model, keep=["doc_id"])
     return scored.select(
         "doc_id", F.col("s.tokens").alias("tokens"), F.col("s.log_likelihood").alias("log_likelihood"),
         F.when(F.col("s.tokens") > 0, F.col("s.log_likelihood") / F.col("s.tokens")).alias("mean_log_likelihood"),
