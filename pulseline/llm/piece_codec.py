@@ -1,7 +1,8 @@
 """SentencePiece encoding and decoding of whole texts, and counts of their tokens.
 
 Defined results: a null text gives null ids and count, an empty one no ids and 0. Repeated rows and extra columns stay
-as they are; the new column's name must be free. Texts are worked on one at a time, so memory is that of the longest.
+as they are; the new column's name must be free. With `merges` the scores are a BPE model's ranks, else those of a unigram
+model. Texts are worked on one at a time, so memory is that of the longest.
 """
 
 from __future__ import annotations
@@ -50,7 +51,7 @@ def with_piece_text(df: DataFrame, ids: str, name: str, model_path: str) -> Data
     return df.withColumn(name, _columns(decoded, "string")(ids))
 
 
-def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
+def with_round_trip(df: DataFrame, text: str, name: str, model_path: str, merges: bool = False) -> DataFrame:
     """Adds a struct of the `ids` of `text` and the `text` that these ids stand for.
 
     Both are made in one Python worker, slice by slice, where the two columns above take a worker each.
@@ -58,7 +59,7 @@ def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> Dat
     held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def both(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        memory = held.value.tool("ids")
+        memory = held.value.tool("ids", merges)
         for batch in texts:
             for at in range(0, len(batch), SLICE):
                 part = batch.iloc[at : at + SLICE]
@@ -70,12 +71,12 @@ def with_round_trip(df: DataFrame, text: str, name: str, model_path: str) -> Dat
     return df.withColumn(name, F.pandas_udf(both, "ids array<int>, text string")(text))
 
 
-def with_token_count(df: DataFrame, text: str, name: str, model_path: str) -> DataFrame:
+def with_token_count(df: DataFrame, text: str, name: str, model_path: str, merges: bool = False) -> DataFrame:
     """Adds how many ids `text` has, without making them."""
     held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memory = held.value.tool("count")
+        memory = held.value.tool("count", merges)
         for batch in texts:
             yield pd.Series([None if t is None else sum(memory.parts(t)) for t in batch], dtype="Int64")
 

@@ -1,6 +1,9 @@
-"""Piece vocabulary as an Aho-Corasick automaton with a single-pass Viterbi, for encoding, decoding and counting.
+"""Piece vocabulary of a SentencePiece model file, for encoding, decoding and counting.
 
-The vocabulary is read from a SentencePiece model file and used as a unigram model: the best segmentation has the
+A BPE model's scores are ranks of merges. Merger uses them so: of all neighbouring parts whose join is a piece, the pair
+with the highest score is joined first, the leftmost of equal ones, until no pair is left. Its ids are SentencePiece's.
+
+Segmenter uses the scores as those of a unigram model, with an Aho-Corasick automaton and a single-pass Viterbi: the best segmentation has the
 highest sum of piece scores. The automaton reports, for each end position, the pieces that end there, longest first
 (it follows the output links), and each match relaxes the best score of its end. A later match replaces an earlier one
 only if its sum is strictly higher, so of equal sums the longest piece stays. A character that no piece covers costs
@@ -11,6 +14,7 @@ Text is normalised as the model asks: spaces become U+2581, one is put in front
 
 from __future__ import annotations
 
+import heapq
 import re
 import string
 from array import array
@@ -43,8 +47,14 @@ class Vocabulary:
     control: set[int] = field(default_factory=set)
     tools: dict[str, Remembering] = field(default_factory=dict)
 
-    def tool(self, what: str) -> Remembering:
+    def tool(self, what: str, merges: bool = False) -> Remembering:
         """`ids` (as bytes of 32-bit numbers) or `count` per segment; a broadcast vocabulary keeps it between tasks."""
+        if merges:
+            if f"merged {what}" not in self.tools:
+                merger = Merger(self)
+                result = merger.count if what == "count" else lambda s: array("i", merger.ids(s)).tobytes()
+                self.tools[f"merged {what}"] = Remembering(merger, result)
+            return self.tools[f"merged {what}"]
         if what not in self.tools:
             segmenter = Segmenter(self)
             result = segmenter.count if what == "count" else lambda s: array("i", segmenter.ids(s)).tobytes()
@@ -184,10 +194,63 @@ class Segmenter:
         return at if 0 < at < len(segment) and segment[at - 1 : at + 1] not in self.neighbours else 0
 
 
+class Merger:
+    """Segmentations of a BPE model by its own merges, as SentencePiece makes them."""
+
+    ending = Segmenter.ending
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        # No merge reaches over the start of a run of spaces unless a piece does.
+        self.separable = all(SPACE not in p.lstrip(SPACE) for p in vocabulary.scores)
+        self.neighbours = {p[i : i + 2] for p in vocabulary.scores for i in range(len(p) - 1)}
+
+    def ends(self, text: str) -> list[int]:
+        """Where the part that starts at a position ends, 0 where none starts."""
+        found, n = self.vocabulary.scores.get, len(text)
+        ends, before, heap = list(range(1, n + 1)), list(range(-1, n - 1)), []
+        for i in range(n - 1):
+            if piece := found(text[i : i + 2]):
+                heap.append((-piece[0], i, i + 1, i + 2))
+        heapq.heapify(heap)
+        while heap:
+            _, i, middle, end = heapq.heappop(heap)
+            if ends[i] != middle or ends[middle] != end:
+                continue  # one of the two has been joined with another
+            ends[i], ends[middle] = end, 0
+            if end < n:
+                before[end] = i
+                if piece := found(text[i : ends[end]]):
+                    heapq.heappush(heap, (-piece[0], i, end, ends[end]))
+            left = before[i]
+            if left >= 0 and (piece := found(text[left:end])):
+                heapq.heappush(heap, (-piece[0], left, i, end))
+        return ends
+
+    def ids(self, text: str) -> list[int]:
+        """Ids of a normalised text."""
+        byte_ids, scores = self.vocabulary.byte_ids, self.vocabulary.scores
+        ends, out, at, after_unknown = self.ends(text), [], 0, False
+        while at < len(text):
+            piece = scores.get(text[at : ends[at]])
+            if piece:
+                out.append(piece[1])
+            elif byte_ids:
+                out.extend(byte_ids[b] for b in text[at].encode())
+            elif not after_unknown:  # neighbouring unknown characters are one piece
+                out.append(self.vocabulary.unknown)
+            at, after_unknown = ends[at], piece is None
+        return out
+
+    def count(self, text: str) -> int:
+        """Number of ids of a normalised text."""
+        return len(self.ids(text))
+
+
 class Remembering(Recent):
     """Results per segment; marks at the end of a segment are looked up by themselves."""
 
-    def __init__(self, segmenter: Segmenter, result: Callable):
+    def __init__(self, segmenter: Segmenter | Merger, result: Callable):
         super().__init__()
         self.segmenter, self.result = segmenter, result
         vocabulary = segmenter.vocabulary

@@ -70,7 +70,7 @@ def op8_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of the ids and of the text they decode to."""
     path = vocabulary_path("piece_bpe_32k.model")
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = piece_codec.with_round_trip(documents, "text", "coded", path)
+    coded = piece_codec.with_round_trip(documents, "text", "coded", path, merges=True)
     return evaluated(coded, {
         "n_ids": F.size("coded.ids").cast("long"),
         "ids_xxhash64": F.xxhash64("coded.ids"),
@@ -92,7 +92,7 @@ def op9_bottom_k_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = vocabulary_path("piece_bpe_32k.model")
-    return piece_codec.with_token_count(documents, "text", "n_tokens", path).select("doc_id", "n_tokens")
+    return piece_codec.with_token_count(documents, "text", "n_tokens", path, merges=True).select("doc_id", "n_tokens")
 
 
 QUERIES = {

@@ -6,7 +6,9 @@ import zlib
 
 import numpy as np
 
-from pulseline.llm import pseudo_likelihood
+from pulseline.llm import pseudo_likelihood, queries
+
+SF = "/root/testdata/sf0.001"
 
 # 6 scoring
 
@@ -42,3 +44,26 @@ def test_words_by_themselves_follow_a_count(spark):
     assert net["embed"].shape[1] == ids.own + ids.buckets + 1 and net["word_bias"].size == ids.own + ids.buckets
     scored = pseudo_likelihood.with_pseudo_likelihood(documents, "text", "s", (frequent, net, words, totals)).collect()
     assert all(np.isfinite(r["s"]["log_likelihood"]) for r in scored) and len(scored) == 5
+
+
+# 8 and 10 pieces
+
+
+def test_ids_and_counts_are_those_of_the_model(spark, odd, tmp_path):
+    import sentencepiece
+
+    path = queries.vocabulary_path("piece_bpe_32k.model")
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    hard = [(-1 - i, t) for i, t in enumerate(["  a   b ", "x" * 999, "日本🙂語é́\t\n\n!!", "a!?b ▁c", "<s></s><unk>", "aaa\n\n  aa..", ""])]
+    both = documents.unionByName(odd.select("doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"]).selectExpr("doc_id - 99 as doc_id", "text"))
+    both = both.unionByName(spark.createDataFrame([(i - 200, t) for i, t in hard], "doc_id long, text string"))
+    both.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {r["doc_id"]: None if r["text"] is None else model.encode(r["text"]) for r in both.collect()}
+    # A U+2581 in the text itself reads back as a space, with the model as well.
+    back = {r["doc_id"]: r["text"] is None or model.decode(want[r["doc_id"]]) == r["text"] for r in both.collect()}
+    counts = {r["doc_id"]: r["n_tokens"] for r in queries.op10_token_counts(spark, str(tmp_path)).collect()}
+    assert counts == {i: None if w is None else len(w) for i, w in want.items()}
+    coded = {r["doc_id"]: (r["n_ids"], r["ids_xxhash64"], r["round_trip"]) for r in queries.op8_piece_codec(spark, str(tmp_path)).collect()}
+    hashed = spark.createDataFrame(list(want.items()), "doc_id long, ids array<int>").selectExpr("doc_id", "size(ids) n", "xxhash64(ids) h")
+    assert coded == {r["doc_id"]: (r["n"] if want[r["doc_id"]] is not None else coded[r["doc_id"]][0], r["h"], back[r["doc_id"]]) for r in hashed.collect()}
