@@ -6,8 +6,9 @@ penalty weighs the rules and leaves most at zero, and the remaining ones are com
 so all rows are scored inside the JVM.
 
 Defined results: null texts count as empty; an empty text has all statistics at zero and is scored like any other.
-Without labelled rows of both classes, or enough rows for a cut, there is nothing to learn and every text scores 0.5. Repeated rows and extra or
-clashing columns don't matter.
+Without labelled rows of both classes, or enough rows for a cut, there is nothing to learn and every text scores 0.5; the
+pipeline stage then keeps every document, as the toxicity stage does. Repeated rows and extra or clashing columns don't
+matter.
 """
 
 from __future__ import annotations
@@ -197,7 +198,9 @@ def learned_from() -> Column:
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that score at least the threshold."""
+    """Pipeline stage: documents that score at least the threshold, or all of them if nothing could be learnt."""
     model = fit_quality(docs, table(spark, sf_dir, "labels"), learned_from())
+    if not model.rules:
+        return docs
     name = unused_name(docs, "_quality")
     return with_quality(docs, "text", name, model).where(F.col(f"`{name}`") >= THRESHOLD).drop(name)

@@ -6,7 +6,7 @@ import zlib
 
 import numpy as np
 
-from pulseline.llm import pseudo_likelihood, queries
+from pulseline.llm import pseudo_likelihood, queries, rules
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +67,16 @@ def test_ids_and_counts_are_those_of_the_model(spark, odd, tmp_path):
     coded = {r["doc_id"]: (r["n_ids"], r["ids_xxhash64"], r["round_trip"]) for r in queries.op8_piece_codec(spark, str(tmp_path)).collect()}
     hashed = spark.createDataFrame(list(want.items()), "doc_id long, ids array<int>").selectExpr("doc_id", "size(ids) n", "xxhash64(ids) h")
     assert coded == {r["doc_id"]: (r["n"] if want[r["doc_id"]] is not None else coded[r["doc_id"]][0], r["h"], back[r["doc_id"]]) for r in hashed.collect()}
+
+
+# pipeline
+
+
+def test_quality_keeps_everything_if_nothing_can_be_learnt(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} of some words." * (i % 7)) for i in range(120)], "doc_id long, text string")
+    shape = "doc_id long, quality int"
+    for name, labels in {"none": [], "good": [(i, 1) for i in range(120)], "bad": [(i, 0) for i in range(120)], "few": [(0, 1), (1, 0)]}.items():
+        spark.createDataFrame(labels, shape).write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        kept = rules.keep_good(spark, docs, f"{tmp_path}/{name}")
+        assert kept.columns == docs.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == list(range(120)), name
