@@ -367,7 +367,7 @@ transitions AS (
   FROM previous WHERE status = '运行' AND previous <> '运行'
 )"""
 
-JOIN_CELLS = f"""CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, {_money_text("amount")} AS orderprice,
+JOIN_ROW_CELLS = f"""CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, {_money_text("amount")} AS orderprice,
   CAST(num AS VARCHAR) AS orderdetailcount"""
 ORDER_CELLS = f"""CAST(id AS VARCHAR) AS row_key, CAST(id AS VARCHAR) AS id, consignee, {_money_text("amount")}
   AS final_total_amount, status AS order_status, user_id,
@@ -469,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
             DAY,
             f"'warning_last3min_everymin_out' AS key, {_us_text('window_end')} AS field, machine_id AS value",
         ),
-        "sink_row_upsert": _join_latest(30 * DAY, JOIN_CELLS),
+        "sink_row_upsert": _join_latest(30 * DAY, JOIN_ROW_CELLS),
         "cancelled_orders_upsert": f"""{ORDERS} SELECT {ORDER_CELLS} FROM (SELECT *, row_number() OVER
           (PARTITION BY id ORDER BY arrival DESC) AS place FROM o WHERE status = '1003') WHERE place = 1""",
         "sink_jdbc_append_order_info": f"""{ORDERS} SELECT CAST(id AS VARCHAR) AS id, consignee, consignee_tel,
@@ -510,7 +510,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_rejects": _with(ENVIRONMENT_LINES)
         + """SELECT arrival, value, CASE WHEN short THEN 'short' ELSE 'bad_number' END AS reason FROM environment_parsed
           WHERE short OR temperature IS NULL""",
-        "stream_order_join": _join_latest(30 * DAY, JOIN_CELLS),
+        "stream_order_join": _join_latest(30 * DAY, JOIN_ROW_CELLS),
         "read_lines_text": _with(CHANGE_LINES, TRANSITIONS) + "SELECT machine_id, previous, changes FROM transitions",
         "hold_alerts_status_6h_split": _warning_holds(6 * HOUR),
         "hold_alerts_threshold_6h_split": _temperature_holds(6 * HOUR),

@@ -1,19 +1,16 @@
 from __future__ import annotations
 
-import datetime as dt
 import sys
 from pathlib import Path
 
 import pytest
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
+from line_rows import LINE, at  # noqa: E402
 from pulseline.session import build_session  # noqa: E402
 
-TESTDATA = Path("/root/testdata")
-LINE = "value string, arrival bigint, arrival_ts timestamp"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -27,10 +24,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(second: float) -> dt.datetime:
-    return dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=second)
-
-
 @pytest.fixture(scope="session")
 def lines(spark):
     """Lines that arrive one second apart, or at given seconds."""
@@ -40,14 +33,3 @@ def lines(spark):
         return spark.createDataFrame([(v, i, at(s)) for i, (v, s) in enumerate(zip(values, seconds))], LINE)
 
     return make
-
-
-def order_line(id=1, amount="10.00", status="1001", user="7", consignee="ann", created="2020-4-25 18:47:14", **other):
-    operated = other.get("operated", created)
-    return (
-        f"{id},{consignee},tel,{amount},{status},{user},addr,note,trade,body,{created},{operated},29,5"
-    )
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)

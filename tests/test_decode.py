@@ -5,7 +5,7 @@ import os
 from decimal import Decimal
 
 import pytest
-from conftest import order_line, rows
+from line_rows import order_line, rows
 from pyspark.sql import functions as F
 
 from pulseline.operators import decode, routing

@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import at, rows
+from line_rows import at, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import TESTDATA
+from line_rows import TESTDATA
 
 import __spark_entry__ as contract
 from check_oracle import compare, connect

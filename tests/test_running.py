@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import order_line, rows
+from line_rows import order_line, rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

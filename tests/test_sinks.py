@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from line_rows import rows
 
 from pulseline.streaming import folds, runner, sinks
 from pulseline.operators import decode, kpis
 from pulseline.session import shared_folder
-from conftest import order_line
+from line_rows import order_line
 
 
 def kv(spark, *pairs):

@@ -6,7 +6,7 @@ import datetime as dt
 import time
 
 import pytest
-from conftest import LINE, TESTDATA, order_line, rows
+from line_rows import LINE, TESTDATA, order_line, rows
 from pyspark.sql import functions as F
 
 from pulseline.functions import codes

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from conftest import order_line, rows
+from line_rows import order_line, rows
 from pyspark.sql import functions as F
 
 from pulseline.operators import decode, joins, windows
