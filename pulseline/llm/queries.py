@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import hilbert, inner_product, packing, piece_codec, pseudo_likelihood, rules, set_join, sketch, toxicity
+from ..session import shared_folder
+from . import (
+    hilbert, id_planes, inner_product, packing, piece_codec, pseudo_likelihood, rules, set_join, shallot, shared_terms,
+    sketch, toxicity,
+)
 from .common import evaluated, table
 
 SHARDS = 40
 DIMENSIONS = ["lang", "source", "n_chars", "doc_id"]
 TOP = 10
+CLUSTERS, ROUNDS, WIDTH = 16, 3, 64
+END_ID = 2
 
 
 def vocabulary_path(name: str) -> str:
@@ -95,11 +103,26 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_codec.with_token_count(documents, "text", "n_tokens", path, merges=True).select("doc_id", "n_tokens")
 
 
+def op11_shallot_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shallot.clustered(table(spark, sf_dir, "embeddings"), CLUSTERS, ROUNDS, width=WIDTH, scale=WIDTH)
+
+
+def op12_id_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/id-planes-{uuid.uuid4().hex}"
+    id_planes.write_ids(table(spark, sf_dir, "documents"), folder, vocabulary_path("word_bpe_49k.json"), END_ID)
+    return id_planes.read_digest(spark, folder)
+
+
+def op13_shared_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shared_terms.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), TOP)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_hilbert_shards, op2_inner_product_topk, op3_jaccard_join, op4_rule_ensemble, op5_differencing_pack,
         op6_pseudo_likelihood, op7_conv_toxicity, op8_piece_codec, op9_bottom_k_sketch, op10_token_counts,
+        op11_shallot_clusters, op12_id_planes, op13_shared_terms,
     )
 }
 
@@ -147,5 +170,72 @@ FROM documents d LEFT JOIN sizes USING (doc_id) JOIN reached r ON r.origin = d.d
 GROUP BY d.doc_id, n
 """
 
+
+def shallot_sql() -> str:
+    """Plain assignment of every vector to every centroid, round by round."""
+    parts = [f"""
+kept AS (
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor({WIDTH} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) = {WIDTH}
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS (
+    SELECT CAST(row_number() OVER w - 1 AS INTEGER) AS cluster, v FROM kept WINDOW w AS (ORDER BY sha256('1:' || vec_id), v)
+    QUALIFY row_number() OVER w <= {CLUSTERS}
+)"""]
+    for i in range(ROUNDS + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+    SELECT row, vec_id, k.v, cluster,
+           list_sum(list_transform(list_zip(k.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS distance
+    FROM kept k, c{i} c QUALIFY row_number() OVER (PARTITION BY row ORDER BY distance, cluster) = 1
+)""")
+        if i < ROUNDS:
+            parts.append(f"""s{i} AS (
+    SELECT cluster, dim, CAST(floor(CAST(sum(v[dim]) AS DOUBLE) / count(*)) AS BIGINT) AS mean
+    FROM a{i}, (SELECT unnest(range(1, {WIDTH} + 1)) AS dim) GROUP BY cluster, dim
+), c{i + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(m.v, c.v) AS v
+    FROM c{i} c LEFT JOIN (SELECT cluster, list(mean ORDER BY dim) AS v FROM s{i} GROUP BY cluster) m USING (cluster)
+)""")
+    return "WITH " + ", ".join(parts) + f"""
+SELECT vec_id, cluster, CAST(distance AS BIGINT) AS distance,
+    CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+    CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+    sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{ROUNDS} JOIN c{ROUNDS} c USING (cluster)
+"""
+
+
+SHARED_TERMS_SQL = r"""
+WITH words AS (
+    SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), asked AS (
+    SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), sizes AS (SELECT count(*) AS docs, sum(len(w)) AS total FROM words WHERE len(w) > 0),
+counted AS (
+    SELECT row, doc_id, n, term, count(*) AS tf FROM (SELECT row, doc_id, len(w) AS n, unnest(w) AS term FROM words)
+    GROUP BY ALL
+), weighed AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS weight
+    FROM counted, sizes GROUP BY term, docs
+), scored AS (
+    SELECT item, item_id, row, doc_id, sum(weight * times * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // total)))) AS score
+    FROM (SELECT item, item_id, term, count(*) AS times FROM asked GROUP BY ALL)
+    JOIN counted USING (term) JOIN weighed USING (term), sizes GROUP BY ALL
+)
+SELECT item_id, CAST(row_number() OVER w AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score
+FROM scored WHERE score > 0 WINDOW w AS (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST)
+QUALIFY row_number() OVER w <= 10
+"""
+
 #: The other operators (models, curve over quantiles, hashes of Spark) have no plain SQL; tests check them otherwise.
-SQL = {"op2_inner_product_topk": INNER_PRODUCT_SQL, "op3_jaccard_join": JACCARD_SQL}
+SQL = {
+    "op2_inner_product_topk": INNER_PRODUCT_SQL, "op3_jaccard_join": JACCARD_SQL,
+    "op11_shallot_clusters": shallot_sql(), "op13_shared_terms": SHARED_TERMS_SQL,
+}
