@@ -15,98 +15,38 @@ packed with a null id. An empty table gives no pieces. Extra columns are not rea
 from __future__ import annotations
 
 import heapq
-import string
 import zlib
-from array import array
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .common import Recent, bound_batches
+from .common import bound_batches
+from .word_ids import WordIds
 
 WINDOW = 2048
 PIECE = 512
 #: Pieces of a group: what one Python call holds, and the work of one merge stays small.
 GROUP_PIECES = 400
 CLOSING_ID = 1
-MARKS = string.punctuation
-PIECES = "array<struct<start: bigint, length: bigint, ids_crc32: bigint, doc_tokens: bigint>>"
+NUMBERS = ["start", "length", "ids_crc32", "doc_tokens"]
+PIECES = f"array<struct<{', '.join(f'{n}: bigint' for n in NUMBERS)}>>"
 PLACED = "row long, sequence_id long, offset long"
 
 
-class WordIds(Recent):
-    """Ids (as bytes of 32-bit numbers) of what white space separates, by one tokenizer file.
-
-    The tokenizer drops white space and its pieces never reach over it, so a text's ids are those of its words, one
-    after the other. Words of letters in Latin-1, lower-cased, go to the model directly, as does a run of marks; all
-    else goes through the whole tokenizer.
-    """
-
-    def __init__(self, path: str):
-        super().__init__()
-        self.path, self.tokenizer = path, None
-
-    def __reduce__(self):
-        return WordIds, (self.path,)
-
-    def _open(self) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(self.path)
-        self.model = self.tokenizer.model
-        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = (b for b in range(256) if b not in printable)
-        # The byte-level alphabet: printable bytes stand for themselves, the others for characters from U+0100 on.
-        self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
-
-    def make(self, word: str) -> bytes:
-        if self.tokenizer is None:
-            self._open()
-        if word.isascii() and word.isalpha() and word.islower():
-            return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-        head = word.rstrip(MARKS)
-        if not word:
-            return b""
-        if head and head != word and plain(head):
-            return self[head] + self[word[len(head) :]]
-        if plain(word) or word.isascii() and not head:
-            spelled = word.encode().decode("latin-1").translate(self.alphabet)
-            return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-
-    def of(self, text: str) -> bytes:
-        """Ids of a whole text."""
-        if simple(text):
-            text = text.lower()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
-
-
-def simple(text: str) -> bool:
-    """Latin-1 text: composing leaves it as it is, and lower-casing works on single characters."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
-
-
-def plain(word: str) -> bool:
-    return word.isalpha() and (word.isascii() or simple(word)) and word == word.lower()
-
-
-def pieces_of(ids: bytes, window: int = WINDOW, most: int = PIECE) -> list[tuple[int, int, int, int]]:
+def pieces_of(ids: np.ndarray, window: int = WINDOW, most: int = PIECE) -> list[tuple[int, int, int, int]]:
     """(start, length, crc32 of the ids, ids of the document): full windows, then the rest in near-equal pieces."""
-    total = len(ids) // 4
+    total = len(ids)
     starts = list(range(0, total - total % window + 1, window))
     rest = total % window
     parts = -(-rest // most)
     cuts = starts + [starts[-1] + rest * (i + 1) // parts for i in range(parts)]
-    return [(a, b - a, zlib.crc32(ids[4 * a : 4 * b]), total) for a, b in zip(cuts, cuts[1:])]
+    return [(a, b - a, zlib.crc32(ids[a:b]), total) for a, b in zip(cuts, cuts[1:])]
 
 
 def difference(lengths: list[int], windows: int) -> list[list[int]]:
@@ -183,14 +123,19 @@ def with_pieces(df: DataFrame, text: str, name: str, tokenizer_path: str) -> Dat
     """Adds the pieces of `text`; the tokenizer file is read on each executor from the library's own folder."""
     held = bound_batches(df.sparkSession).sparkContext.broadcast(WordIds(tokenizer_path))
 
-    def cut(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        ids = held.value
-        closing = np.array([CLOSING_ID], "<u4").tobytes()
+    def cut(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        closing = np.uint32(CLOSING_ID)
         for batch in texts:
-            yield pd.Series([pieces_of((ids.of(t) if t else b"") + closing) for t in batch], dtype=object)
-
-    cut.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return df.withColumn(name, F.pandas_udf(cut, PIECES)(text))
+            ids, ends = held.value.of(batch)
+            closed = np.insert(ids, ends[1:], closing).astype("<u4", copy=False)
+            ends = ends + np.arange(len(ends))
+            made = [pieces_of(closed[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
+            flat = np.array([p for own in made for p in own], np.int64).reshape(-1, len(NUMBERS))
+            rows = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], NUMBERS)
+            yield pa.ListArray.from_arrays(np.cumsum([0, *map(len, made)], dtype=np.int32), rows)
+
+    cut.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return df.withColumn(name, F.arrow_udf(cut, PIECES)(text))
 
 
 def packed(documents: DataFrame, tokenizer_path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
