@@ -35,7 +35,6 @@ PIECE = 512
 GROUP_PIECES = 400
 CLOSING_ID = 1
 NUMBERS = ["start", "length", "ids_crc32", "doc_tokens"]
-PIECES = f"array<struct<{', '.join(f'{n}: bigint' for n in NUMBERS)}>>"
 PLACED = "row long, sequence_id long, offset long"
 
 
@@ -119,30 +118,33 @@ def packed_group(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["row", "sequence_id", "offset"])
 
 
-def with_pieces(df: DataFrame, text: str, name: str, tokenizer_path: str) -> DataFrame:
-    """Adds the pieces of `text`; the tokenizer file is read on each executor from the library's own folder."""
-    held = bound_batches(df.sparkSession).sparkContext.broadcast(WordIds(tokenizer_path))
+def cut_pieces(documents: DataFrame, tokenizer_path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per piece: key, start, length, ids_crc32, doc_tokens. Each text is read and tokenised once, in one pass.
 
-    def cut(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    The tokenizer file is read on each executor from the library's own folder.
+    """
+    held = bound_batches(documents.sparkSession).sparkContext.broadcast(WordIds(tokenizer_path))
+    rows = documents.select(key, text)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         closing = np.uint32(CLOSING_ID)
-        for batch in texts:
-            ids, ends = held.value.of(batch)
+        for batch in batches:
+            ids, ends = held.value.of(batch.column(1))
             closed = np.insert(ids, ends[1:], closing).astype("<u4", copy=False)
             ends = ends + np.arange(len(ends))
             made = [pieces_of(closed[a:b]) for a, b in zip(ends.tolist(), ends[1:].tolist())]
-            flat = np.array([p for own in made for p in own], np.int64).reshape(-1, len(NUMBERS))
-            rows = pa.StructArray.from_arrays([pa.array(c) for c in flat.T], NUMBERS)
-            yield pa.ListArray.from_arrays(np.cumsum([0, *map(len, made)], dtype=np.int32), rows)
+            numbers = np.array([p for own in made for p in own], np.int64).reshape(-1, len(NUMBERS))
+            keys = batch.column(0).take(pa.array(np.repeat(np.arange(len(made)), [len(own) for own in made])))
+            yield pa.RecordBatch.from_arrays([keys, *map(pa.array, numbers.T)], [key, *NUMBERS])
 
-    cut.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return df.withColumn(name, F.arrow_udf(cut, PIECES)(text))
+    kind = rows.schema[0].dataType.simpleString()
+    return rows.mapInArrow(cut, f"`{key}` {kind}, " + ", ".join(f"{n} long" for n in NUMBERS))
 
 
 def packed(documents: DataFrame, tokenizer_path: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    cut = with_pieces(documents.select(F.col(key), F.col(text).alias("_text")), "_text", "_pieces", tokenizer_path)
-    pieces = cut.select(key, F.inline("_pieces")).withColumn("row", F.monotonically_increasing_id())
-    pieces = cut_lineage(pieces)  # tokenised once; row numbers stay what they are
+    pieces = cut_pieces(documents, tokenizer_path, key=key, text=text)
+    pieces = cut_lineage(pieces.withColumn("row", F.monotonically_increasing_id()))  # row numbers stay what they are
     groups = max(1, -(-pieces.count() // GROUP_PIECES))
     group = F.pmod(F.xxhash64("row"), F.lit(groups)).alias("group")
     places = pieces.select("row", "length", group).groupBy("group").applyInPandas(packed_group, PLACED)

@@ -24,8 +24,9 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once (a longer word alone may be more).
 BLOCK_BYTES = 4 << 20
-#: Distinct parts a worker remembers; when they are that many it begins anew. Results do not depend on it.
-REMEMBERED = 400_000
+#: Distinct parts a worker remembers, up to twice as many and those of one block: with more than that, the ones met
+#: last are kept and the older ones are forgotten unless they come again. Results do not depend on it.
+REMEMBERED = 300_000
 
 GAP, LETTER, DIGIT, MARK, OTHER = range(5)
 LEAD = 0xC3  # first byte of U+00C0 to U+00FF
@@ -164,10 +165,22 @@ class WordIds:
         self.alphabet = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
         self.number: dict[bytes, int] = {}
         self.ids, self.ends = array("I"), array("q", [0])
+        self.older = ({}, np.zeros(0, np.uint32), np.zeros(1, np.int64))
+
+    def _forget(self) -> None:
+        """Starts anew with the parts met so far as the older half; what was older than that is forgotten."""
+        ends = np.frombuffer(self.ends, np.int64)
+        ids = np.frombuffer(self.ids, np.uint32)
+        self.older = (self.number, ids.copy(), ends.copy())
+        self.number, self.ids, self.ends = {}, array("I"), array("q", [0])
 
     def _make(self, part: bytes) -> int:
-        """The number of a part that was not met before."""
-        if b"<|" not in part and PLAIN.fullmatch(part):
+        """The number of a part that is not among the newer ones."""
+        numbers, ids, ends = self.older
+        old = numbers.get(part)
+        if old is not None:
+            self.ids.frombytes(ids[ends[old] : ends[old + 1]].tobytes())
+        elif b"<|" not in part and PLAIN.fullmatch(part):
             spelled = part.decode() if part.isascii() else part.decode("latin-1").translate(self.alphabet)
             self.ids.extend([t.id for t in self.model.tokenize(spelled)])
         else:
@@ -186,9 +199,8 @@ class WordIds:
         found = pa.Array.from_buffers(
             pa.binary(), len(places), [None, pa.py_buffer(offsets), pa.py_buffer(packed)]
         ).dictionary_encode()
-        if len(self.number) + len(found.dictionary) > REMEMBERED:
-            self.number.clear()
-            self.ids, self.ends = array("I"), array("q", [0])
+        if len(self.number) > REMEMBERED:
+            self._forget()
         known = self.number.get
         entries = found.dictionary.to_pylist()
         numbers = [known(p) for p in entries]

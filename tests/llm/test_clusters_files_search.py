@@ -59,12 +59,15 @@ def test_ids_equal_the_library(tokenizer, monkeypatch, block):
 
 def test_ids_of_all_texts_equal_the_library(spark, tokenizer):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
-    found = packing.with_pieces(spark.createDataFrame(rows, "doc_id long, text string"), "text", "p", WORD_BPE).collect()
+    found = defaultdict(list)
+    for r in packing.cut_pieces(spark.createDataFrame(rows, "doc_id long, text string"), WORD_BPE).collect():
+        found[r["doc_id"]].append(r)
     assert len(found) == len(rows)
-    for r in found:
+    for r in rows:
+        own = sorted(found[r["doc_id"]], key=lambda p: p["start"])
         ids = np.array(ids_by_library(tokenizer, r["text"]) + [packing.CLOSING_ID], "<u4")
-        assert [p["start"] for p in r["p"]] == np.cumsum([0] + [p["length"] for p in r["p"]])[:-1].tolist()
-        for p in r["p"]:
+        assert [p["start"] for p in own] == np.cumsum([0] + [p["length"] for p in own])[:-1].tolist()
+        for p in own:
             part = ids[p["start"] : p["start"] + p["length"]]
             assert (p["ids_crc32"], p["doc_tokens"], p["length"]) == (zlib.crc32(part.tobytes()), len(ids), len(part))
 
