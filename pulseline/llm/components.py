@@ -8,22 +8,36 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def large_star(links: DataFrame) -> DataFrame:
+    """Links (u, v), u > v: every node's larger neighbours are linked to its smallest neighbour or itself."""
+    both = links.union(links.select("v", "u"))
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("low"))
+    return both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
+
+
+def small_star(links: DataFrame) -> DataFrame:
+    """Links (u, v), u > v: every node and its smaller neighbours are linked to the smallest of these."""
+    low = links.groupBy("u").agg(F.min("v").alias("low"))
+    others = links.join(low, "u").where("v <> low").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    return others.union(low.select("u", "low")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for every node of `links` (u, v): the smallest node of its component.
+    """(c, label) for every node of `links` (u, v): the smallest node of its component.
 
-    Each round takes the smallest label among the neighbours and then the label of that label, so distances halve.
-    Labels of a round are checkpointed; nothing but the number of changes reaches the driver.
+    Large and small stars in turn, which keep components and never make more links than there are, until every node
+    is linked to its component's smallest node only. Links of a round are checkpointed; a count and a checksum reach
+    the driver.
     """
-    both = cut_lineage(links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
-    labels = cut_lineage(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("near"))
-                         .select("node", F.least("node", "near").alias("label")))
+    smaller, larger = F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")
+    links = links.where("u <> v").select(larger, smaller).distinct()
+    links = cut_lineage(small_star(links))
+    seen = None
     while True:
-        seen = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node"))
-        near = seen.agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        above = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        jumped = lower.join(above, "label").select("node", "old", F.least("label", "above").alias("label"))
-        jumped = cut_lineage(jumped)
-        labels = jumped.select("node", "label")
-        if not jumped.where("label < old").limit(1).count():
-            return labels
+        mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
+        if mark == seen:
+            break
+        seen = mark
+        links = cut_lineage(small_star(large_star(links)))
+    nodes = links.select(F.col("u").alias("c"), F.col("v").alias("label"))
+    return nodes.union(links.select("v", "v").distinct())

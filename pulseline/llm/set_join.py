@@ -5,18 +5,23 @@ shingles that any partner of similarity 0.8 must share one of. Two relations bet
 
 * Lists are skipped by position: the sizes of two sets and the positions of the shared shingle bound their overlap, and
   a list is only visited in blocks of matching sizes.
-* Answers are derived: in every list the members first meet a few pivots. Members that a pivot links are in one group
-  and need no look at each other. For any other two members their overlaps with a pivot bound their own overlap from
-  above, and two bitmaps of parities bound it as well, so most pairs are refused without comparing the sets.
+* Answers are derived: in every list the members first meet a few pivots, the classes with the smallest hashes, so that
+  all lists of a group have the same ones. Members that a pivot links are in one group and need no look at each other.
+  While a list has members in several groups they meet further pivots, twice as many in each round, so a member that is
+  linked to a group drops out and only members that nothing links meet all others. For any two members their overlaps
+  with the list's first pivot bound their own overlap from above, and two bitmaps of parities bound it as well, so most
+  pairs are refused without comparing the sets.
 
-Rarity comes from counts of shingles over all texts; of each chunk of texts only shingles in many of them are counted
-on, so the table of frequent shingles has a size bound (see `frequent`). The order is the same for every set, which is
-all that exactness needs.
+Rarity comes from counts over all texts: of each chunk of texts the shingles that several sets of it hold are counted
+on, and summed up. The table that says which shingles are frequent has at most FREQUENT_MOST entries; its threshold
+follows from a histogram. The order is the same for every set, which is all that exactness needs.
 
 Defined results: words are what U+0009 to U+000D and the space separate, A-Z lower-cased. A text with fewer than five
 words has its whole sequence as its one shingle. Null, empty and wordless texts have no shingles and are in no group but
-their own. Rows without an id have a null component and link nothing. Repeated rows are one class. An empty table gives
-an empty result. Shingles and classes are 64-bit hashes.
+their own. In `near_duplicates` rows without an id have a null component and link nothing; in `keep_one` they are linked
+like others and stay only if no row of their group has an id. Repeated rows are one class. An empty table gives an empty
+result. Extra columns are not read. Long texts are taken whole. Shingles are 64-bit hashes, classes 128-bit ones; ids
+never pass through Python.
 """
 
 from __future__ import annotations
@@ -26,17 +31,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.ranges import shuffled_once
 from ..session import cut_lineage
+from .common import unused_name
 from .components import components
 
 WORDS = 5
-#: A shingle counts as frequent when more than one document in so many holds it.
-FREQUENT_ONE_IN = 1_000
+#: Entries of the table of frequent shingles, at most.
+FREQUENT_MOST = 1_000_000
 CHUNK_SHINGLES = 4_000_000
 #: Classes a task remembers so as not to repeat a copy's entries; results do not depend on it.
 REMEMBERED = 1_000_000
@@ -47,7 +54,7 @@ FILTER_BITS = 1 << 24
 SETS_AT_ONCE = 2_000
 #: Partners of one set in one row.
 SALT_PAIRS = 256
-#: Members of a list that meet all others of it first.
+#: Members of a list that meet all others of it in the first round.
 PIVOTS = 8
 
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -67,8 +74,8 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(h ^ (h >> np.uint64(27)))
 
 
-def class_of(shingle_set: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(shingle_set.tobytes(), digest_size=8).digest(), "little", signed=True)
+def class_of(shingle_set: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingle_set.tobytes(), digest_size=16).digest()
 
 
 def bitmap(shingle_set: np.ndarray) -> np.ndarray:
@@ -81,49 +88,77 @@ def bitmap(shingle_set: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def text_key(text: Column) -> Column:
+    """128 bits that stand for a text: where to find it again."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def signatures(documents: DataFrame) -> DataFrame:
-    """One pass over all texts: (doc_id, n, class, bitmap) per row, and (token, n) for shingles in many of a chunk."""
+    """One pass over all texts: (doc_id, key, n, c, bits) per row, and (token, n) for shingles of several sets of a chunk.
 
-    def signed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, total, texts = [], 0, 0
+    Ids and text keys go through as they are.
+    """
 
-        def counted() -> pd.DataFrame:
+    def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [], 0
+        seen: set[bytes] = set()
+        names = ["doc_id", "key", "n", "c", "bits", "token"]
+        shape = pa.schema([pa.field(f, t) for f, t in zip(names, (
+            pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()))])
+
+        def counted() -> pa.RecordBatch:
             token, n = np.unique(np.concatenate(held), return_counts=True)
-            often = n > max(2, texts / (2 * FREQUENT_ONE_IN))
-            made = {"kind": 1, "doc_id": None, "n": n[often], "token": token[often].view(np.int64), "bits": None}
-            return pd.DataFrame(made).astype({"doc_id": "Int64"})
+            often = n > 1
+            rows = int(often.sum())
+            none = [pa.nulls(rows, shape.field(i).type) for i in (0, 1, 3, 4)]
+            cells = [none[0], none[1], pa.array(n[often]), none[2], none[3], pa.array(token[often].view(np.int64))]
+            return pa.RecordBatch.from_arrays(cells, schema=shape)
 
         for batch in batches:
             sizes, classes, bits = [], [], []
-            for text in batch["text"]:
+            for text in batch.column(2).to_pylist():
                 own = shingles(text)
+                c = class_of(own)
                 sizes.append(len(own))
-                classes.append(class_of(own))
+                classes.append(c)
                 bits.append(bitmap(own))
+                if c in seen:  # copies do not make a shingle frequent
+                    continue
+                if len(seen) >= REMEMBERED:
+                    seen.clear()
+                seen.add(c)
                 held.append(own)
-                total, texts = total + len(own), texts + 1
+                total += len(own)
                 if total >= CHUNK_SHINGLES:
                     yield counted()
-                    held, total, texts = [], 0, 0
-            made = {"kind": 0, "doc_id": batch["doc_id"].astype("Int64"), "n": sizes, "token": classes, "bits": bits}
-            yield pd.DataFrame(made)
+                    held, total = [], 0
+            cells = [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(bits, pa.list_(pa.int64()))]
+            none = pa.nulls(batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *cells, none], schema=shape)
         if held:
             yield counted()
 
-    return documents.select("doc_id", "text").mapInPandas(signed, "kind int, doc_id long, n long, token long, bits array<long>")
-
-
-def frequent(signed: DataFrame, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles, ascending, with their counts.
-
-    Each is in one of FREQUENT_ONE_IN documents at least, so there are at most that many times the mean set size:
-    half a million for sets of 500, at any number of documents.
-    """
-    counts = signed.where("kind = 1").groupBy("token").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") > max(2, texts // FREQUENT_ONE_IN)).toPandas()
-    token = rows["token"].to_numpy(dtype=np.int64).view(np.uint64)
+    rows = documents.select(F.col("doc_id").cast("long"), text_key(F.col("text")).alias("key"), "text")
+    return rows.mapInArrow(signed, "doc_id long, key binary, n long, c binary, bits array<long>, token long")
+
+
+def frequent(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, ascending, with their counts: at most FREQUENT_MOST, whatever the corpus."""
+    counts = cut_lineage(signed.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")))
+    level = F.floor(F.log2("n") * 8).cast("int")
+    sizes = dict(counts.groupBy(level.alias("level")).count().collect())
+    room, lowest = FREQUENT_MOST, None
+    for step in sorted(sizes, reverse=True):
+        room -= sizes[step]
+        if room < 0:
+            break
+        lowest = step
+    if lowest is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    rows = counts.where(level >= lowest).toArrow()
+    token = rows["token"].to_numpy().view(np.uint64)
     order = np.argsort(token)
-    return token[order], rows["n"].to_numpy(dtype=np.int64)[order]
+    return token[order], rows["n"].to_numpy()[order]
 
 
 def by_rarity(own: np.ndarray, token: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -139,12 +174,12 @@ def index_entries(documents: DataFrame, token: np.ndarray, often: np.ndarray) ->
     """(token, c, n, pos): each class in the lists of its prefix."""
     table = documents.sparkSession.sparkContext.broadcast((token, often))
 
-    def entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token, often = table.value
-        seen: set[int] = set()
+        seen: set[bytes] = set()
         for batch in batches:
             parts = []
-            for text in batch["text"]:
+            for text in batch.column(0).to_pylist():
                 own = shingles(text)
                 if not len(own) or (c := class_of(own)) in seen:
                     continue
@@ -155,15 +190,17 @@ def index_entries(documents: DataFrame, token: np.ndarray, often: np.ndarray) ->
                 parts.append((c, n, by_rarity(own, token, often)[: n - (4 * n + 4) // 5 + 1]))
             if parts:
                 lengths = [len(p) for _, _, p in parts]
-                yield pd.DataFrame({
-                    "token": np.concatenate([p for _, _, p in parts]).view(np.int64),
-                    "c": np.repeat(np.array([c for c, _, _ in parts], np.int64), lengths),
-                    "n": np.repeat(np.array([n for _, n, _ in parts], np.int32), lengths),
-                    "pos": np.concatenate([np.arange(k, dtype=np.int32) for k in lengths]),
-                })
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.concatenate([p for _, _, p in parts]).view(np.int64)),
+                        pa.array([c for c, _, _ in parts]).take(pa.array(np.repeat(np.arange(len(parts)), lengths))),
+                        pa.array(np.repeat(np.array([n for _, n, _ in parts], np.int32), lengths)),
+                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths])),
+                    ],
+                    ["token", "c", "n", "pos"],
+                )
 
-    rows = documents.where("doc_id IS NOT NULL").select("text")
-    return rows.mapInPandas(entries, "token long, c long, n int, pos int")
+    return documents.select("text").mapInArrow(entries, "token long, c binary, n int, pos int")
 
 
 def needed_overlap(n: Column, m: Column) -> Column:
@@ -181,45 +218,59 @@ def can_match(n: Column, pos: Column, m: Column, at: Column) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (most >= needed_overlap(n, m))
 
 
-def id_filter(ids: DataFrame) -> np.ndarray:
-    """A bitmap of FILTER_BITS hashed ids, 2 MB whatever their number: it may let others pass, never stops one of them."""
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+def place_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """A bitmap of FILTER_BITS hashed keys, 2 MB whatever their number: it may let others pass, never stops one of them."""
+    place = place_of(F.col("key"))
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    words = ids.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    words = keys.select(F.floor(place / 64).alias("word"), bit.alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[found["word"].to_numpy(dtype=np.int64)] = found["bits"].to_numpy(dtype=np.int64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy()
     return out
 
 
-def class_sets(documents: DataFrame, ids: DataFrame) -> DataFrame:
-    """(c, tokens) of the documents with these ids, and of a few others: the sorted hashes as bytes.
+def class_sets(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """(c, tokens) of the texts with these keys, and of a few others: the sorted hashes as bytes.
 
-    The texts stay where they are read; a bitmap of the ids says which ones to look at.
+    The texts stay where they are read; a bitmap of the keys says which ones to look at.
     """
-    bits = documents.sparkSession.sparkContext.broadcast(id_filter(ids))
+    bits = documents.sparkSession.sparkContext.broadcast(key_filter(keys))
 
-    def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            place = batch["place"].to_numpy()
-            wanted = (bits.value[place // 64] >> (place % 64)) & 1 == 1
-            for first in range(0, int(wanted.sum()), SETS_AT_ONCE):
-                sets = [shingles(t) for t in batch["text"][wanted].iloc[first : first + SETS_AT_ONCE]]
-                yield pd.DataFrame({"c": [class_of(s) for s in sets], "tokens": [s.tobytes() for s in sets]})
-
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("place")
-    rows = documents.where("doc_id IS NOT NULL").select(place, "text")
-    return rows.mapInPandas(made, "c long, tokens binary")
+            place = batch.column(0).to_numpy()
+            wanted = np.flatnonzero((bits.value[place // 64] >> (place % 64)) & 1)
+            for first in range(0, len(wanted), SETS_AT_ONCE):
+                classes, tokens = [], []
+                for text in batch.column(1).take(pa.array(wanted[first : first + SETS_AT_ONCE])).to_pylist():
+                    own = shingles(text)
+                    c = class_of(own)
+                    if c not in seen:
+                        if len(seen) >= REMEMBERED:
+                            seen.clear()
+                        seen.add(c)
+                        classes.append(c)
+                        tokens.append(own.tobytes())
+                cells = [pa.array(classes, pa.binary()), pa.array(tokens, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cells, ["c", "tokens"])
+
+    rows = documents.select(place_of(text_key(F.col("text"))).alias("place"), "text")
+    return rows.mapInArrow(made, "c binary, tokens binary")
 
 
 def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs (a, b, na, nb) with `both`, the size of the overlap.
 
-    A set goes to its partners in rows of at most SALT_PAIRS of them. Sets with more partners have several rows, which
+    A set goes to its partners in rows of about SALT_PAIRS of them. Sets with more partners have several rows, which
     are dealt out before they are unfolded, so no task sends one set to all of its partners.
     """
-    order = Window.partitionBy("a").orderBy("b")
-    salted = pairs.withColumn("salt", F.floor((F.row_number().over(order) - 1) / SALT_PAIRS))
+    rows_of = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_PAIRS).alias("rows"))
+    salted = pairs.join(rows_of, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("rows")))
     rows = cut_lineage(salted.groupBy("a", "na", "salt").agg(F.collect_list(F.struct("b", "nb")).alias("partners")))
     sets = shuffled_once(sets, "c")  # both sides of the pairs read one shuffle
     sent = rows.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
@@ -240,11 +291,6 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.select("a", "b", "na", "nb", F.pandas_udf(common, "int")("ta", "tb").alias("both")).distinct()
 
 
-def pivot_order():
-    """Members of a list that hold its shingle early come first: they can still match most others."""
-    return Window.partitionBy("token").orderBy(F.floor(10 * F.col("pos") / F.col("n")), F.xxhash64("c"), "c")
-
-
 LINKED = "9 * both >= 4 * (na + nb)"
 
 
@@ -270,88 +316,116 @@ def not_refused(pairs: DataFrame, bits: DataFrame) -> DataFrame:
     return met.where(differ <= most).select("a", "b", "na", "nb")
 
 
-def pivot_pairs(lists: DataFrame) -> DataFrame:
-    """(a, b, na, nb): in each list the members against its pivots."""
-    ranked = lists.withColumn("rank", F.row_number().over(pivot_order()))
-    p = ranked.where(F.col("rank") <= PIVOTS).select("token", *[F.col(c).alias(f"p_{c}") for c in ("c", "n", "pos")])
-    star = ranked.join(p, "token").where(
-        (F.col("p_c") != F.col("c")) & ((F.col("rank") > PIVOTS) | (F.col("p_c") < F.col("c")))
-        & can_match(F.col("n"), F.col("pos"), F.col("p_n"), F.col("p_pos"))
-    )
-    return star.groupBy(F.col("p_c").alias("a"), F.col("c").alias("b")).agg(
-        F.min("p_n").alias("na"), F.min("n").alias("nb")
+def by_hash():
+    return Window.partitionBy("token").orderBy(F.xxhash64("c"), "c")
+
+
+def can_link(x: str, y: str) -> Column:
+    """Whether two members of a list are in different groups and may be similar, by sizes, positions, and by what each
+    has in common with the list's first pivot: at most the smaller of the two, and the smaller of what is left."""
+    n, m, seen, too = (F.col(f"{side}_{c}") for c in ("n", "both") for side in (x, y))
+    most = F.least(seen, too) + F.least(n - seen, m - too)
+    return (
+        (F.col(f"{x}_label") != F.col(f"{y}_label"))
+        & can_match(n, F.col(f"{x}_pos"), m, F.col(f"{y}_pos"))
+        & (seen.isNull() | too.isNull() | (most >= needed_overlap(n, m)))
     )
 
 
-def open_pairs(crowded: DataFrame, labels: DataFrame, met: DataFrame) -> DataFrame:
-    """(a, b, na, nb): what the pivots leave open in lists with more members than they cover.
+def side(lists: DataFrame, name: str) -> list[Column]:
+    return [F.col(c).alias(f"{name}_{c}") for c in ("c", "n", "pos", "label", "both")]
 
-    A join inside the lists that skips blocks of other sizes, pairs of one group, and pairs that the overlaps with the
-    list's first pivot refuse.
+
+def pivot_pairs(lists: DataFrame, first: int, last: int) -> DataFrame:
+    """(a, b, na, nb): in each list the members number `first` to `last` by hash against all of it; pairs stand once."""
+    ranked = lists.withColumn("rank", F.row_number().over(by_hash()))
+    pivots = ranked.where(F.col("rank") <= last).where(F.col("rank") >= first).select("token", *side(lists, "p"))
+    met = lists.select("token", *side(lists, "m")).join(pivots, "token").where(can_link("p", "m"))
+    low = F.col("p_c") < F.col("m_c")
+    ends = [
+        F.when(low, F.col(f"p_{c}")).otherwise(F.col(f"m_{c}")).alias(a) for a, c in (("a", "c"), ("na", "n"))
+    ] + [F.when(low, F.col(f"m_{c}")).otherwise(F.col(f"p_{c}")).alias(b) for b, c in (("b", "c"), ("nb", "n"))]
+    return met.select(*ends).groupBy("a", "b").agg(F.min("na").alias("na"), F.min("nb").alias("nb"))
+
+
+def open_lists(lists: DataFrame, labels: DataFrame, done: int) -> DataFrame:
+    """Lists of more than `done` + 1 members, so many of which have met all others, that are not all in one group yet.
+
+    With the members' labels.
     """
-    named = crowded.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    inside = Window.partitionBy("token")
-    open_ = named.select(
-        "*", F.first("c").over(pivot_order()).alias("p"),
-        F.min("label").over(inside).alias("low"), F.max("label").over(inside).alias("high"),
-    ).where("low <> high AND p <> c")
-    known = met.select(F.col("a").alias("p"), F.col("b").alias("c"), "both")
-    open_ = cut_lineage(open_.join(known, ["p", "c"], "left").select("token", "c", "n", "pos", "label", "both"))
-    level = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1.25))).cast("int")
-    x = open_.select(*[F.col(c).alias(f"x_{c}") for c in open_.columns if c != "token"], "token",
-                     F.explode(F.array(level, level + 1)).alias("level"))
-    y = open_.select(*[F.col(c).alias(f"y_{c}") for c in open_.columns if c != "token"], "token", level.alias("level"))
-    need = needed_overlap(F.col("x_n"), F.col("y_n"))
-    at_most = F.least("x_both", "y_both") + F.least(F.col("x_n") - F.col("x_both"), F.col("y_n") - F.col("y_both"))
-    order = (F.col("x_n") < F.col("y_n")) | ((F.col("x_n") == F.col("y_n")) & (F.col("x_c") < F.col("y_c")))
-    candidates = x.join(
-        y,
-        (x["token"] == y["token"]) & (x["level"] == y["level"]) & order & (F.col("x_label") != F.col("y_label"))
-        & can_match(F.col("x_n"), F.col("x_pos"), F.col("y_n"), F.col("y_pos"))
-        & F.coalesce(at_most >= need, F.lit(True)),
-    )
-    return candidates.groupBy(F.col("x_c").alias("a"), F.col("y_c").alias("b")).agg(
-        F.min("x_n").alias("na"), F.min("y_n").alias("nb")
-    )
+    named = lists.drop("label").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    order = F.xxhash64("label")
+    ends = named.groupBy("token").agg(
+        F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("members")
+    ).where((F.col("low") != F.col("high")) & (F.col("members") > done + 1))
+    return named.join(ends.select("token"), "token")
+
+
+def with_overlap(lists: DataFrame, met: DataFrame) -> DataFrame:
+    """Lists with what each member has in common with the first pivot, where the two have been compared."""
+    pivot = lists.withColumn("rank", F.row_number().over(by_hash())).where(F.col("rank") <= 1)
+    named = lists.drop("both").join(pivot.select("token", F.col("c").alias("p")), "token")
+    ends = [F.least("p", "c").alias("a"), F.greatest("p", "c").alias("b")]
+    known = named.select("*", *ends).join(met.select("a", "b", "both"), ["a", "b"], "left")
+    both = F.when(F.col("p") == F.col("c"), F.col("n")).otherwise(F.col("both"))
+    return known.withColumn("both", both).drop("a", "b", "p")
 
 
 def index_lists(entries: DataFrame) -> DataFrame:
-    """(token, c, n, pos, members) of lists with two classes at least; a copy that several tasks met is one entry."""
-    inside = Window.partitionBy("token")
-    ends = entries.select("*", F.min("c").over(inside).alias("low"), F.max("c").over(inside).alias("high"))
-    one = ends.where("low <> high").groupBy("token", "c").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
-    return one.withColumn("members", F.count("*").over(inside))
+    """(token, c, n, pos, label, both) of lists with two classes at least; a copy that several tasks met is one entry."""
+    entries = shuffled_once(entries, "token")
+    order = F.xxhash64("c")  # as long as nothing else than numbers is aggregated, no sort is needed
+    ends = entries.groupBy("token").agg(F.min(order).alias("low"), F.max(order).alias("high")).where("low <> high")
+    shared = entries.join(ends.select("token"), "token")
+    one = shared.groupBy("token", "c").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    return one.withColumns({"label": F.col("c"), "both": F.lit(None).cast("int")})
 
 
-def sets_of(pairs: DataFrame, documents: DataFrame, first: DataFrame) -> DataFrame:
-    """Sets of the classes in pairs, made from each class's first document."""
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    return class_sets(documents, wanted.join(first, "c").select("doc_id"))
+def sets_of(documents: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
+    """(c, tokens) of these classes at least, made from each class's first text."""
+    return class_sets(documents, classes.distinct().join(first, "c").select("key"))
+
+
+def linked(met: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """(u, v) of the similar pairs, and of what is known of the groups, as one link per class."""
+    links = met.where(LINKED).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    return links if labels is None else links.union(labels.where("c <> label").select("c", "label"))
+
+
+def groups_of_classes(documents: DataFrame, signed: DataFrame) -> DataFrame:
+    """(c, label) of every class that has a link: the smallest class of its group."""
+    token, often = frequent(signed)
+    lists = cut_lineage(index_lists(index_entries(documents, token, often)))
+    classes = signed.where("token IS NULL AND n > 0").groupBy("c")
+    classes = cut_lineage(classes.agg(F.min("key").alias("key"), F.first("bits").alias("bits")))
+    first, bits = classes.select("c", "key"), classes.select("c", "bits")
+
+    labels, sets, done, more = None, None, 0, PIVOTS
+    while True:
+        pairs = cut_lineage(not_refused(pivot_pairs(lists, done + 1, done + more), bits))
+        if pairs.limit(1).count() or sets is None:
+            ends = pairs.select(F.col("a").alias("c")).union(pairs.select("b"))
+            met = cut_lineage(overlaps(pairs, sets if sets is not None else sets_of(documents, ends, first)))
+            labels = components(linked(met, labels))
+        done, more = done + more, 2 * more
+        lists = open_lists(lists, labels, done)
+        lists = cut_lineage(with_overlap(lists, met) if sets is None else lists)
+        if not lists.limit(1).count():
+            return labels
+        if sets is None:  # the sets of the members left serve all further rounds
+            sets = cut_lineage(sets_of(documents, lists.select("c"), first))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of every row."""
+    named = documents.where("doc_id IS NOT NULL")
     signed = cut_lineage(signatures(documents))
-    rows = signed.where("kind = 0").select("doc_id", "n", F.col("token").alias("c"), "bits")
-    token, often = frequent(signed, rows.count())
-    lists = cut_lineage(index_lists(index_entries(documents, token, often)))
-    classes = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("c")
-    classes = cut_lineage(classes.agg(F.min("doc_id").alias("doc_id"), F.first("bits").alias("bits")))
-    first, bits = classes.select("c", "doc_id"), classes.select("c", "bits")
-
-    star = cut_lineage(not_refused(pivot_pairs(lists), bits))
-    crowded = lists.where(F.col("members") > PIVOTS + 1).select("token", "c", "n", "pos")
-    met = cut_lineage(overlaps(star, sets_of(star, documents, first)))
-    links = met.where(LINKED).select(F.col("a").alias("u"), F.col("b").alias("v"))
-    labels = components(links).withColumnRenamed("node", "c")
-    rest = cut_lineage(not_refused(open_pairs(crowded, labels, met), bits))
-    if rest.limit(1).count():
-        more = overlaps(rest, sets_of(rest, documents, first)).where(LINKED).select("a", "b")
-        labels = components(links.union(more)).withColumnRenamed("node", "c")
-
-    named = first.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    groups = named.join(smallest, "label").select("c", "component_id")
+    rows = signed.where("token IS NULL").select("doc_id", "n", "c")
+    labels = groups_of_classes(named, signed.where("token IS NOT NULL OR doc_id IS NOT NULL"))
+    first = rows.where("doc_id IS NOT NULL AND n > 0").groupBy("c").agg(F.min("doc_id").alias("doc_id"))
+    first = first.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    smallest = first.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    groups = first.join(smallest, "label").select("c", "component_id")
     own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return rows.join(groups, "c", "left").select(
@@ -360,7 +434,32 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near duplicates the document with the smallest id, and rows without an id."""
-    found = near_duplicates(docs).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    joined = docs.join(found, docs["doc_id"] == found["_kept"], "left_semi")
-    return joined.unionByName(docs.where(F.col("doc_id").isNull()))
+    """Pipeline stage: one row of each group of near duplicates stays, the one with the smallest id.
+
+    Rows without an id stay only where no row of the group has one; of equal ids the smallest text key decides, and of
+    rows that repeat both one stays. Rows without a word are in no group and stay.
+    """
+    signed = cut_lineage(signatures(docs))
+    rows = signed.where("token IS NULL AND n > 0").select("doc_id", "key", "c")
+    labels = groups_of_classes(docs, signed)
+    same = rows.groupBy("c", "doc_id", "key").agg(F.count("*").alias("copies"))
+    same = same.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key", "copies")
+    kept = same.groupBy("label").agg(F.min(order).alias("kept"))
+    kept = kept.select(*[F.col(f"kept.{c}").alias(f"_{c}") for c in ("doc_id", "key", "copies")])
+    # Rows without a word stay whatever they are.
+    none = signed.where("token IS NULL AND n = 0").select(
+        F.col("doc_id").alias("_doc_id"), F.col("key").alias("_key"), F.lit(1).cast("long").alias("_copies")
+    ).distinct()
+    kept = cut_lineage(kept.union(none))
+    name = unused_name(docs, "_key_of_text")
+    keyed = docs.withColumn(name, text_key(F.col("text")))
+    here = keyed["doc_id"].cast("long").eqNullSafe(kept["_doc_id"]) & (keyed[name] == kept["_key"])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    out = keyed.join(kept.where("_copies = 1"), here, "left_semi").select(*columns)
+    if not kept.where("_copies > 1").limit(1).count():
+        return out
+    # Rows that repeat id and text: one each, reduced before the shuffle.
+    again = keyed.join(kept.where("_copies > 1"), here, "left_semi")
+    one = again.groupBy("doc_id", name).agg(F.first(F.struct(*columns)).alias("row")).select("row.*")
+    return out.unionByName(one)
