@@ -390,7 +390,7 @@ reasons AS (
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "read_lines": f"SELECT event_id AS arrival, props AS value, epoch_us({_TS}) AS arrival_us FROM events",
         "decode_orders": f"""{ORDERS} SELECT arrival, id, consignee, consignee_tel, {_money_text("amount")} AS amount,
           status, user_id, {_text("create_time")} AS create_time, {_text("operation_time")} AS operation_time, freight
@@ -517,4 +517,12 @@ def oracle_sql() -> dict[str, str]:
         "transitions_to_running_split": _with(CHANGE_LINES, TRANSITIONS)
         + "SELECT arrival, machine_id, previous, changes, change_time FROM transitions",
         "sku_running_amount_split": _sku_running(_money_text("amount"), "amount"),
+        "stream_top_sku_quantity": _with(DETAIL_LINES, SKU_SUMS) + TOP_SKU_QUANTITY,
     }
+    # The same sequences, made batch by batch.
+    for name in (
+        "running_sales_total", "running_refund_total", "running_order_count", "running_refund_requests",
+        "running_cancel_rate", "sku_running_quantity", "sku_running_amount",
+    ):
+        found[f"stream_{name}"] = found[name]
+    return found

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,32 +73,40 @@ def previous_value(
     return result.unionByName(hot.join(carry, place).withColumn(name, value).select(result.columns))
 
 
-def running_sales_total(orders: DataFrame, statuses=codes.SALES_STATUSES, ranges: Ranges | None = None) -> DataFrame:
+# `sums` is how running sums are made: over a whole frame, or for the next batch of a stream (`folds.RunningSums`).
+Sums = Callable[..., DataFrame]
+
+
+def running_sales_total(
+    orders: DataFrame, statuses=codes.SALES_STATUSES, ranges: Ranges | None = None, sums: Sums = running_sums
+) -> DataFrame:
     """Sales total after each sales order."""
     sales = orders.where(is_sale(statuses)).select("arrival", "id", "amount")
-    return running_sums(sales, "arrival", {"total": F.col("amount")}, ranges=ranges)
+    return sums(sales, "arrival", {"total": F.col("amount")}, ranges=ranges)
 
 
-def running_refund_total(orders: DataFrame, ranges: Ranges | None = None) -> DataFrame:
+def running_refund_total(orders: DataFrame, ranges: Ranges | None = None, sums: Sums = running_sums) -> DataFrame:
     """Refunded total after each completed refund."""
-    return running_sales_total(orders, (codes.REFUNDED,), ranges)
+    return running_sales_total(orders, (codes.REFUNDED,), ranges, sums)
 
 
-def running_order_count(orders: DataFrame, statuses=codes.SALES_STATUSES, ranges: Ranges | None = None) -> DataFrame:
+def running_order_count(
+    orders: DataFrame, statuses=codes.SALES_STATUSES, ranges: Ranges | None = None, sums: Sums = running_sums
+) -> DataFrame:
     """Number of sales orders after each of them."""
     sales = orders.where(is_sale(statuses)).select("arrival", "id")
-    return running_sums(sales, "arrival", {"orders": F.lit(1)}, ranges=ranges)
+    return sums(sales, "arrival", {"orders": F.lit(1)}, ranges=ranges)
 
 
-def running_refund_requests(orders: DataFrame, ranges: Ranges | None = None) -> DataFrame:
+def running_refund_requests(orders: DataFrame, ranges: Ranges | None = None, sums: Sums = running_sums) -> DataFrame:
     """Number of refund requests after each of them."""
-    return running_order_count(orders, (codes.REFUND_REQUESTED,), ranges)
+    return running_order_count(orders, (codes.REFUND_REQUESTED,), ranges, sums)
 
 
-def running_cancel_rate(orders: DataFrame, ranges: Ranges | None = None) -> DataFrame:
+def running_cancel_rate(orders: DataFrame, ranges: Ranges | None = None, sums: Sums = running_sums) -> DataFrame:
     """At each cancellation: the share of cancelled orders among all orders so far, as percent text."""
     cancelled = F.col("status") == codes.CANCELLED
-    counts = running_sums(
+    counts = sums(
         orders.select("arrival", "id", "status"),
         "arrival",
         {"cancels": F.when(cancelled, 1).otherwise(0), "orders": F.lit(1)},
@@ -107,21 +117,27 @@ def running_cancel_rate(orders: DataFrame, ranges: Ranges | None = None) -> Data
     )
 
 
-def sku_running_quantity(details: DataFrame, min_events: int = 2, ranges: Ranges | None = None) -> DataFrame:
+def sku_running_quantity(
+    details: DataFrame, min_events: int = 2, ranges: Ranges | None = None, sums: Sums = running_sums
+) -> DataFrame:
     """Quantity of a product sold so far, from its `min_events`-th line on."""
-    return _sku_running(details.select("arrival", "sku_id", "num"), "quantity", F.col("num"), min_events, ranges)
+    return _sku_running(details.select("arrival", "sku_id", "num"), "quantity", F.col("num"), min_events, ranges, sums)
 
 
-def sku_running_amount(details: DataFrame, min_events: int = 2, ranges: Ranges | None = None) -> DataFrame:
+def sku_running_amount(
+    details: DataFrame, min_events: int = 2, ranges: Ranges | None = None, sums: Sums = running_sums
+) -> DataFrame:
     """Amount of a product sold so far, from its `min_events`-th line on."""
     rows = details.select("arrival", "sku_id", "price", "num")
-    return _sku_running(rows, "amount", line_amount(), min_events, ranges)
+    return _sku_running(rows, "amount", line_amount(), min_events, ranges, sums)
 
 
 def line_amount() -> Column:
     return F.col("price") * F.col("num")
 
 
-def _sku_running(rows: DataFrame, name: str, increment: Column, min_events: int, ranges: Ranges | None) -> DataFrame:
-    sums = running_sums(rows, "arrival", {name: increment, "events": F.lit(1)}, key="sku_id", ranges=ranges)
-    return sums.where(F.col("events") >= min_events).select("arrival", "sku_id", "events", name)
+def _sku_running(
+    rows: DataFrame, name: str, increment: Column, min_events: int, ranges: Ranges | None, sums: Sums
+) -> DataFrame:
+    made = sums(rows, "arrival", {name: increment, "events": F.lit(1)}, key="sku_id", ranges=ranges)
+    return made.where(F.col("events") >= min_events).select("arrival", "sku_id", "events", name)

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import codes
-from ..operators import decode, joins, patterns, routing, topk, windows
+from ..operators import decode, joins, patterns, routing, running, topk, windows
 from ..operators.ranges import plan_ranges
 from ..streaming import processors
-from ..streaming.folds import fold_kpis
+from ..streaming.folds import Ranking, RunningSums, fold_kpis
 from ..streaming.runner import Flow, Output
 from ..streaming.sinks import last_per_key
 from . import cells
@@ -64,6 +64,15 @@ def _kpis(folder: str, keys: list[str]) -> dict[str, Output]:
     return {"kpis": output}
 
 
+def _running(folder: str, **operators: Callable[..., DataFrame]) -> dict[str, Output]:
+    """Running values as products: a row per event, batch after batch."""
+
+    def output(name: str, operator: Callable[..., DataFrame]) -> Output:
+        return lambda batch, batch_id: operator(batch, sums=RunningSums(batch_id, f"{folder}/{name}"))
+
+    return {name: output(name, operator) for name, operator in operators.items()}
+
+
 def _cancelled(make: Callable[[DataFrame], DataFrame]) -> Output:
     return lambda batch, batch_id: make(routing.cancelled_orders(batch))
 
@@ -73,21 +82,28 @@ def _cancelled(make: Callable[[DataFrame], DataFrame]) -> Output:
 
 @job("order_totals", "order")
 def order_totals(lines: Lines, folder: str) -> list[Flow]:
-    """Running sales and refund totals, and the cancelled orders."""
+    """Sales and refund totals as they stand and after each order, and the cancelled orders."""
     decoded = decode.decode_orders(lines["order"])
     orders = decode.with_event_time(decoded.rows)
     outputs = _kpis(folder, [codes.KEY_SALES_TOTAL, codes.KEY_REFUND_TOTAL])
+    outputs |= _running(
+        folder, running_sales=running.running_sales_total, running_refunds=running.running_refund_total
+    )
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.cancelled_cells)
     return [Flow("order_totals", orders, outputs), _rejects("order", decoded)]
 
 
 @job("order_rates", "order")
 def order_rates(lines: Lines, folder: str) -> list[Flow]:
-    """Order count, refund request count, and cancel rate."""
+    """Order count, refund request count, and cancel rate, as they stand and after each order."""
     required = ("amount", "status", "create_time", "operation_time")
     decoded = decode.decode_orders(lines["order"], date_only=True, required=required)
     keys = [codes.KEY_ORDER_COUNT, codes.KEY_REFUND_REQUESTS, codes.KEY_CANCEL_RATE]
-    return [Flow("order_rates", decoded.rows, _kpis(folder, keys)), _rejects("order", decoded)]
+    outputs = _kpis(folder, keys) | _running(
+        folder, running_orders=running.running_order_count, running_refund_requests=running.running_refund_requests,
+        running_cancel_rate=running.running_cancel_rate,
+    )
+    return [Flow("order_rates", decoded.rows, outputs), _rejects("order", decoded)]
 
 
 @job("top_users", "order")
@@ -100,7 +116,7 @@ def top_users(lines: Lines, folder: str) -> list[Flow]:
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.order_cells)
     return [
         Flow("cancelled_orders", orders, outputs),
-        Flow("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: top_users_text}, "complete"),
+        _ranked("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: ("value", 2)}, folder),
         _rejects("order", decoded),
     ]
 
@@ -117,24 +133,37 @@ def top_users_text(batch: DataFrame, batch_id: int) -> DataFrame:
     return topk.top_k_text(batch, 2, codes.KEY_TOP_USERS)
 
 
-def _top_skus(column: str, key: str) -> Output:
-    return lambda batch, batch_id: topk.top_k_text(batch.select("key", F.col(column).alias("value")), 3, key)
+def _ranked(name: str, sums: DataFrame, products: dict[str, tuple[str, int]], folder: str) -> Flow:
+    """Top-k texts of sums per key: product to (column, k).
+
+    A batch frame holds all sums. A stream gives those that a batch has changed, and the others lie in a keyed table.
+    """
+    ranking = Ranking(f"{folder}/{name}", ["key"], dict(products.values()))
+
+    def output(product: str, column: str, k: int) -> Output:
+        def text_of(batch: DataFrame, batch_id: int) -> DataFrame:
+            rows = batch.select("key", F.col(column).alias("value"))
+            return topk.top_k_text(ranking.top(batch, batch_id, column) if sums.isStreaming else rows, k, product)
+
+        return text_of
 
+    return Flow(name, sums, {p: output(p, column, k) for p, (column, k) in products.items()}, "update")
 
-def sku_flow(details: DataFrame) -> Flow:
-    outputs = {
-        codes.KEY_TOP_SKU_QUANTITY: _top_skus("quantity", codes.KEY_TOP_SKU_QUANTITY),
-        codes.KEY_TOP_SKU_AMOUNT: _top_skus("amount", codes.KEY_TOP_SKU_AMOUNT),
-    }
-    return Flow("top_skus", topk.sku_sums(details), outputs, "complete")
+
+def sku_flow(details: DataFrame, folder: str = "") -> Flow:
+    products = {codes.KEY_TOP_SKU_QUANTITY: ("quantity", 3), codes.KEY_TOP_SKU_AMOUNT: ("amount", 3)}
+    return _ranked("top_skus", topk.sku_sums(details), products, folder)
 
 
 @job("top_skus", "order_detail")
 def top_skus(lines: Lines, folder: str) -> list[Flow]:
-    """The three products sold most, by quantity and by amount."""
+    """The three products sold most, by quantity and by amount, and both after each line of a product."""
     required = ("detail_id", "sku_id", "price", "num", "create_time")
     decoded = decode.decode_order_details(lines["order_detail"], required=required)
-    return [sku_flow(decoded.rows), _rejects("order_detail", decoded)]
+    sequences = _running(
+        folder, sku_running_quantity=running.sku_running_quantity, sku_running_amount=running.sku_running_amount
+    )
+    return [sku_flow(decoded.rows, folder), Flow("sku_running", decoded.rows, sequences), _rejects("order_detail", decoded)]
 
 
 @job("orders_with_details", "order", "order_detail")
@@ -152,8 +181,6 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
     decoded_details = decode.decode_order_details(detail_lines, required=required)
     details = decoded_details.rows
 
-    top_amount = codes.KEY_TOP_SKU_AMOUNT
-
     def join_rows(batch: DataFrame, batch_id: int) -> DataFrame:
         last = last_per_key(batch, ["id"], joins.PAIR_ORDER, kept=tuple(joins.PAIR_ORDER))
         return cells.join_cells(last, *joins.PAIR_ORDER)
@@ -161,7 +188,7 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
     joined = joins.order_detail_pairs(orders, details, size)
     return [
         Flow("order_count", orders, _kpis(folder, [codes.KEY_ORDER_COUNT])),
-        Flow("top_skus", topk.sku_sums(details), {top_amount: _top_skus("amount", top_amount)}, "complete"),
+        _ranked("top_skus", topk.sku_sums(details), {codes.KEY_TOP_SKU_AMOUNT: ("amount", 3)}, folder),
         Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: join_rows}),
         _rejects("order", decoded_orders),
         _rejects("order_detail", decoded_details),

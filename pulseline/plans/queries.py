@@ -29,6 +29,8 @@ QUERIES: dict[str, Query] = {}
 DAY, THREE_DAYS, SIX_HOURS, MONTH = "1 day", "3 days", "6 hours", "30 days"
 # Rows of a range in the queries whose names end in `_split`: keys of the test tables hold more, so they are cut.
 SPLIT_ROWS = 40
+# Buckets of the merged tables, whose content at this size would fit one.
+TABLE_BUCKETS = 4
 
 
 def _query(name: str, make: Query) -> None:
@@ -318,7 +320,7 @@ _query("read_lines_text", _text_transitions)
 def _write_and_read(spark, flows: list[Flow], keys: list[str], order=None) -> DataFrame:
     """Write all products of the flows to one table, and return its content."""
     path = f"{shared_folder(spark)}/{flows[0].name}-{uuid.uuid4().hex}"
-    sink = sinks.latest_sink(path, keys, order)
+    sink = sinks.latest_sink(path, keys, order, TABLE_BUCKETS)
     run_job(flows, {name: sink for flow in flows for name in flow.outputs})
     return sinks.read_latest(spark, path, keys)
 

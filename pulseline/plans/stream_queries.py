@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import codes
+from ..functions import codes, text
 from ..operators.joins import PAIR_ORDER
 from ..session import shared_folder
 from ..sources import tables
@@ -22,6 +22,7 @@ from ..streaming.runner import run_job
 from . import jobs
 
 PIECES = 2
+TABLE_BUCKETS = 4
 # A line of no machine and without a warning.
 LAST_LINE = "0,,0000,离线,2000-01-01 00:00:00,x,1"
 LINE = "value string, arrival bigint, arrival_ts timestamp"
@@ -60,13 +61,13 @@ def run_streams(
     sf_dir: str,
     job: str,
     product: str,
-    keys: list[str],
+    keys: list[str] | None,
     order: list[str] | None = None,
     *,
     close: bool = False,
     **options,
 ) -> DataFrame:
-    """The content of one product's table after the job has read all lines."""
+    """The content of one product's table after the job has read all lines; without keys, all rows of all batches."""
     folder = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
     lines = {}
     for kind in jobs.JOBS[job].inputs:
@@ -79,11 +80,20 @@ def run_streams(
             spark, "parquet", path=path, schema=LINE, stream=True, maxFilesPerTrigger=str(-(-files // PIECES))
         )
     table = f"{folder}/table"
-    sink = {product: sinks.latest_sink(table, keys, order)}
+    sink = {product: sinks.latest_sink(table, keys, order, TABLE_BUCKETS) if keys else sinks.rows_append(table)}
     flows = [flow for flow in jobs.build(job, lines, f"{folder}/state", **options) if product in flow.outputs]
     for query in run_job(flows, sink, checkpoint=f"{folder}/checkpoint", trigger={"availableNow": True}):
         query.awaitTermination()
-    return sinks.read_latest(spark, table, keys)
+    return sinks.read_latest(spark, table, keys) if keys else sinks.read_rows(spark, table)
+
+
+def sequence(job: str, product: str, *columns) -> Callable[[SparkSession, str], DataFrame]:
+    """A row per event, over all batches of the stream."""
+    return lambda spark, sf_dir: run_streams(spark, sf_dir, job, product, None).select(*[c() if callable(c) else c for c in columns])
+
+
+def money(name: str):
+    return lambda: text.money_text(F.col(name)).alias(name)
 
 
 STREAM_QUERIES = {
@@ -108,4 +118,16 @@ STREAM_QUERIES = {
     "stream_order_join": lambda s, d: run_streams(
         s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], PAIR_ORDER, size="30 days", delay="4000 days"
     ),
+    "stream_running_sales_total": sequence("order_totals", "running_sales", "arrival", "id", money("total")),
+    "stream_running_refund_total": sequence("order_totals", "running_refunds", "arrival", "id", money("total")),
+    "stream_running_order_count": sequence("order_rates", "running_orders", "arrival", "id", "orders"),
+    "stream_running_refund_requests": sequence("order_rates", "running_refund_requests", "arrival", "id", "orders"),
+    "stream_running_cancel_rate": sequence("order_rates", "running_cancel_rate", "arrival", "id", "cancel_rate"),
+    "stream_sku_running_quantity": sequence(
+        "top_skus", "sku_running_quantity", "arrival", "sku_id", "events", "quantity"
+    ),
+    "stream_sku_running_amount": sequence(
+        "top_skus", "sku_running_amount", "arrival", "sku_id", "events", money("amount")
+    ),
+    "stream_top_sku_quantity": lambda s, d: run_streams(s, d, "top_skus", codes.KEY_TOP_SKU_QUANTITY, ["key"]),
 }
