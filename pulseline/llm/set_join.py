@@ -13,8 +13,8 @@ shingles that any partner of similarity 0.8 must share one of. Two relations bet
   pairs are refused without comparing the sets.
 
 Rarity comes from counts over all texts: of each chunk of texts the shingles that several sets of it hold are counted
-on, and summed up. The table that says which shingles are frequent has at most FREQUENT_MOST entries; its threshold
-follows from a histogram. The order is the same for every set, which is all that exactness needs.
+on, and summed up by hash bucket, so the table of rarity has a fixed size. The order is the same for every set, which is
+all that exactness needs.
 
 Defined results: words are what U+0009 to U+000D and the space separate, A-Z lower-cased. A text with fewer than five
 words has its whole sequence as its one shingle. Null, empty and wordless texts have no shingles and are in no group but
@@ -42,8 +42,9 @@ from .common import unused_name
 from .components import components
 
 WORDS = 5
-#: Entries of the table of frequent shingles, at most.
-FREQUENT_MOST = 1_000_000
+#: The table of rarity has two to this power buckets of a byte.
+LEVEL_BITS = 23
+PAGE = 1 << 16
 CHUNK_SHINGLES = 4_000_000
 #: Classes a task remembers so as not to repeat a copy's entries; results do not depend on it.
 REMEMBERED = 1_000_000
@@ -52,6 +53,8 @@ BITS = 1_024
 #: Bits of the filter that says whose sets are wanted.
 FILTER_BITS = 1 << 24
 SETS_AT_ONCE = 2_000
+#: Rows of classes or tokens that may be broadcast, some 5 MB.
+BROADCAST_ROWS = 200_000
 #: Partners of one set in one row.
 SALT_PAIRS = 256
 #: Members of a list that meet all others of it in the first round.
@@ -142,40 +145,39 @@ def signatures(documents: DataFrame) -> DataFrame:
     return rows.mapInArrow(signed, "doc_id long, key binary, n long, c binary, bits array<long>, token long")
 
 
-def frequent(signed: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles, ascending, with their counts: at most FREQUENT_MOST, whatever the corpus."""
-    counts = cut_lineage(signed.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n")))
-    level = F.floor(F.log2("n") * 8).cast("int")
-    sizes = dict(counts.groupBy(level.alias("level")).count().collect())
-    room, lowest = FREQUENT_MOST, None
-    for step in sorted(sizes, reverse=True):
-        room -= sizes[step]
-        if room < 0:
-            break
-        lowest = step
-    if lowest is None:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    rows = counts.where(level >= lowest).toArrow()
-    token = rows["token"].to_numpy().view(np.uint64)
-    order = np.argsort(token)
-    return token[order], rows["n"].to_numpy()[order]
-
-
-def by_rarity(own: np.ndarray, token: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """A set's shingles, rarest first, ties by hash; shingles outside the table count as equally rare."""
-    if not len(token):
-        return own
-    at = np.minimum(np.searchsorted(token, own), len(token) - 1)
-    often = np.where(token[at] == own, n[at], 0)
-    return own[np.lexsort((own, often))]
-
-
-def index_entries(documents: DataFrame, token: np.ndarray, often: np.ndarray) -> DataFrame:
+def rarity(signed: DataFrame) -> np.ndarray:
+    """How frequent the shingles of a bucket are: eight times the logarithm of their counts, a byte per bucket.
+
+    The table has 2 ** LEVEL_BITS bytes whatever the corpus; it is put together in pages, so the driver gets one row
+    per page. Shingles of one bucket count as equally rare, which costs some precision and no result.
+    """
+    buckets, size = 1 << LEVEL_BITS, min(PAGE, 1 << LEVEL_BITS)
+    bucket = F.col("token").bitwiseAND(F.lit(buckets - 1))
+    counts = signed.where("token IS NOT NULL").groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n"))
+
+    def page(key: tuple, rows: pa.Table) -> pa.Table:
+        levels = np.zeros(size, np.uint8)
+        n = np.log2(rows["n"].to_numpy().astype(np.float64)) * 8
+        levels[rows["bucket"].to_numpy() % size] = np.minimum(n, 255).astype(np.uint8)
+        return pa.table({"page": pa.array([key[0].as_py()], pa.int64()), "levels": pa.array([levels.tobytes()])})
+
+    paged = counts.groupBy(F.floor(F.col("bucket") / size).alias("page"))
+    out = np.zeros(buckets, np.uint8)
+    for row in paged.applyInArrow(page, "page long, levels binary").collect():
+        out[row["page"] * size : (row["page"] + 1) * size] = np.frombuffer(row["levels"], np.uint8)
+    return out
+
+
+def by_rarity(own: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """A set's shingles, rarest first, ties by hash."""
+    return own[np.lexsort((own, levels[own & np.uint64(len(levels) - 1)]))]
+
+
+def index_entries(documents: DataFrame, levels: np.ndarray) -> DataFrame:
     """(token, c, n, pos): each class in the lists of its prefix."""
-    table = documents.sparkSession.sparkContext.broadcast((token, often))
+    table = documents.sparkSession.sparkContext.broadcast(levels)
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token, often = table.value
         seen: set[bytes] = set()
         for batch in batches:
             parts = []
@@ -187,7 +189,7 @@ def index_entries(documents: DataFrame, token: np.ndarray, often: np.ndarray) ->
                     seen.clear()
                 seen.add(c)
                 n = len(own)
-                parts.append((c, n, by_rarity(own, token, often)[: n - (4 * n + 4) // 5 + 1]))
+                parts.append((c, n, by_rarity(own, table.value)[: n - (4 * n + 4) // 5 + 1]))
             if parts:
                 lengths = [len(p) for _, _, p in parts]
                 yield pa.RecordBatch.from_arrays(
@@ -218,6 +220,11 @@ def can_match(n: Column, pos: Column, m: Column, at: Column) -> Column:
     return (5 * F.least(n, m) >= 4 * F.greatest(n, m)) & (most >= needed_overlap(n, m))
 
 
+def small(df: DataFrame) -> DataFrame:
+    """`df`, which is checkpointed, as a broadcast if it is counted to be small; else Spark shuffles it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def place_of(key: Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(FILTER_BITS))
 
@@ -338,6 +345,7 @@ def side(lists: DataFrame, name: str) -> list[Column]:
 
 def pivot_pairs(lists: DataFrame, first: int, last: int) -> DataFrame:
     """(a, b, na, nb): in each list the members number `first` to `last` by hash against all of it; pairs stand once."""
+    lists = shuffled_once(lists, "token")  # the window and the join read one shuffle
     ranked = lists.withColumn("rank", F.row_number().over(by_hash()))
     pivots = ranked.where(F.col("rank") <= last).where(F.col("rank") >= first).select("token", *side(lists, "p"))
     met = lists.select("token", *side(lists, "m")).join(pivots, "token").where(can_link("p", "m"))
@@ -353,12 +361,12 @@ def open_lists(lists: DataFrame, labels: DataFrame, done: int) -> DataFrame:
 
     With the members' labels.
     """
-    named = lists.drop("label").join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    named = lists.drop("label").join(small(labels), "c", "left").withColumn("label", F.coalesce("label", "c"))
     order = F.xxhash64("label")
     ends = named.groupBy("token").agg(
         F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("members")
     ).where((F.col("low") != F.col("high")) & (F.col("members") > done + 1))
-    return named.join(ends.select("token"), "token")
+    return named.join(small(cut_lineage(ends.select("token"))), "token")
 
 
 def with_overlap(lists: DataFrame, met: DataFrame) -> DataFrame:
@@ -381,11 +389,6 @@ def index_lists(entries: DataFrame) -> DataFrame:
     return one.withColumns({"label": F.col("c"), "both": F.lit(None).cast("int")})
 
 
-def sets_of(documents: DataFrame, classes: DataFrame, first: DataFrame) -> DataFrame:
-    """(c, tokens) of these classes at least, made from each class's first text."""
-    return class_sets(documents, classes.distinct().join(first, "c").select("key"))
-
-
 def linked(met: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """(u, v) of the similar pairs, and of what is known of the groups, as one link per class."""
     links = met.where(LINKED).select(F.col("a").alias("u"), F.col("b").alias("v"))
@@ -394,26 +397,30 @@ def linked(met: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 def groups_of_classes(documents: DataFrame, signed: DataFrame) -> DataFrame:
     """(c, label) of every class that has a link: the smallest class of its group."""
-    token, often = frequent(signed)
-    lists = cut_lineage(index_lists(index_entries(documents, token, often)))
+    lists = cut_lineage(index_lists(index_entries(documents, rarity(signed))))
     classes = signed.where("token IS NULL AND n > 0").groupBy("c")
     classes = cut_lineage(classes.agg(F.min("key").alias("key"), F.first("bits").alias("bits")))
     first, bits = classes.select("c", "key"), classes.select("c", "bits")
 
     labels, sets, done, more = None, None, 0, PIVOTS
     while True:
-        pairs = cut_lineage(not_refused(pivot_pairs(lists, done + 1, done + more), bits))
+        pairs = cut_lineage(pivot_pairs(lists, done + 1, done + more))
+        ends = small(cut_lineage(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()))
+        pairs = cut_lineage(not_refused(pairs, cut_lineage(bits.join(ends, "c", "left_semi"))))
         if pairs.limit(1).count() or sets is None:
-            ends = pairs.select(F.col("a").alias("c")).union(pairs.select("b"))
-            met = cut_lineage(overlaps(pairs, sets if sets is not None else sets_of(documents, ends, first)))
-            labels = components(linked(met, labels))
+            ends = small(cut_lineage(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()))
+            own = sets.join(ends, "c", "left_semi") if sets is not None else class_sets(documents, first.join(ends, "c"))
+            met = cut_lineage(overlaps(pairs, own))
+            labels = cut_lineage(components(linked(met, labels)))
         done, more = done + more, 2 * more
         lists = open_lists(lists, labels, done)
         lists = cut_lineage(with_overlap(lists, met) if sets is None else lists)
         if not lists.limit(1).count():
             return labels
-        if sets is None:  # the sets of the members left serve all further rounds
-            sets = cut_lineage(sets_of(documents, lists.select("c"), first))
+        if sets is None:  # what is known of the members left serves all further rounds
+            left = small(cut_lineage(lists.select("c").distinct()))
+            sets = cut_lineage(class_sets(documents, first.join(left, "c")))
+            bits = cut_lineage(bits.join(left, "c", "left_semi"))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
