@@ -26,18 +26,18 @@ def components(links: DataFrame) -> DataFrame:
     """(c, label) for every node of `links` (u, v): the smallest node of its component.
 
     Large and small stars in turn, which keep components and never make more links than there are, until every node
-    is linked to its component's smallest node only. Links of a round are checkpointed; a count and a checksum reach
-    the driver.
+    is linked to its component's smallest node only. Links of a round are checkpointed; only whether there is more to do
+    reaches the driver.
     """
     smaller, larger = F.least("u", "v").alias("v"), F.greatest("u", "v").alias("u")
     links = links.where("u <> v").select(larger, smaller).distinct()
     links = cut_lineage(small_star(links))
-    seen = None
     while True:
-        mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if mark == seen:
+        # Stars it is when no node has two links and none that has a link is the end of another.
+        forks = links.groupBy("u").agg(F.count("*").alias("n")).where("n > 1").select("u")
+        chains = links.join(links.select(F.col("v").alias("u")), "u", "left_semi").select("u")
+        if not forks.union(chains).limit(1).count():
             break
-        seen = mark
         links = cut_lineage(small_star(large_star(links)))
     nodes = links.select(F.col("u").alias("c"), F.col("v").alias("label"))
     return nodes.union(links.select("v", "v").distinct())

@@ -7,7 +7,7 @@ shingles that any partner of similarity 0.8 must share one of. Two relations bet
   a list is only visited in blocks of matching sizes.
 * Answers are derived: in every list the members first meet a few pivots, the classes with the smallest hashes, so that
   all lists of a group have the same ones. Members that a pivot links are in one group and need no look at each other.
-  While a list has members in several groups they meet further pivots, twice as many in each round, so a member that is
+  While a list has members in several groups they meet further pivots, ever more in each round, so a member that is
   linked to a group drops out and only members that nothing links meet all others. For any two members their overlaps
   with the list's first pivot bound their own overlap from above, and two bitmaps of parities bound it as well, so most
   pairs are refused without comparing the sets.
@@ -53,12 +53,12 @@ BITS = 1_024
 #: Bits of the filter that says whose sets are wanted.
 FILTER_BITS = 1 << 24
 SETS_AT_ONCE = 2_000
-#: Rows of classes or tokens that may be broadcast, some 5 MB.
-BROADCAST_ROWS = 200_000
+#: Rows of classes that may be broadcast, some 5 MB.
+BROADCAST_ROWS = 100_000
 #: Partners of one set in one row.
 SALT_PAIRS = 256
-#: Members of a list that meet all others of it in the first round.
-PIVOTS = 8
+#: Members of a list that meet all others of it in the first round, and how many times as many in each further one.
+PIVOTS, GROWTH = 8, 4
 
 ODD, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -366,7 +366,7 @@ def open_lists(lists: DataFrame, labels: DataFrame, done: int) -> DataFrame:
     ends = named.groupBy("token").agg(
         F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("members")
     ).where((F.col("low") != F.col("high")) & (F.col("members") > done + 1))
-    return named.join(small(cut_lineage(ends.select("token"))), "token")
+    return named.join(ends.select("token"), "token")
 
 
 def with_overlap(lists: DataFrame, met: DataFrame) -> DataFrame:
@@ -404,15 +404,18 @@ def groups_of_classes(documents: DataFrame, signed: DataFrame) -> DataFrame:
 
     labels, sets, done, more = None, None, 0, PIVOTS
     while True:
-        pairs = cut_lineage(pivot_pairs(lists, done + 1, done + more))
-        ends = small(cut_lineage(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()))
-        pairs = cut_lineage(not_refused(pairs, cut_lineage(bits.join(ends, "c", "left_semi"))))
-        if pairs.limit(1).count() or sets is None:
-            ends = small(cut_lineage(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()))
-            own = sets.join(ends, "c", "left_semi") if sets is not None else class_sets(documents, first.join(ends, "c"))
-            met = cut_lineage(overlaps(pairs, own))
-            labels = cut_lineage(components(linked(met, labels)))
-        done, more = done + more, 2 * more
+        pairs = pivot_pairs(lists, done + 1, done + more)
+        if sets is None:  # later the bitmaps are those of the members left
+            pairs = cut_lineage(pairs)
+            pairs = not_refused(pairs, shuffled_once(bits.join(classes_of(pairs), "c", "left_semi"), "c"))
+        else:
+            pairs = not_refused(pairs, bits)
+        pairs = cut_lineage(pairs)
+        ends = small(cut_lineage(classes_of(pairs)))
+        own = sets.join(ends, "c", "left_semi") if sets is not None else class_sets(documents, first.join(ends, "c"))
+        met = cut_lineage(overlaps(pairs, own))
+        labels = components(linked(met, labels))
+        done, more = done + more, GROWTH * more
         lists = open_lists(lists, labels, done)
         lists = cut_lineage(with_overlap(lists, met) if sets is None else lists)
         if not lists.limit(1).count():
@@ -423,6 +426,10 @@ def groups_of_classes(documents: DataFrame, signed: DataFrame) -> DataFrame:
             bits = cut_lineage(bits.join(left, "c", "left_semi"))
 
 
+def classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself included) of every row."""
     named = documents.where("doc_id IS NOT NULL")
