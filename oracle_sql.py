@@ -525,4 +525,5 @@ def oracle_sql() -> dict[str, str]:
         "running_cancel_rate", "sku_running_quantity", "sku_running_amount",
     ):
         found[f"stream_{name}"] = found[name]
+    found["cancelled_orders_upsert_merged"] = found["cancelled_orders_upsert"]
     return found

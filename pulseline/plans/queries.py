@@ -320,7 +320,7 @@ _query("read_lines_text", _text_transitions)
 def _write_and_read(spark, flows: list[Flow], keys: list[str], order=None) -> DataFrame:
     """Write all products of the flows to one table, and return its content."""
     path = f"{shared_folder(spark)}/{flows[0].name}-{uuid.uuid4().hex}"
-    sink = sinks.latest_sink(path, keys, order, TABLE_BUCKETS)
+    sink = sinks.latest_sink(path, keys, order)
     run_job(flows, {name: sink for flow in flows for name in flow.outputs})
     return sinks.read_latest(spark, path, keys)
 
@@ -358,11 +358,22 @@ def _cancelled_upsert(spark, sf):
     return _one(spark, codes.TABLE_ORDER_INFO, rows, ["row_key"], "arrival")
 
 
+def _cancelled_merged(spark, sf):
+    """The same content, merged batch by batch into hash buckets; one batch comes twice."""
+    rows = cells.order_cells(routing.cancelled_orders(_orders(spark, sf, date_only=True)))
+    path = f"{shared_folder(spark)}/merged-{uuid.uuid4().hex}"
+    sink = sinks.row_upsert(path, "arrival", TABLE_BUCKETS)
+    for batch, part in enumerate([0, 1, 1, 2]):
+        sink(rows.where(F.col("arrival") % 3 == part), batch - (batch > 1), codes.TABLE_ORDER_INFO)
+    return sinks.read_latest(spark, path, ["row_key"])
+
+
 _query("sink_kv_set", _kv_set)
 _query("sink_kv_hset", _kv_hset)
 _query("sink_row_upsert", _row_upsert)
 _query("sink_row_upsert_temperature", _row_upsert_temperature)
 _query("cancelled_orders_upsert", _cancelled_upsert)
+_query("cancelled_orders_upsert_merged", _cancelled_merged)
 
 # The text cells the JDBC sink inserts.
 
