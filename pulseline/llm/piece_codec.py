@@ -72,7 +72,7 @@ def with_round_trip(df: DataFrame, text: str, name: str, model_path: str, merges
 
 
 def with_token_count(df: DataFrame, text: str, name: str, model_path: str, merges: bool = False) -> DataFrame:
-    """Adds how many ids `text` has, without making them."""
+    """Adds how many ids `text` has; with `merges` the ids of each distinct segment are made once and counted."""
     held = bound_batches(df.sparkSession).sparkContext.broadcast(Vocabulary.from_model(model_path))
 
     def counted(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
