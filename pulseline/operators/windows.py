@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from math import gcd
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +26,13 @@ def window_counts(
     )
 
 
+def pane_counts(df: DataFrame, size: str, slide: str, *, time: str) -> DataFrame:
+    """(pane, machine_id, cnt) in the largest windows that neighbouring sliding windows either share whole or not at all."""
+    micros = [pd.Timedelta(length) // pd.Timedelta(microseconds=1) for length in (size, slide)]
+    pane = F.window(time, f"{gcd(*micros)} microseconds")
+    return df.groupBy(pane.alias("pane"), "machine_id").agg(F.count("*").alias("cnt"))
+
+
 def produce_count_filtered(produce: DataFrame, size: str = "5 minutes", *, time: str = "arrival_ts") -> DataFrame:
     """Passed products per machine and window; a window without any gives no row."""
     return window_counts(passed_products(produce), size, time=time)
@@ -64,10 +74,12 @@ def warning_top_sliding(
 ) -> DataFrame:
     """The machine with most warnings per sliding window; ties go to the smaller machine id.
 
-    Two grouped aggregates, both with partial sums; a stream can chain them in append mode.
+    Three grouped aggregates, all with partial sums; a stream can chain them in append mode. Rows are counted once,
+    per pane; a window's count is the sum of its panes.
     """
-    window = F.window(time, size, slide)
-    counts = warnings(changes).groupBy(window.alias("w"), "machine_id").agg(F.count("*").alias("cnt"))
+    panes = pane_counts(warnings(changes), size, slide, time=time)
+    window = F.window(F.window_time("pane"), size, slide)
+    counts = panes.groupBy(window.alias("w"), "machine_id").agg(F.sum("cnt").alias("cnt"))
     best = counts.groupBy("w").agg(F.min(F.struct((-F.col("cnt")).alias("rank"), "machine_id")).alias("best"))
     return best.select(
         F.col("w.end").alias("window_end"),

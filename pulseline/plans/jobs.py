@@ -276,12 +276,12 @@ def warning_top(
 
 
 @job("transitions", "change")
-def transitions(lines: Lines, folder: str) -> list[Flow]:
-    """Changes from another status to running."""
+def transitions(lines: Lines, folder: str, delay: str | None = None) -> list[Flow]:
+    """Changes from another status to running; with a `delay`, streams put late rows into their place first."""
     decoded = decode.decode_changes(lines["change"])
     changes = decoded.rows
     if changes.isStreaming:
-        found = processors.stream_transitions(changes)
+        found = processors.stream_transitions(changes, delay=delay)
     else:
         ranges = plan_ranges(lines["change"], "arrival", min_ranges=1)
         found = patterns.transitions_to_running(changes, ranges=ranges)

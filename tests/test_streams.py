@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 import time
 
+import pandas as pd
 import pytest
 from line_rows import LINE, TESTDATA, order_line, rows
 from pyspark.sql import functions as F
@@ -131,6 +133,125 @@ def test_transitions(spark, captured, tmp_path):
     assert rows(got) == rows(want)
 
 
+READING = "machine_id string, arrival bigint, arrival_ts timestamp, status string"
+
+
+@pytest.fixture(scope="module")
+def shuffled(spark, tmp_path_factory):
+    """Readings whose order of delivery is up to five seconds off, cut into files as delivered; and all of them."""
+    picker = random.Random(11)
+    second, made = 0.0, []
+    for i in range(3000):
+        second += picker.choice([0, 0.4, 1, 3])
+        status = picker.choice(["预警", "预警", "预警", "运行", "待机"])
+        machine = "hot" if picker.random() < 0.4 else f"m{picker.randrange(12)}"
+        made.append((machine, i, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(seconds=second), status))
+    made.append(("flush", 3000, dt.datetime(2024, 1, 3, tzinfo=dt.timezone.utc), "待机"))
+    seen = {}
+
+    def capture(pieces: int) -> str:
+        if pieces not in seen:
+            path = str(tmp_path_factory.mktemp("shuffled") / "rows")
+            jitter = random.Random(pieces)
+            sent = sorted(made[:-1], key=lambda r: r[2] + dt.timedelta(seconds=5 * jitter.random())) + made[-1:]
+            step = -(-len(sent) // pieces)
+            for at in range(0, len(sent), step):
+                spark.createDataFrame(sent[at : at + step], READING).coalesce(1).write.mode("append").parquet(path)
+                time.sleep(0.02)  # files are read in the order of their times
+            seen[pieces] = path
+        return seen[pieces]
+
+    return capture
+
+
+@pytest.mark.parametrize("pieces", [1, 7, 23])
+def test_readings_out_of_order_find_their_place(spark, shuffled, tmp_path, pieces):
+    path = shuffled(pieces)
+    lines = spark.read.parquet(path)
+    live = spark.readStream.schema(READING).option("maxFilesPerTrigger", "1").parquet(path)
+    condition = F.col("status") == "预警"
+    want = rows(patterns.hold_alerts(lines, condition, "6 seconds"))
+    got = drain(processors.stream_hold_alerts(live, condition, "6 seconds", delay="5 seconds"), tmp_path / "hold")
+    assert rows(got) == want
+    assert len(want) > 100
+    want = patterns.transitions_to_running(lines)
+    got = drain(processors.stream_transitions(live, delay="5 seconds"), tmp_path / "transitions")
+    assert rows(got) == rows(want)
+
+
+def test_readings_behind_the_watermark_are_left_out(spark, tmp_path):
+    """The engine drops what is older than the watermark of the batch before; nothing else is lost."""
+    path, day = str(tmp_path / "rows"), dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    sent = [[(0, "待机"), (100, "待机")], [(200, "运行")], [(50, "运行"), (150, "预警")], [(300, "待机")], [(9999, "待机")]]
+    for i, readings in enumerate(sent):
+        made = [("m", 10 * i + j, day + dt.timedelta(seconds=at), status) for j, (at, status) in enumerate(readings)]
+        spark.createDataFrame(made, READING).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)
+    live = spark.readStream.schema(READING).option("maxFilesPerTrigger", "1").parquet(path)
+    got = rows(drain(processors.stream_transitions(live, delay="0 seconds"), tmp_path).select("arrival", "previous"))
+    assert got == [(10, "预警")]
+
+
+@pytest.mark.parametrize("cuts", [[0, 4], [0, 1, 2, 4], [0, 3, 4]])
+def test_waiting_rows_are_followed_in_order(cuts):
+    """The processor itself, with state in plain objects: chunks wait until the watermark has passed them."""
+    rows_of = pd.DataFrame({"t": [4, 1, 3, 2], "order": [0, 1, 2, 3], "status": ["运行", "待机", "运行", "预警"]})
+    rows_of["t"] *= 1_000_000
+    machine = processors.TransitionProcessor("event", ["t", "order"])
+    machine.init(PlainHandle())
+    out = []
+    for at, until in zip(cuts, cuts[1:]):
+        parts = [rows_of.iloc[i : i + 1] for i in range(at, until)]
+        out += machine.handleInputRows(("m",), iter(parts), PlainTimers(0))
+    out += machine.handleInputRows(("m",), iter([]), PlainTimers(3500))
+    found = pd.concat(out)
+    assert found[["t", "previous", "changes"]].values.tolist() == [[3_000_000, "预警", 1]]
+    assert machine.timer.get() == (4000,)  # the last reading is due when the watermark is there
+
+
+class PlainState:
+    def __init__(self):
+        self.value = None
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def clear(self):
+        self.value = None
+
+    def update(self, value):
+        self.value = value
+
+    put = update
+
+
+class PlainHandle:
+    def __init__(self):
+        self.timers = set()
+
+    def getValueState(self, name, schema):
+        return PlainState()
+
+    getListState = getValueState
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+class PlainTimers:
+    def __init__(self, watermark):
+        self.watermark = watermark
+
+    def getCurrentWatermarkInMs(self):
+        return self.watermark
+
+
 def run(spark, name, lines, sink_of, folder, **options):
     """Run a job to its end and return its latest-value tables."""
     flows = jobs.build(name, lines, str(folder / "state"), **options)
