@@ -80,3 +80,10 @@ def test_only_needed_columns_are_read(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     schema = plan[plan.index("ReadSchema"):].splitlines()[0]
     assert "value" not in schema
+
+
+def test_sliding_windows_copy_counts_not_rows(spark):
+    """What is copied into every window is the count of a pane."""
+    plan = final_plan(contract.queries()["warning_top_sliding"](spark, SF))
+    below = plan.split("Expand")[1:]
+    assert below and all("partial_count" in part for part in below)
