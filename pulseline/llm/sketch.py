@@ -103,32 +103,40 @@ def fingerprints(documents: DataFrame, *, key: str = "doc_id", text: str = "text
     """Each document's sketch, and how like it are the next document and an edited text.
 
     The edited text: the last floor(n / 2) of a document's n code points give way to the first as many (or all) of the
-    next document, in descending order of the key. Rows of one key are taken to be one document (the greatest text);
-    rows without a key are left out. Returns key, n_chars, edited, sketch, edited_sketch, near_edited, near_next.
+    next document, in descending order of the key. Every row gives a row. Of several rows of one key the one with the
+    greatest text is the document that comes next to the key before. Rows without a key have no place in the order:
+    they have a sketch of their own, and null in all that needs a next document. Only the columns named are read, so
+    others may have any name; texts are taken whole, however long. Returns key, n_chars, edited, sketch,
+    edited_sketch, near_edited, near_next.
     """
-    rows = documents.where(F.col(key).isNotNull()).select(
-        F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text")
-    )
-    order = following(rows.select("_key"), "_key", "_next")
-    rows = rows.groupBy("_key").agg(F.max("_text").alias("_text")) if _repeated(rows) else rows
+    rows = documents.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    placed = rows.where(F.col("_key").isNotNull())
+    order = following(placed.select("_key"), "_key", "_next")
     # Sketched and shuffled once; both sides of the pairing read that shuffle.
-    sketched = shuffled_once(with_sketch(rows, F.col("_text"), "_sketch", k), "_key")
+    sketched = shuffled_once(with_sketch(placed, F.col("_text"), "_sketch", k), "_key")
     half = F.floor(F.length("_text") / 2).cast("int")
     kept = F.substring("_text", F.lit(1), F.length("_text") - half)
     own = sketched.select("_key", F.length("_text").alias("_n"), half.alias("_half"), kept.alias("_kept"), "_sketch")
-    other = sketched.select(
+    heads = sketched
+    if _repeated(placed):
+        heads = sketched.groupBy("_key").agg(F.max(F.struct("_text", "_sketch")).alias("_head")).select("_key", "_head.*")
+    other = heads.select(
         F.col("_key").alias("_next"), F.col("_text").alias("_other"), F.col("_sketch").alias("_other_sketch")
     )
     paired = own.join(order, "_key").join(other, "_next")
     taken = F.when(F.col("_half") > 0, F.substring("_other", F.lit(1), F.col("_half"))).otherwise("")
     paired = paired.withColumn("edited", F.concat("_kept", taken))
     paired = with_sketch(paired.drop("_kept", "_other"), F.col("edited"), "_edited_sketch", k)
-    return paired.select(
+    found = paired.select(
         F.col("_key").alias(key), F.col("_n").cast("long").alias("n_chars"), "edited",
         F.col("_sketch").alias("sketch"), F.col("_edited_sketch").alias("edited_sketch"),
         resemblance(F.col("_sketch"), F.col("_edited_sketch"), k).alias("near_edited"),
         resemblance(F.col("_sketch"), F.col("_other_sketch"), k).alias("near_next"),
     )
+    alone = with_sketch(rows.where(F.col("_key").isNull()), F.col("_text"), "_sketch", k).select(
+        F.col("_key").alias(key), F.length("_text").cast("long").alias("n_chars"), F.col("_sketch").alias("sketch")
+    )
+    return found.unionByName(alone, allowMissingColumns=True)
 
 
 def _repeated(rows: DataFrame) -> bool:

@@ -81,6 +81,42 @@ def test_inner_products_of_odd_vectors(spark, monkeypatch):
     assert inner_product.top_inner_products(df.where("false"), "id % 20 = 0", 5).count() == 0
 
 
+def brute_products(rows, is_query, k):
+    """One list per distinct query row; scores cut off at 64 bits."""
+    whole = [(i, tuple(max(-(2**63), min(2**63, int(np.floor(1024 * x)))) for x in v)) for i, v in rows]
+    want = []
+    for i, v in sorted(set(whole)):
+        if is_query(i):
+            dots = [(j, sum(a * b for a, b in zip(v, w))) for j, w in whole if j != i]
+            scores = sorted((-min(max(s, inner_product.LEAST), inner_product.MOST), j) for j, s in dots)
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
+    return sorted(want)
+
+
+@pytest.mark.parametrize("size", [1.0, 3e4, 2e8, 1e15, 1e17])
+def test_inner_products_of_any_size_and_repeated_queries(spark, monkeypatch, size):
+    monkeypatch.setattr(inner_product, "BLOCK_ROWS", 8)
+    monkeypatch.setattr(inner_product, "QUERY_ROWS", 2)
+    rng = random.Random(5)
+    rows = [(i, [rng.uniform(-size, size) for _ in range(6)]) for i in range(40)]
+    rows += [(10, rows[10][1]), (20, [size] * 6), (20, [-size] * 6), (5, rows[5][1]), (30, [0.0] * 6)]
+    rows += [(i, [size * rng.random()] * 6) for i in (100, 101, 101)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = inner_product.top_inner_products(df.selectExpr("*", "1 AS query", "2 AS norm"), "id % 10 = 0", 4)
+    assert sorted(map(tuple, got.collect())) == brute_products(rows, lambda i: i % 10 == 0, 4)
+
+
+def test_blocks_that_cannot_reach_a_floor_are_not_sent(spark):
+    asked = spark.createDataFrame(
+        [(0, 7, [1.0], 1.0, 50.0), (1, 8, [2.0], 2.0, 50.0), (2, 9, [1.0], 1.0, float("-inf")), (3, 4, [0.0], 0.0, 0.0)],
+        "query long, id long, v array<double>, norm double, floor double",
+    )
+    blocks = spark.createDataFrame([(i, 100.0 / 2**i) for i in range(6)], "block long, norm double")
+    queries, needed = inner_product.reached(asked, blocks)
+    assert {r["query"]: r["until"] for r in queries.collect()} == {0: 1, 1: 2, 2: 5, 3: 5}
+    assert {r["block"]: r["up_to"] for r in needed.collect()} == {i: 0 for i in range(1, 6)}
+
+
 # 3 near duplicates
 
 
@@ -269,7 +305,7 @@ def brute_sketch(spark, text, k):
 def test_fingerprints_match_brute_force(spark, odd, empty):
     rows = {r["doc_id"]: r for r in sketch.fingerprints(odd).collect()}
     order = sorted(TEXT_BY_ID, reverse=True)
-    assert set(rows) == set(order)
+    assert set(rows) - {None} == set(order)  # the row without an id has a test of its own
     for i, j in zip(order, order[1:] + order[:1]):
         own, other = TEXT_BY_ID[i] or "", TEXT_BY_ID[j] or ""
         half = len(own) // 2
@@ -286,6 +322,27 @@ def test_fingerprints_match_brute_force(spark, odd, empty):
     assert hashlib.sha256(b"").hexdigest()  # the digest column is Spark's own sha2
 
 
+def test_every_row_has_a_fingerprint(spark):
+    """Rows of one id and rows without one; the greatest text of an id is the next document."""
+    text = " ".join(f"w{i}" for i in range(40))
+    made = [(5, text), (5, "b c"), (5, "b c"), (3, "a b c d e f"), (None, text), (None, None), (9, ""), (2**60 + 1, text)]
+    df = spark.createDataFrame(made, "doc_id bigint, text string").selectExpr("*", "1 AS _key", "2 AS sketch")
+    got = sketch.fingerprints(df).collect()
+    assert sorted((str(r["doc_id"]), r["n_chars"]) for r in got) == sorted((str(i), len(t or "")) for i, t in made)
+    heads = {2**60 + 1: text, 9: "", 5: text, 3: "a b c d e f"}
+    order = sorted(heads, reverse=True)
+    following = dict(zip(order, order[1:] + order[:1]))
+    for r in got:
+        if r["doc_id"] is None:
+            assert (r["edited"], r["edited_sketch"], r["near_edited"], r["near_next"]) == (None,) * 4
+        else:
+            edits = {t[: len(t) - len(t) // 2] + heads[following[i]][: len(t) // 2] for i, t in made if i == r["doc_id"]}
+            assert r["edited"] in edits
+    whole = [r for r in got if r["n_chars"] == len(text)]
+    assert len(whole) == 3 and len({tuple(r["sketch"]) for r in whole}) == 1
+    assert next(r for r in got if r["doc_id"] == 9)["near_next"] == 0.0
+
+
 # pipeline
 
 
