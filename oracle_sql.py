@@ -500,6 +500,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "stream_transitions": _with(CHANGE_LINES, TRANSITIONS)
         + "SELECT machine_id, previous AS last_status, CAST(changes AS VARCHAR) AS changes, change_time FROM transitions",
+        "stream_transitions_late": _with(CHANGE_LINES, TRANSITIONS)
+        + "SELECT machine_id, previous AS last_status, CAST(changes AS VARCHAR) AS changes, change_time FROM transitions",
         "stream_warning_held": _holds(
             CHANGE_LINES,
             WARNING_READINGS,

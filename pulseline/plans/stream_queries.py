@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes, text
 from ..operators.joins import PAIR_ORDER
+from ..operators.patterns import duration_micros
 from ..session import shared_folder
 from ..sources import tables
 from ..sources.lines import read_lines
@@ -46,6 +47,19 @@ def capture(lines: DataFrame, path: str, pieces: int = PIECES) -> None:
         kept.where(F.col("arrival").between(first, first + width - 1)).write.mode("append").parquet(path)
 
 
+def capture_late(lines: DataFrame, path: str, late: str, pieces: int = 2 * PIECES) -> None:
+    """Like `capture`, but each line is delivered later than it should be, by up to `late`."""
+    by = F.unix_micros("arrival_ts") + F.pmod(F.xxhash64("arrival"), F.lit(duration_micros(late)))
+    lines.withColumn("delivered", by).write.parquet(f"{path}-all")
+    kept = lines.sparkSession.read.parquet(f"{path}-all")
+    low, high = kept.select(F.min("delivered"), F.max("delivered")).first()
+    width = (high - low) // pieces + 1
+    for i in range(pieces):
+        first = low + i * width
+        part = kept.where(F.col("delivered").between(first, first + width - 1)).drop("delivered")
+        part.write.mode("append").parquet(path)
+
+
 def close_windows(path: str, spark: SparkSession) -> None:
     """Append a line far in the future, which closes all windows and is in no result itself."""
     last = spark.read.schema(LINE).parquet(path).agg(
@@ -65,14 +79,22 @@ def run_streams(
     order: list[str] | None = None,
     *,
     close: bool = False,
+    late: str | None = None,
     **options,
 ) -> DataFrame:
-    """The content of one product's table after the job has read all lines; without keys, all rows of all batches."""
+    """The content of one product's table after the job has read all lines; without keys, all rows of all batches.
+
+    With `late`, lines come out of order by up to that, and the job's `delay` has to put them right.
+    """
     folder = f"{shared_folder(spark)}/{job}-{uuid.uuid4().hex}"
     lines = {}
     for kind in jobs.JOBS[job].inputs:
         path = f"{folder}/lines/{kind}"
-        capture(SOURCES[kind](spark, sf_dir), path)
+        if late:
+            capture_late(SOURCES[kind](spark, sf_dir), path, late)
+            options["delay"] = late
+        else:
+            capture(SOURCES[kind](spark, sf_dir), path)
         if close:
             close_windows(path, spark)
         files = len(spark.read.schema(LINE).parquet(path).inputFiles())
@@ -109,6 +131,9 @@ STREAM_QUERIES = {
     "stream_transitions": lambda s, d: run_streams(
         s, d, "transitions", codes.TABLE_TRANSITIONS, ["machine_id", "changes"]
     ),
+    "stream_transitions_late": lambda s, d: run_streams(
+        s, d, "transitions", codes.TABLE_TRANSITIONS, ["machine_id", "changes"], close=True, late="2 days"
+    ),
     "stream_warning_held": lambda s, d: run_streams(
         s, d, "warning_held", codes.HASH_WARNING_HELD, ["key", "field"], ["alert_time"], hold="6 hours"
     ),
