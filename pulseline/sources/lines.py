@@ -1,7 +1,7 @@
 """Raw line sources. Every source gives the same three columns.
 
 value       the line
-arrival     a unique number that grows in arrival order
+arrival     a unique whole number that grows in arrival order: BIGINT, or DECIMAL(38) where three parts make it up
 arrival_ts  when the line arrived
 """
 
@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, StructType
 
-# Offsets of different partitions are interleaved: arrival = offset * KAFKA_PARTITIONS + partition.
-KAFKA_PARTITIONS = 65536
+# Digits of a Kafka record's place in its topic: of the offset, and of the partition above it. The time in milliseconds
+# stands above both, with up to 14 digits, so the whole fits a DECIMAL(38).
+OFFSET_DIGITS, PARTITION_DIGITS = 19, 5
 
 # The place of a line in a text file counts in bytes, below this bit; the number of the file stands above it.
 FILE_BITS = 40
@@ -51,14 +52,26 @@ def kafka_options(
 
 
 def kafka_lines(records: DataFrame) -> DataFrame:
-    """Value-only text of Kafka records."""
+    """Value-only text of Kafka records.
+
+    Lines arrive in the order of (time, partition, offset), whatever each partition holds. The time is the record's
+    timestamp: of the broker on topics with `message.timestamp.type=LogAppendTime`, else of the producer. The three
+    are digits of one number, so operators sort, compare and cut it into ranges like any other.
+    """
+    time = F.unix_millis("timestamp").cast("decimal(14,0)")
+    place = F.col("partition").cast("decimal(10,0)") * power_of_ten(OFFSET_DIGITS) + F.col("offset").cast("decimal(19,0)")
+    arrival = time * power_of_ten(OFFSET_DIGITS + PARTITION_DIGITS) + place
     return records.select(
         F.col("value").cast("string").alias("value"),
-        (F.col("offset") * KAFKA_PARTITIONS + F.col("partition")).alias("arrival"),
+        arrival.cast("decimal(38,0)").alias("arrival"),
         F.col("timestamp").cast("timestamp").alias("arrival_ts"),
     )
 
 
+def power_of_ten(digits: int) -> Column:
+    return F.lit("1" + "0" * digits).cast(f"decimal({digits + 1},0)")
+
+
 def read_files(
     spark: SparkSession,
     path: str,
@@ -86,9 +99,11 @@ def read_files(
     if schema is not None:
         reader = reader.schema(schema)
     raw = reader.load(path)
+    number = _column(arrival)
+    wide = isinstance(raw.select(number).schema[0].dataType, DecimalType)  # captured from a topic
     return raw.select(
         _column(value).cast("string").alias("value"),
-        _column(arrival).cast("bigint").alias("arrival"),
+        number.cast("decimal(38,0)" if wide else "bigint").alias("arrival"),
         _column(arrival_ts).cast("timestamp").alias("arrival_ts"),
     )
 

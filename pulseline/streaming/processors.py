@@ -250,7 +250,7 @@ def stream_transitions(
     processor = TransitionProcessor("none", ["order"]) if delay is None else TransitionProcessor("event", ["t", "order"])
     found = rows.groupBy("machine_id").transformWithStateInPandas(
         processor,
-        "arrival bigint, machine_id string, previous string, changes bigint, t bigint",
+        f"arrival {dict(changes.dtypes)[order]}, machine_id string, previous string, changes bigint, t bigint",
         "append",
         "none" if delay is None else "eventTime",
     )

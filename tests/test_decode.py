@@ -8,7 +8,8 @@ import pytest
 from line_rows import order_line, rows
 from pyspark.sql import functions as F
 
-from pulseline.operators import decode, routing
+from pulseline.operators import decode, kpis, routing, running
+from pulseline.operators.ranges import plan_ranges
 from pulseline.sources import lines as sources
 
 
@@ -162,6 +163,44 @@ def test_kafka_records(spark):
     assert {r.value for r in got.collect()} == {"a,b"}
 
 
+RECORD = "value binary, partition int, offset bigint, timestamp timestamp"
+
+
+def test_uneven_partitions_arrive_in_order_of_time(spark):
+    """A partition of many lines at a large offset, and one that has just begun; the rate depends on the order."""
+    day, big = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc), 2**62
+    statuses = ["1001", "1003", "1001", "1001", "1003", "1001", "1001", "1001", "1001"]
+    made, short = [], 0
+    for i, status in enumerate(statuses):
+        partition, offset = (65_535, short) if i in (1, 4) else (0, big + i)
+        short += partition > 0
+        made.append((order_line(id=i, status=status).encode(), partition, offset, day + dt.timedelta(milliseconds=i)))
+    lines = sources.kafka_lines(spark.createDataFrame(made[::-1], RECORD))
+    assert dict(lines.dtypes)["arrival"] == "decimal(38,0)"
+    orders = decode.decode_orders(lines).rows
+    assert [r.id for r in orders.orderBy("arrival").collect()] == list(range(len(statuses)))
+    for ranges in (None, plan_ranges(orders, "arrival", target_rows=2)):
+        rates = running.running_cancel_rate(orders, ranges=ranges).orderBy("arrival").collect()
+        assert [(r.id, r.cancels, r.orders) for r in rates] == [(1, 1, 2), (4, 2, 5)]
+    assert dict(rows(kpis.order_kpis_latest(orders)))["cancelrate"] == "40.0%"
+
+
+def test_records_of_one_millisecond_are_told_apart(spark):
+    """The largest offset and partition, times before 1970 and far ahead: the order is that of the three parts."""
+    times = [dt.datetime(y, 1, 1, tzinfo=dt.timezone.utc) for y in (1969, 1970, 2024, 5000)]
+    made = [(b"x", p, o, t) for t in times for p in (0, 1, 99_999) for o in (0, 1, 2**63 - 1)]
+    keyed = spark.createDataFrame(made[::-1], RECORD)
+    numbers = [r.arrival for r in sources.kafka_lines(keyed.orderBy("timestamp", "partition", "offset")).collect()]
+    assert numbers == sorted(set(numbers)) and len(numbers) == len(made)
+
+
+def test_captured_records_keep_their_number(spark, tmp_path):
+    made = [(b"x", 3, 2**62, dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))]
+    lines = sources.kafka_lines(spark.createDataFrame(made, RECORD))
+    lines.write.parquet(str(tmp_path / "lines"))
+    assert rows(sources.read_lines(spark, "parquet", path=str(tmp_path / "lines"))) == rows(lines)
+
+
 def test_kafka_options():
     options = sources.kafka_options("order", "b1:9092", start="latest", stream=True, group="g", max_per_trigger=10)
     assert options == {

@@ -15,7 +15,7 @@ from pulseline.functions import codes
 from pulseline.operators import decode, joins, patterns, windows
 from pulseline.plans import jobs
 from pulseline.sources import tables
-from pulseline.sources.lines import read_lines
+from pulseline.sources.lines import kafka_lines, read_lines
 from pulseline.streaming import processors, sinks
 from pulseline.streaming.runner import run_job
 
@@ -179,6 +179,31 @@ def test_readings_out_of_order_find_their_place(spark, shuffled, tmp_path, piece
     assert rows(got) == rows(want)
 
 
+def test_transitions_of_records_from_a_topic(spark, tmp_path):
+    """The number of a record has more digits than 64 bits hold; waiting rows keep it."""
+    schema = "value binary, partition int, offset bigint, timestamp timestamp"
+    day, path = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc), str(tmp_path / "lines")
+    for part in range(3):
+        made = [
+            (f"{i},m{i % 2},0000,{'运行' if i % 5 == 0 else '待机'},2024-01-01 00:00:00,x,0".encode(), i % 3, 2**62 + i,
+             day + dt.timedelta(seconds=i)) for i in range(20 * part, 20 * part + 20)
+        ]
+        if part == 2:
+            made.append((b"0,flush,0000,x,2024-01-01 00:00:00,x,0", 0, 0, day + dt.timedelta(days=1)))
+        kafka_lines(spark.createDataFrame(made, schema)).coalesce(1).write.mode("append").parquet(path)
+        time.sleep(0.02)
+    want = patterns.transitions_to_running(decode.decode_changes(batch(spark, path)).rows)
+    live = read_lines(
+        spark, "parquet", path=path, schema="value string, arrival decimal(38,0), arrival_ts timestamp", stream=True,
+        maxFilesPerTrigger="1",
+    )
+    for delay in (None, "5 seconds"):
+        changes = decode.decode_changes(live).rows
+        got = drain(processors.stream_transitions(changes, delay=delay), tmp_path / str(delay))
+        assert rows(got) == rows(want)
+    assert want.count() > 5
+
+
 def test_readings_behind_the_watermark_are_left_out(spark, tmp_path):
     """The engine drops what is older than the watermark of the batch before; nothing else is lost."""
     path, day = str(tmp_path / "rows"), dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
