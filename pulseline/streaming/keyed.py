@@ -55,14 +55,20 @@ class Folder:
 
     def put(self, name: str, content: str) -> None:
         """A whole file at once: written under another name and renamed."""
-        draft = self._at(f"{name}-{uuid.uuid4().hex}.tmp")
-        stream = self.system.create(draft)
+        draft = f"{name}-{uuid.uuid4().hex}.tmp"
+        stream = self.system.create(self._at(draft))
         try:
             stream.write(content.encode())
         finally:
             stream.close()
-        if not self.system.rename(draft, self._at(name)):
-            raise FileExistsError(f"{self.path}/{name}")
+        self.rename(draft, name)
+
+    def make(self) -> None:
+        self.system.mkdirs(self._at(""))
+
+    def rename(self, name: str, to: str) -> None:
+        if not self.system.rename(self._at(name), self._at(to)):
+            raise FileExistsError(f"{self.path}/{to}")
 
     def remove(self, name: str) -> None:
         self.system.delete(self._at(name), True)

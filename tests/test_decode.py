@@ -142,8 +142,8 @@ def test_text_files_keep_their_order(spark, tmp_path):
     assert by_path.value == ""
 
 
-def test_a_stream_of_text_files_is_refused(spark, tmp_path):
-    with pytest.raises(ValueError, match="arrival order"):
+def test_a_stream_of_text_files_names_a_ledger(spark, tmp_path):
+    with pytest.raises(ValueError, match="ledger"):
         sources.read_lines(spark, "text", path=str(tmp_path), stream=True)
 
 

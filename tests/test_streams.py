@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import random
 import time
 
@@ -16,7 +17,7 @@ from pulseline.operators import decode, joins, patterns, windows
 from pulseline.plans import jobs
 from pulseline.sources import tables
 from pulseline.sources.lines import kafka_lines, read_lines
-from pulseline.streaming import processors, sinks
+from pulseline.streaming import processors, sinks, stages
 from pulseline.streaming.runner import run_job
 
 SF = str(TESTDATA / "sf0.001")
@@ -179,6 +180,53 @@ def test_readings_out_of_order_find_their_place(spark, shuffled, tmp_path, piece
     assert rows(got) == rows(want)
 
 
+@pytest.mark.parametrize("max_files", [1, 2, None])
+def test_text_files_as_a_stream(spark, tmp_path, max_files):
+    """Files come in two goes, with a restart between; small blocks, ties in time, empty lines."""
+    path, ledger = tmp_path / "text", str(tmp_path / "ledger")
+    path.mkdir()
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "400")
+    now = {"trigger": {"availableNow": True}, "max_files": max_files}
+    try:
+        for go, names in enumerate((["n", "b", "c"], ["a", "m"])):
+            for i, name in enumerate(names):
+                text = "".join(f"{name}-{j}\n" if j % 7 else "\n" for j in range(150))
+                (path / f"{name}.txt").write_text(text)
+                at = 1_700_000_000 + 10 * go + i // 2
+                os.utime(path / f"{name}.txt", (at, at))
+            live = read_lines(spark, "text", path=str(path), stream=True, ledger=ledger, **now)
+            got = drain(live, tmp_path / "drain")
+            want = read_lines(spark, "text", path=str(path))
+            if max_files is None:
+                assert rows(got) == rows(want)  # whole goes: ties are cut by path in both
+            else:
+                assert rows(got.select("value")) == rows(want.select("value"))
+            kept = {(r._file, r._number) for r in spark.read.parquet(f"{ledger}/files").collect()}
+            assert go == 0 or first < kept
+            first = kept
+        assert sorted(n for _, n in kept) == list(range(5))
+        of_file = got.groupBy(F.shiftright("arrival", 40).alias("f")).agg(
+            F.sort_array(F.collect_list(F.struct("arrival", "value"))).alias("lines")
+        )
+        for r in of_file.collect():
+            names = [line.value for line in r.lines]
+            letter = names[1].split("-")[0]
+            assert names == [f"{letter}-{j}" if j % 7 else "" for j in range(150)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_repeated_batch_is_staged_once(spark, tmp_path):
+    folder = str(tmp_path / "stage")
+    for batch_id in (0, 1, 1, 0):
+        stages.append_once(spark.range(3).withColumn("b", F.lit(batch_id)), batch_id, folder)
+    spark.range(9).write.parquet(f"{folder}/_draft-2")  # of a batch that died before the rename
+    stages.append_once(spark.range(2).withColumn("b", F.lit(2)), 2, folder)
+    live = stages.staged_stream(spark, folder, spark.read.parquet(folder).select("id", "b").schema)
+    assert rows(drain(live, tmp_path / "drain").groupBy("b").count()) == [(0, 3), (1, 3), (2, 2)]
+
+
 def test_transitions_of_records_from_a_topic(spark, tmp_path):
     """The number of a record has more digits than 64 bits hold; waiting rows keep it."""
     schema = "value binary, partition int, offset bigint, timestamp timestamp"
