@@ -55,6 +55,10 @@ def _money_text(amount: str) -> str:
     return f"CAST(CAST({amount} AS DECIMAL(38,2)) AS VARCHAR)"
 
 
+REJECTED_ORDERS = """SELECT arrival, value, CASE WHEN short THEN 'short' WHEN amount IS NULL THEN 'bad_number'
+  ELSE 'bad_time' END AS reason FROM order_parsed JOIN order_fields USING (arrival)
+  WHERE short OR amount IS NULL OR create_time IS NULL OR operation_time IS NULL"""
+
 ORDER_LINES = f"""
 order_lines AS (
   SELECT o_orderkey AS arrival, CAST(o_orderdate AS TIMESTAMP) AS arrival_ts,
@@ -521,6 +525,11 @@ def oracle_sql() -> dict[str, str]:
         "sku_running_amount_split": _sku_running(_money_text("amount"), "amount"),
         "stream_top_sku_quantity": _with(DETAIL_LINES, SKU_SUMS) + TOP_SKU_QUANTITY,
     }
+    found["stream_order_join_late"] = found["stream_order_join"]
+    found["stream_order_rejects"] = _with(ORDER_LINES) + REJECTED_ORDERS
+    found["stream_read_lines_text"] = _with(CHANGE_LINES, TRANSITIONS) + (
+        "SELECT machine_id, previous, CAST(changes AS VARCHAR) AS changes FROM transitions"
+    )
     # The same sequences, made batch by batch.
     for name in (
         "running_sales_total", "running_refund_total", "running_order_count", "running_refund_requests",

@@ -14,10 +14,19 @@ REASON_OF_TYPE = {"long": BAD_NUMBER, "int": BAD_NUMBER, "money": BAD_NUMBER, "d
 
 
 class Decoded(NamedTuple):
-    """Valid rows, and (value, arrival, arrival_ts, reason) of the lines that are not."""
+    """Valid rows, (value, arrival, arrival_ts, reason) of the lines that are not, and both as one frame."""
 
     rows: DataFrame
     rejects: DataFrame
+    labelled: DataFrame
+
+
+def rows_of(labelled: DataFrame) -> DataFrame:
+    return labelled.where("reason IS NULL").drop("value", "reason")
+
+
+def rejects_of(labelled: DataFrame) -> DataFrame:
+    return labelled.where("reason IS NOT NULL").select("value", "arrival", "arrival_ts", "reason")
 
 
 def decode_orders(lines: DataFrame, **options) -> Decoded:
@@ -70,7 +79,9 @@ def decode(
         reason = f"CASE WHEN {reason} IS NOT NULL THEN CAST(raise_error(concat('malformed line: ', value)) AS string) END"
     rows = parsed.where(f"{reason} IS NULL").select(*typed, "arrival", "arrival_ts")
     rejects = parsed.select(*line, F.expr(reason).alias("reason")).where("reason IS NOT NULL")
-    return Decoded(rows, rejects)
+    line_of_reject = F.when(F.col("reason").isNotNull(), F.col("value")).alias("value")
+    labelled = parsed.withColumn("reason", F.expr(reason)).select(line_of_reject, *typed, "arrival", "arrival_ts", "reason")
+    return Decoded(rows, rejects, labelled)
 
 
 def _reason(fields: list[tuple[str, str]]) -> str:

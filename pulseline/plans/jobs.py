@@ -2,8 +2,9 @@
 
 `JOBS` maps a job name to its line kinds and a function `(lines, folder, **options) -> flows`; `lines` holds one
 frame per line kind, `folder` is where the job keeps figures between batches, and products are named by the key or
-table they are written to. Malformed lines of a kind are the product `rejects_<kind>`, a flow of its own that reads the
-lines for itself and runs only where that product has a sink.
+table they are written to. Malformed lines of a kind are the product `rejects_<kind>`. Where a flow takes rows as they
+are decoded, both are made from one frame; where a flow aggregates a stream, the rejects are a flow of their own that
+runs only if the product has a sink. A source that several flows need is decoded once and staged (`_staged`).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from ..streaming import processors
 from ..streaming.folds import Ranking, RunningSums, fold_kpis
 from ..streaming.runner import Flow, Output
 from ..streaming.sinks import last_per_key
+from ..streaming.stages import staged_stream
 from . import cells
 
 Lines = dict[str, DataFrame]
@@ -55,6 +57,39 @@ def _rejects(kind: str, decoded: decode.Decoded) -> Flow:
     return Flow(f"rejects_{kind}", decoded.rejects, {f"rejects_{kind}": _rows})
 
 
+def _decoded(
+    name: str, kind: str, decoded: decode.Decoded, outputs: dict[str, Output],
+    rows: Callable[[DataFrame], DataFrame] = lambda found: found,
+) -> Flow:
+    """Products of rows as they are decoded, and the rejects, from one frame."""
+
+    def of_rows(output: Output) -> Output:
+        return lambda batch, batch_id: output(rows(decode.rows_of(batch)), batch_id)
+
+    both = {product: of_rows(output) for product, output in outputs.items()}
+    both[f"rejects_{kind}"] = lambda batch, _: decode.rejects_of(batch)
+    return Flow(name, decoded.labelled, both)
+
+
+def _staged(
+    kind: str, decoded: decode.Decoded, folder: str, delay: str, files: int | None
+) -> tuple[DataFrame, Flow]:
+    """Rows for several flows, and the flow that decodes their lines.
+
+    A stream's lines are read and decoded once: each batch's rows and rejects, in `files` files if given, are put into
+    the job's folder, and the flows read them there, as many files a batch. Rejects are among them, so that the
+    watermark goes on with every line.
+    """
+    rejects = {f"rejects_{kind}": lambda batch, _: decode.rejects_of(batch)}
+    labelled = decoded.labelled
+    if not labelled.isStreaming:
+        return decoded.rows, Flow(f"rejects_{kind}", labelled, rejects)
+    place = f"{folder}/staged_{kind}"
+    options = {"maxFilesPerTrigger": str(files)} if files else {}
+    found = staged_stream(labelled.sparkSession, place, labelled.schema, **options).withWatermark("arrival_ts", delay)
+    return decode.rows_of(found), Flow(f"staged_{kind}", labelled, rejects, stage=place, stage_files=files)
+
+
 def _kpis(folder: str, keys: list[str]) -> dict[str, Output]:
     """The figures under `keys`, as one product."""
 
@@ -84,13 +119,12 @@ def _cancelled(make: Callable[[DataFrame], DataFrame]) -> Output:
 def order_totals(lines: Lines, folder: str) -> list[Flow]:
     """Sales and refund totals as they stand and after each order, and the cancelled orders."""
     decoded = decode.decode_orders(lines["order"])
-    orders = decode.with_event_time(decoded.rows)
     outputs = _kpis(folder, [codes.KEY_SALES_TOTAL, codes.KEY_REFUND_TOTAL])
     outputs |= _running(
         folder, running_sales=running.running_sales_total, running_refunds=running.running_refund_total
     )
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.cancelled_cells)
-    return [Flow("order_totals", orders, outputs), _rejects("order", decoded)]
+    return [_decoded("order_totals", "order", decoded, outputs, decode.with_event_time)]
 
 
 @job("order_rates", "order")
@@ -103,7 +137,7 @@ def order_rates(lines: Lines, folder: str) -> list[Flow]:
         folder, running_orders=running.running_order_count, running_refund_requests=running.running_refund_requests,
         running_cancel_rate=running.running_cancel_rate,
     )
-    return [Flow("order_rates", decoded.rows, outputs), _rejects("order", decoded)]
+    return [_decoded("order_rates", "order", decoded, outputs)]
 
 
 @job("top_users", "order")
@@ -111,13 +145,11 @@ def top_users(lines: Lines, folder: str) -> list[Flow]:
     """The two users who spent most, the cancel rate, and the latest row of each cancelled order."""
     required = ("id", "consignee", "amount", "status", "user_id", "create_time", "operation_time")
     decoded = decode.decode_orders(lines["order"], date_only=True, required=required)
-    orders = decoded.rows
     outputs = _kpis(folder, [codes.KEY_CANCEL_RATE])
     outputs[codes.TABLE_ORDER_INFO] = _cancelled(cells.order_cells)
     return [
-        Flow("cancelled_orders", orders, outputs),
-        _ranked("top_users", topk.user_spend(orders), {codes.KEY_TOP_USERS: ("value", 2)}, folder),
-        _rejects("order", decoded),
+        _decoded("cancelled_orders", "order", decoded, outputs),
+        _ranked("top_users", topk.user_spend(decoded.rows), {codes.KEY_TOP_USERS: ("value", 2)}, folder),
     ]
 
 
@@ -125,8 +157,8 @@ def top_users(lines: Lines, folder: str) -> list[Flow]:
 def order_count(lines: Lines, folder: str) -> list[Flow]:
     """Number of sales orders; the amount is not looked at."""
     decoded = decode.decode_orders(lines["order"], required=("status", "create_time", "operation_time"))
-    sales = routing.sales_orders(decoded.rows)
-    return [Flow("order_count", sales, _kpis(folder, [codes.KEY_ORDER_COUNT])), _rejects("order", decoded)]
+    outputs = _kpis(folder, [codes.KEY_ORDER_COUNT])
+    return [_decoded("order_count", "order", decoded, outputs, routing.sales_orders)]
 
 
 def top_users_text(batch: DataFrame, batch_id: int) -> DataFrame:
@@ -163,23 +195,26 @@ def top_skus(lines: Lines, folder: str) -> list[Flow]:
     sequences = _running(
         folder, sku_running_quantity=running.sku_running_quantity, sku_running_amount=running.sku_running_amount
     )
-    return [sku_flow(decoded.rows, folder), Flow("sku_running", decoded.rows, sequences), _rejects("order_detail", decoded)]
+    return [sku_flow(decoded.rows, folder), _decoded("sku_running", "order_detail", decoded, sequences)]
 
 
 @job("orders_with_details", "order", "order_detail")
-def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay: str = "0 seconds") -> list[Flow]:
+def orders_with_details(
+    lines: Lines, folder: str, size: str = "1 second", delay: str = "0 seconds", files: int | None = None
+) -> list[Flow]:
     """Number of sales orders, the three products with most sales, and orders joined with their details.
 
-    Only the join needs the order id as a number; a row without one finds no partner there.
+    Only the join needs the order id as a number; a row without one finds no partner there. On streams the join keeps
+    the rows of windows that the watermark of both sources has not passed; rows of closed windows are dropped and
+    counted in the progress of `order_join` (`numRowsDroppedByWatermark`).
     """
     required = ("amount", "status", "create_time", "operation_time")
-    order_lines = lines["order"].withWatermark("arrival_ts", delay)
-    decoded_orders = decode.decode_orders(order_lines, required=required)
-    orders = routing.sales_orders(decoded_orders.rows)
+    decoded = decode.decode_orders(lines["order"], required=required)
+    order_rows, order_flow = _staged("order", decoded, folder, delay, files)
+    orders = routing.sales_orders(order_rows)
     required = ("detail_id", "sku_id", "price", "num", "create_time")
-    detail_lines = lines["order_detail"].withWatermark("arrival_ts", delay)
-    decoded_details = decode.decode_order_details(detail_lines, required=required)
-    details = decoded_details.rows
+    decoded = decode.decode_order_details(lines["order_detail"], required=required)
+    details, detail_flow = _staged("order_detail", decoded, folder, delay, files)
 
     def join_rows(batch: DataFrame, batch_id: int) -> DataFrame:
         last = last_per_key(batch, ["id"], joins.PAIR_ORDER, kept=tuple(joins.PAIR_ORDER))
@@ -187,11 +222,11 @@ def orders_with_details(lines: Lines, folder: str, size: str = "1 second", delay
 
     joined = joins.order_detail_pairs(orders, details, size)
     return [
+        order_flow,
+        detail_flow,
         Flow("order_count", orders, _kpis(folder, [codes.KEY_ORDER_COUNT])),
         _ranked("top_skus", topk.sku_sums(details), {codes.KEY_TOP_SKU_AMOUNT: ("amount", 3)}, folder),
         Flow("order_join", joined, {codes.TABLE_ORDER_JOIN: join_rows}),
-        _rejects("order", decoded_orders),
-        _rejects("order_detail", decoded_details),
     ]
 
 

@@ -103,7 +103,7 @@ def run_streams(
         )
     table = f"{folder}/table"
     sink = {product: sinks.latest_sink(table, keys, order, TABLE_BUCKETS) if keys else sinks.rows_append(table)}
-    flows = [flow for flow in jobs.build(job, lines, f"{folder}/state", **options) if product in flow.outputs]
+    flows = [flow for flow in jobs.build(job, lines, f"{folder}/state", **options) if product in flow.outputs or flow.stage]
     for query in run_job(flows, sink, checkpoint=f"{folder}/checkpoint", trigger={"availableNow": True}):
         query.awaitTermination()
     return sinks.read_latest(spark, table, keys) if keys else sinks.read_rows(spark, table)
@@ -114,6 +114,25 @@ def sequence(job: str, product: str, *columns) -> Callable[[SparkSession, str],
     return lambda spark, sf_dir: run_streams(spark, sf_dir, job, product, None).select(*[c() if callable(c) else c for c in columns])
 
 
+def text_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The machine lines as text files, which come in one by one; the transitions depend on their order."""
+    folder = f"{shared_folder(spark)}/text-{uuid.uuid4().hex}"
+    capture(SOURCES["change"](spark, sf_dir), f"{folder}/lines")
+    lines = spark.read.schema(LINE).parquet(f"{folder}/lines")
+    lines.repartitionByRange(PIECES, "arrival").sortWithinPartitions("arrival").select("value").write.text(f"{folder}/text")
+    now = {"availableNow": True}
+    live = read_lines(
+        spark, "text", path=f"{folder}/text", stream=True, ledger=f"{folder}/ledger", files_by="path", trigger=now
+    )
+    table = f"{folder}/table"
+    (flow, *_) = jobs.build("transitions", {"change": live}, f"{folder}/state")
+    for query in run_job(
+        [flow], {codes.TABLE_TRANSITIONS: sinks.rows_append(table)}, checkpoint=f"{folder}/checkpoint", trigger=now
+    ):
+        query.awaitTermination()
+    return sinks.read_rows(spark, table).select("machine_id", F.col("last_status").alias("previous"), "changes")
+
+
 def money(name: str):
     return lambda: text.money_text(F.col(name)).alias(name)
 
@@ -143,6 +162,13 @@ STREAM_QUERIES = {
     "stream_order_join": lambda s, d: run_streams(
         s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], PAIR_ORDER, size="30 days", delay="4000 days"
     ),
+    "stream_order_join_late": lambda s, d: run_streams(
+        s, d, "orders_with_details", codes.TABLE_ORDER_JOIN, ["row_key"], PAIR_ORDER, size="30 days", late="2 days", files=1
+    ),
+    "stream_order_rejects": lambda s, d: run_streams(s, d, "order_rates", "rejects_order", ["arrival"]).select(
+        "arrival", "value", "reason"
+    ),
+    "stream_read_lines_text": lambda s, d: text_transitions(s, d),
     "stream_running_sales_total": sequence("order_totals", "running_sales", "arrival", "id", money("total")),
     "stream_running_refund_total": sequence("order_totals", "running_refunds", "arrival", "id", money("total")),
     "stream_running_order_count": sequence("order_rates", "running_orders", "arrival", "id", "orders"),

@@ -8,7 +8,7 @@ A batch that is repeated finds its rows in place and writes nothing, so readers
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from .keyed import Folder
 
@@ -28,5 +28,6 @@ def append_once(rows: DataFrame, batch_id: int, folder: str) -> None:
 def staged_stream(spark: SparkSession, folder: str, schema: StructType, **options: str) -> DataFrame:
     """What `append_once` has put into the folder, and will put there."""
     Folder(spark, folder).make()
-    found = spark.readStream.schema(schema).options(**options).parquet(folder)
-    return found.select(*schema.names)
+    # The folder may be empty still, so Spark is told of the batch that is in the rows' paths.
+    whole = StructType([*schema.fields, StructField(BATCH, IntegerType())])
+    return spark.readStream.schema(whole).options(**options).parquet(folder).select(*schema.names)

@@ -420,6 +420,68 @@ def test_lines_of_a_stream_are_read_once(spark, captured, tmp_path):
     assert sum(p["numInputRows"] for p in query.recentProgress) == batch(spark, path).count()
 
 
+def test_rows_and_rejects_come_from_one_read(spark, captured, tmp_path):
+    path = captured("order", 2)
+    flows = jobs.build("order_rates", {"order": stream(spark, path)}, str(tmp_path / "state"))
+    sink = {"kpis": sinks.kv_set(str(tmp_path / "kpis")), "rejects_order": sinks.rows_append(str(tmp_path / "rejects"))}
+    (query,) = run_job(flows, sink, checkpoint=str(tmp_path / "check"), trigger={"availableNow": True})
+    query.awaitTermination()
+    assert sum(p["numInputRows"] for p in query.recentProgress) == batch(spark, path).count()
+    want = decode.decode_orders(batch(spark, path), date_only=True).rejects
+    assert rows(sinks.read_rows(spark, str(tmp_path / "rejects"))) == rows(want.select("value", "arrival", "arrival_ts", "reason"))
+
+
+def test_each_source_of_a_job_is_read_once(spark, captured, tmp_path):
+    """Three products of the orders, three of the details; only two queries read lines."""
+    paths = {kind: captured(kind, 2) for kind in ("order", "order_detail")}
+    flows = jobs.build("orders_with_details", {k: stream(spark, p) for k, p in paths.items()}, str(tmp_path / "state"))
+    sink = {p: sinks.rows_append(str(tmp_path / "tables" / p)) for flow in flows for p in flow.outputs}
+    queries = run_job(flows, sink, checkpoint=str(tmp_path / "check"), trigger={"availableNow": True})
+    read = {}
+    for query in queries:
+        query.awaitTermination()
+        for progress in query.recentProgress:
+            for source in progress["sources"]:
+                of = [k for k, p in paths.items() if source["description"].endswith(f"{p}]")]
+                for kind in of:
+                    read[kind] = read.get(kind, 0) + source["numInputRows"]
+    assert read == {k: batch(spark, p).count() for k, p in paths.items()}
+    assert len(queries) == 5
+
+
+def test_join_on_stream_lets_go_of_closed_windows(spark, tmp_path):
+    """Lines of fourteen batches; the state holds the open windows, and what comes behind the watermark is counted."""
+    day = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    paths = {kind: str(tmp_path / kind) for kind in ("order", "order_detail")}
+    for part in range(14):
+        seconds = range(10 * part, 10 * part + 10)
+        orders = [(order_line(id=s, amount=f"{s}.00"), s, day + dt.timedelta(seconds=s)) for s in seconds]
+        details = [(f"{s},{s},3,sku,1,{s},2020-4-25 18:47:14", s, day + dt.timedelta(seconds=s)) for s in seconds]
+        if part == 10:  # far more than the delay and a window
+            details.append(("1,5,3,sku,1,9,2020-4-25 18:47:14", 1000, day + dt.timedelta(seconds=5)))
+        for kind, made in (("order", orders), ("order_detail", details)):
+            spark.createDataFrame(made, LINE).coalesce(1).write.mode("append").parquet(paths[kind])
+        time.sleep(0.02)
+    flows = jobs.build(
+        "orders_with_details", {k: stream(spark, p) for k, p in paths.items()}, str(tmp_path / "state"),
+        size="2 seconds", delay="10 seconds", files=1,
+    )
+    table = str(tmp_path / "table")
+    sink = {codes.TABLE_ORDER_JOIN: sinks.latest_sink(table, ["row_key"], joins.PAIR_ORDER)}
+    queries = run_job(flows, sink, checkpoint=str(tmp_path / "check"), trigger={"availableNow": True})
+    for query in queries:
+        query.awaitTermination()
+    states = [s for p in queries[-1].recentProgress for s in p["stateOperators"]]
+    kept = [s["numRowsTotal"] for s in states]
+    assert len(kept) >= 14
+    # A batch of ten seconds on both sides, the delay, and the batch that the watermark is behind.
+    assert max(kept) <= 2 * (10 + 10 + 10 + 2) and sum(s["numRowsRemoved"] for s in states) > 150
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) == 1
+    want = [(str(s), f"{s}.00", str(s)) for s in range(140)]
+    got = sinks.read_latest(spark, table, ["row_key"]).select("row_key", "orderprice", "orderdetailcount")
+    assert rows(got) == sorted(want, key=str)
+
+
 def test_late_pairs_on_stream(spark, tmp_path):
     """The second batch brings an earlier pair of an order; the later pair stays."""
 
