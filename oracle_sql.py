@@ -56,7 +56,7 @@ def _money_text(amount: str) -> str:
 
 
 REJECTED_ORDERS = """SELECT arrival, value, CASE WHEN short THEN 'short' WHEN amount IS NULL THEN 'bad_number'
-  ELSE 'bad_time' END AS reason FROM order_parsed JOIN order_fields USING (arrival)
+  ELSE 'bad_time' END AS reason FROM order_parsed
   WHERE short OR amount IS NULL OR create_time IS NULL OR operation_time IS NULL"""
 
 ORDER_LINES = f"""
