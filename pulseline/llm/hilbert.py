@@ -1,6 +1,7 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Each dimension is quantised by its own quantiles (order-preserving, over all rows), the cells are visited in the order
+Each dimension is quantised by its own quantiles, strings by the ranks of whole values (both order-preserving, over all
+rows), the cells are visited in the order
 of a Hilbert curve, and the visiting order is cut into runs of near-equal bytes. A shard is then a compact region in
 every dimension, so minimum and maximum values per file prune well for filters on any of them.
 
@@ -23,8 +24,6 @@ from .common import numbered
 
 BITS = 8
 SIZE_OVERHEAD = 16
-#: Bytes of a string that take part in its order number; six bytes are exact in a double.
-PREFIX_BYTES = 6
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -57,34 +56,61 @@ def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return index.astype(np.int64)
 
 
-def order_number(df: DataFrame, column: str) -> Column:
-    """An order-preserving number for a column: itself, or the first bytes of a string."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-        return F.coalesce(F.conv(head, 16, 10).cast("double"), F.lit(-1.0))
+def order_number(column: str) -> Column:
+    """An order-preserving number for a column that is no string."""
     return F.coalesce(F.col(column).cast("double"), F.lit(float("-inf")))
 
 
+def is_text(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.StringType)
+
+
+def text_cuts(df: DataFrame, column: str, bits: int) -> np.ndarray:
+    """The smallest whole value of each level of a string column, levels by the values' ranks among all rows.
+
+    Rows are counted per value first, so a value that many rows share is one row of the ranking, and has one level. At
+    most 2**bits - 1 values reach the driver.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    ranked = numbered(counts, [F.col("value")], {"before": F.col("n")})
+    total = ranked.agg(F.sum("n")).first()[0] or 1
+    level = F.floor(F.col("before") * (2**bits - 1) / F.lit(total)).alias("level")
+    firsts = ranked.groupBy(level).agg(F.min("value").alias("value")).collect()
+    return np.array(sorted(r["value"] for r in firsts), dtype=object)
+
+
+def text_level(values: pd.Series, cuts: np.ndarray) -> np.ndarray:
+    """Null is level 0, below all values. Code points compare as UTF-8 bytes do."""
+    levels = np.zeros(len(values), np.int64)
+    there = values.notna().to_numpy()
+    codes, distinct = pd.factorize(values[there])
+    if len(distinct):
+        levels[there] = np.searchsorted(cuts, np.asarray(distinct, dtype=object), side="right")[codes]
+    return levels
+
+
 def with_curve_index(df: DataFrame, dimensions: list[str], name: str, bits: int = BITS) -> DataFrame:
-    """Adds the Hilbert index of `dimensions`, quantised to 2**bits levels each by quantiles over all rows."""
-    numbers = [order_number(df, c) for c in dimensions]
+    """Adds the Hilbert index of `dimensions`, quantised to 2**bits levels each by quantiles or ranks over all rows."""
+    texts = {c: text_cuts(df, c, bits) for c in dict.fromkeys(dimensions) if is_text(df, c)}
+    numbers = [c for c in dict.fromkeys(dimensions) if c not in texts]
     levels = [i / 2**bits for i in range(1, 2**bits)]
-    found = df.agg(
-        *[F.percentile_approx(n, levels, 10_000).alias(f"q{i}") for i, n in enumerate(numbers)]
-    ).first()
-    # One sorted array of at most 2**bits - 1 cuts per dimension.
-    cuts = [np.unique(np.asarray(q if q is not None else [], dtype=float)) for q in found]
+    cuts = texts
+    if numbers:
+        found = df.agg(*[F.percentile_approx(order_number(c), levels, 10_000).alias(f"q{i}") for i, c in enumerate(numbers)]).first()
+        # One sorted array of at most 2**bits - 1 cuts per dimension.
+        cuts = texts | {c: np.unique(np.asarray(q if q is not None else [], dtype=float)) for c, q in zip(numbers, found)}
 
     def indexed(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for columns in batches:
-            cells = np.stack(
-                [np.searchsorted(c, s.to_numpy(), side="right") for c, s in zip(cuts, columns)], axis=1
-            )
-            yield pd.Series(hilbert_index(cells, bits))
+            cells = [
+                text_level(s, cuts[c]) if c in texts else np.searchsorted(cuts[c], s.to_numpy(), side="right")
+                for c, s in zip(dimensions, columns if isinstance(columns, tuple) else (columns,))
+            ]
+            yield pd.Series(hilbert_index(np.stack(cells, axis=1), bits))
 
     indexed.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
-    return df.withColumn(name, F.pandas_udf(indexed, "long")(*numbers))
+    inputs = [F.col(c) if c in texts else order_number(c) for c in dimensions]
+    return df.withColumn(name, F.pandas_udf(indexed, "long")(*inputs))
 
 
 def hilbert_shards(

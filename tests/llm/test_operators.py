@@ -9,6 +9,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +52,25 @@ def test_shards_follow_the_curve_with_near_equal_bytes(spark):
         assert own["slot"].tolist() == list(range(len(own)))
 
 
+def test_strings_of_one_prefix_have_levels(spark):
+    """Ranks against a plain loop: long common prefixes, a value that a third of the rows share, nulls, beyond ASCII."""
+    values = [f"https://example.org/dataset/{i % 97:03d}" for i in range(400)]
+    values += ["https://example.org/hot"] * 200 + [None] * 30 + ["https://example.org/ü", "https://example.org/😀", ""]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "doc_id long, url string")
+    given = sorted((v for v in values if v is not None), key=str.encode)
+    firsts = {}
+    for v in sorted(set(given), key=str.encode):
+        firsts.setdefault(given.index(v) * 15 // len(given), v)
+    cuts = hilbert.text_cuts(df, "url", 4)
+    assert list(cuts) == sorted(firsts.values(), key=str.encode) and len(cuts) > 8
+    levels = hilbert.text_level(pd.Series(values), cuts)
+    want = [0 if v is None else sum(c.encode() <= v.encode() for c in cuts) for v in values]
+    assert levels.tolist() == want
+    placed = hilbert.with_curve_index(df, ["url"], "curve", 4).collect()
+    assert [r.curve for r in sorted(placed, key=lambda r: r.doc_id)] == want  # one dimension: the level itself
+    assert len(hilbert.text_cuts(df.where("url IS NULL"), "url", 4)) == 0
+
+
 def test_shards_of_odd_rows(odd, empty):
     rows = hilbert.hilbert_shards(odd, 4, DIMENSIONS).collect()
     assert len(rows) == len(odd.collect())
