@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -59,6 +59,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that fill a partition of a small table between jobs, and how many partitions it keeps in any case.
+FULL, FEW = 20_000, 8
+
+
+def partitions_of(rows: int) -> int:
+    return max(FEW, -(-rows // FULL))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """`df` checkpointed, and read in no more partitions than its rows fill.
+
+    Every task of a shuffle writes files however little it has, so jobs on small tables pay for partitions, not rows.
+    Adaptive execution merges small partitions only inside one job and only where the session lets it. Rows are counted
+    while they are written; the count decides on nothing but partitions.
+    """
+    seen = Observation()
+    out = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return out.coalesce(partitions_of(seen.get["rows"]))
+
+
 def label_examples(
     documents: DataFrame, labels: DataFrame, label: str, learn_from: Column, limit: int, *columns: str
 ) -> DataFrame:

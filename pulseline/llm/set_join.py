@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ranges import shuffled_once
 from ..session import cut_lineage
-from .common import unused_name
+from .common import settled, unused_name
 from .components import components
 
 WORDS = 5
@@ -278,11 +278,13 @@ def overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """
     rows_of = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_PAIRS).alias("rows"))
     salted = pairs.join(rows_of, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("rows")))
-    rows = cut_lineage(salted.groupBy("a", "na", "salt").agg(F.collect_list(F.struct("b", "nb")).alias("partners")))
+    rows = settled(salted.groupBy("a", "na", "salt").agg(F.collect_list(F.struct("b", "nb")).alias("partners")))
     sets = shuffled_once(sets, "c")  # both sides of the pairs read one shuffle
     sent = rows.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
-    dealt = sent.where("salt > 0").repartition("a", "salt")
-    sent = sent.where("salt = 0").union(dealt).select("a", "na", "ta", F.inline("partners"))
+    if not rows.where("salt > 0").isEmpty():
+        dealt = sent.where("salt > 0").repartition("a", "salt")
+        sent = sent.where("salt = 0").union(dealt)
+    sent = sent.select("a", "na", "ta", F.inline("partners"))
 
     def common(x: pd.Series, y: pd.Series) -> pd.Series:
         out = []
@@ -397,33 +399,33 @@ def linked(met: DataFrame, labels: DataFrame | None = None) -> DataFrame:
 
 def groups_of_classes(documents: DataFrame, signed: DataFrame) -> DataFrame:
     """(c, label) of every class that has a link: the smallest class of its group."""
-    lists = cut_lineage(index_lists(index_entries(documents, rarity(signed))))
+    lists = settled(index_lists(index_entries(documents, rarity(signed))))
     classes = signed.where("token IS NULL AND n > 0").groupBy("c")
-    classes = cut_lineage(classes.agg(F.min("key").alias("key"), F.first("bits").alias("bits")))
+    classes = settled(classes.agg(F.min("key").alias("key"), F.first("bits").alias("bits")))
     first, bits = classes.select("c", "key"), classes.select("c", "bits")
 
     labels, sets, done, more = None, None, 0, PIVOTS
     while True:
         pairs = pivot_pairs(lists, done + 1, done + more)
         if sets is None:  # later the bitmaps are those of the members left
-            pairs = cut_lineage(pairs)
+            pairs = settled(pairs)
             pairs = not_refused(pairs, shuffled_once(bits.join(classes_of(pairs), "c", "left_semi"), "c"))
         else:
             pairs = not_refused(pairs, bits)
-        pairs = cut_lineage(pairs)
-        ends = small(cut_lineage(classes_of(pairs)))
+        pairs = settled(pairs)
+        ends = small(settled(classes_of(pairs)))
         own = sets.join(ends, "c", "left_semi") if sets is not None else class_sets(documents, first.join(ends, "c"))
-        met = cut_lineage(overlaps(pairs, own))
+        met = settled(overlaps(pairs, own))
         labels = components(linked(met, labels))
         done, more = done + more, GROWTH * more
         lists = open_lists(lists, labels, done)
-        lists = cut_lineage(with_overlap(lists, met) if sets is None else lists)
-        if not lists.limit(1).count():
+        lists = settled(with_overlap(lists, met) if sets is None else lists)
+        if lists.isEmpty():
             return labels
         if sets is None:  # what is known of the members left serves all further rounds
-            left = small(cut_lineage(lists.select("c").distinct()))
-            sets = cut_lineage(class_sets(documents, first.join(left, "c")))
-            bits = cut_lineage(bits.join(left, "c", "left_semi"))
+            left = small(settled(lists.select("c").distinct()))
+            sets = settled(class_sets(documents, first.join(left, "c")))
+            bits = settled(bits.join(left, "c", "left_semi"))
 
 
 def classes_of(pairs: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from llm_rows import BASE, TEXTS
 from pyspark.sql import functions as F
 from test_operators import brute_components
 
-from pulseline.llm import components, set_join
+from pulseline.llm import common, components, set_join
 
 
 def test_large_ids_beside_missing_ones(spark):
@@ -74,3 +74,19 @@ def test_no_id_goes_through_python(spark):
     got = set_join.signatures(rows).where("token IS NULL").select("doc_id", F.hex("key").alias("key"))
     want = rows.select("doc_id", set_join.text_key(F.col("text")).alias("key")).select("doc_id", F.hex("key").alias("key"))
     assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_few_links_stay_in_few_partitions(spark):
+    """Also where the session keeps all shuffle partitions: each task of each round would write files."""
+    names = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        links = spark.createDataFrame([(f"{i:03}", f"{i + 1:03}") for i in range(40)], "u string, v string")
+        found = components.components(links)
+        assert found.rdd.getNumPartitions() <= common.FEW
+        assert {tuple(r) for r in found.collect()} == {(f"{i:03}", "000") for i in range(41)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
