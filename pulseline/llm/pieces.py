@@ -32,6 +32,8 @@ NEVER = float("-inf")
 MARKS = string.punctuation
 #: A run of spaces and what follows it; a line break stands alone unless a piece holds one.
 SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+#: Characters up to which the best pair is looked for in a list instead of a heap.
+SHORT = 40
 LINE_SEGMENT = re.compile(f"{SPACE}*[^{SPACE}\\n]+|{SPACE}+|\\n")
 
 
@@ -201,10 +203,31 @@ class Merger:
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
+        self.score = {p: s for p, (s, _) in vocabulary.scores.items()}.get
         # No merge reaches over the start of a run of spaces unless a piece does.
         self.separable = all(SPACE not in p.lstrip(SPACE) for p in vocabulary.scores)
         self.neighbours = {p[i : i + 2] for p in vocabulary.scores for i in range(len(p) - 1)}
 
+    def parts(self, text: str) -> list[str]:
+        """The parts that are left when no two neighbours join any more."""
+        if len(text) > SHORT:
+            ends, out, at = self.ends(text), [], 0
+            while at < len(text):
+                out.append(text[at : ends[at]])
+                at = ends[at]
+            return out
+        score, out = self.score, list(text)
+        pairs = [score(a + b, NEVER) for a, b in zip(out, out[1:])]
+        while pairs and (best := max(pairs)) > NEVER:
+            i = pairs.index(best)  # the leftmost
+            out[i] += out.pop(i + 1)
+            del pairs[i]
+            if i < len(pairs):
+                pairs[i] = score(out[i] + out[i + 1], NEVER)
+            if i:
+                pairs[i - 1] = score(out[i - 1] + out[i], NEVER)
+        return out
+
     def ends(self, text: str) -> list[int]:
         """Where the part that starts at a position ends, 0 where none starts."""
         found, n = self.vocabulary.scores.get, len(text)
@@ -229,17 +252,17 @@ class Merger:
 
     def ids(self, text: str) -> list[int]:
         """Ids of a normalised text."""
-        byte_ids, scores = self.vocabulary.byte_ids, self.vocabulary.scores
-        ends, out, at, after_unknown = self.ends(text), [], 0, False
-        while at < len(text):
-            piece = scores.get(text[at : ends[at]])
+        byte_ids, found = self.vocabulary.byte_ids, self.vocabulary.scores.get
+        out, after_unknown = [], False
+        for part in self.parts(text):
+            piece = found(part)
             if piece:
                 out.append(piece[1])
             elif byte_ids:
-                out.extend(byte_ids[b] for b in text[at].encode())
+                out.extend(byte_ids[b] for b in part.encode())
             elif not after_unknown:  # neighbouring unknown characters are one piece
                 out.append(self.vocabulary.unknown)
-            at, after_unknown = ends[at], piece is None
+            after_unknown = piece is None
         return out
 
     def count(self, text: str) -> int:
