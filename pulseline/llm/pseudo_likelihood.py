@@ -24,6 +24,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -46,6 +47,8 @@ SIDE = 2  # neighbours on each side
 HIDDEN = 16
 BATCH = 16_384
 STEP = 0.08
+#: Rows of logits worked on at a time, which a core's cache holds.
+BLOCK = 2_048
 #: Distinct words counted, and words remembered, by a task before it hands them on or forgets them.
 HELD_WORDS = 500_000
 
@@ -132,11 +135,18 @@ def outside(net: dict) -> int:
 
 def forward(net: dict, row: np.ndarray, at: np.ndarray):
     """Hidden values, class probabilities, and tokens in the order of their classes."""
-    total = net["hidden"] + net["embed"][0][row[at + PLACES[0]]]
+    total = net["embed"][0].take(row[at + PLACES[0]], axis=0)
+    total += net["hidden"]
     for j, o in enumerate(PLACES[1:], 1):
-        total += net["embed"][j][row[at + o]]
-    h = np.tanh(total)
-    return h, softmax(h @ net["to_class"] + net["class_bias"])
+        total += net["embed"][j].take(row[at + o], axis=0)
+    h = np.tanh(total, out=total)
+    classes = np.empty((len(h), len(net["class_bias"])), h.dtype)
+    for first in range(0, len(h), BLOCK):
+        part = classes[first : first + BLOCK]
+        np.matmul(h[first : first + BLOCK], net["to_class"], out=part)
+        part += net["class_bias"]
+        softmax(part)
+    return h, classes
 
 
 def softmax(logits: np.ndarray) -> np.ndarray:
@@ -153,22 +163,25 @@ def in_order(ids: np.ndarray, below: int) -> np.ndarray:
     return np.argsort(ids.astype(np.int16) if below < 1 << 15 else ids, kind="stable")
 
 
-def by_class(classes: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
+def by_class(classes: np.ndarray, count: int) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Order of tokens by class, and where each class that has any lies in it."""
     order = in_order(classes, count)
     ends = np.searchsorted(classes[order], np.arange(count + 1))
-    for c in range(count):
-        if ends[c] < ends[c + 1]:
-            yield c, order[ends[c] : ends[c + 1]]
+    return order, [(c, slice(ends[c], ends[c + 1])) for c in range(count) if ends[c] < ends[c + 1]]
 
 
 def log_probabilities(net: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of each token from its neighbours."""
     token, (count, inside) = row[at], net["word_bias"].shape
     h, classes = forward(net, row, at)
-    out = np.log(classes[np.arange(len(at)), token // inside])
-    for c, who in by_class(token // inside, count):
+    every, of_class = np.arange(len(at)), token // inside
+    out = np.log(classes[every, of_class])
+    order, runs = by_class(of_class, count)
+    h, place, found = h.take(order, axis=0), (token % inside)[order], np.empty(len(at), out.dtype)
+    for c, who in runs:
         word = softmax(h[who] @ net["to_word"][c] + net["word_bias"][c])
-        out[who] += np.log(word[np.arange(len(who)), token[who] % inside])
+        found[who] = word[every[: who.stop - who.start], place[who]]
+    out[order] += np.log(found)
     return out
 
 
@@ -180,24 +193,29 @@ class Trainer:
         self.squares = {n: np.full(v.shape, 1e-4, np.float32) for n, v in net.items()}
 
     def update(self, name: str, grad: np.ndarray, where=...) -> None:
-        self.squares[name][where] += grad * grad
-        self.net[name][where] -= STEP * grad / np.sqrt(self.squares[name][where])
+        squares = self.squares[name][where] + grad * grad
+        self.squares[name][where] = squares
+        self.net[name][where] -= STEP * grad / np.sqrt(squares)
 
     def step(self, row: np.ndarray, at: np.ndarray) -> None:
         net, token, scale = self.net, row[at], np.float32(1 / np.sqrt(len(at)))
         count, inside = net["word_bias"].shape
         h, wrong = forward(net, row, at)
-        wrong[np.arange(len(at)), token // inside] -= 1
+        every, of_class = np.arange(len(at)), token // inside
+        wrong[every, of_class] -= 1
         wrong *= scale
         down = wrong @ net["to_class"].T
-        words = []
-        for c, who in by_class(token // inside, count):
-            own = h[who]
+        words, (order, runs) = [], by_class(of_class, count)
+        # Tokens are worked on in the order of their classes, so each class is one slice.
+        sorted_h, place, back = h.take(order, axis=0), (token % inside)[order], np.empty_like(down)
+        for c, who in runs:
+            own = sorted_h[who]
             miss = softmax(own @ net["to_word"][c] + net["word_bias"][c])
-            miss[np.arange(len(who)), token[who] % inside] -= 1
+            miss[every[: who.stop - who.start], place[who]] -= 1
             miss *= scale
-            down[who] += miss @ net["to_word"][c].T
+            back[who] = miss @ net["to_word"][c].T
             words.append((c, own.T @ miss, miss.sum(axis=0)))
+        down[order] += back
         self.update("to_class", h.T @ wrong)
         self.update("class_bias", wrong.sum(axis=0))
         for c, grad, bias in words:
@@ -209,7 +227,7 @@ class Trainer:
             near = row[at + o]
             order = in_order(near, net["embed"].shape[1])
             first = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
-            self.update("embed", np.add.reduceat(down[order], first, axis=0), (j, near[order][first]))
+            self.update("embed", np.add.reduceat(down.take(order, axis=0), first, axis=0), (j, near[order][first]))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -311,7 +329,7 @@ def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, ke
             for t in batch.column("text").to_pylist():
                 split = words_of(t)
                 own.append(ids.of(split))
-                shared = [split[k] for k in np.flatnonzero(own[-1] >= ids.own)]
+                shared = list(compress(split, (own[-1] >= ids.own).tolist()))
                 places.append(met.of(shared))
             counts, sums = network_sums(net, own)
             n = len(own)
