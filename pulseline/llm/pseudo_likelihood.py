@@ -22,12 +22,9 @@ columns are not read and stay as they are.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import compress
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
@@ -49,10 +46,11 @@ BATCH = 16_384
 STEP = 0.08
 #: Rows of logits worked on at a time, which a core's cache holds.
 BLOCK = 2_048
-#: Distinct words counted, and words remembered, by a task before it hands them on or forgets them.
-HELD_WORDS = 500_000
+#: Tokens read before a task trains on them, and bytes of words counted before it adds them up and hands them on.
+HELD_TOKENS, HELD_BYTES = 16 * BATCH, 32 << 20
+#: Logits up to this size need no shift: float32 holds their exponentials and all ratios of them.
+STEEP = 40
 
-TINY = np.float32(1e-30)
 VOCABULARY = FREQUENT + HASHED  # of a small corpus
 OUTSIDE = VOCABULARY
 PLACES = [o for o in range(-SIDE, SIDE + 1) if o]
@@ -77,28 +75,29 @@ def shapes(own: int) -> dict[str, tuple[int, ...]]:
     }
 
 
-def words_of(text: str | None) -> list[str]:
-    return text.lower().split() if text else []
+def distinct_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of a batch of texts, the one at each place of all texts in a row, and the words of each text."""
+    low = pa.array([t.lower().strip() or None if t else None for t in texts.to_pylist()], pa.string())
+    split = pc.utf8_split_whitespace(low)
+    coded = split.flatten().dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(), pc.fill_null(pc.list_value_length(split), 0).to_numpy()
 
 
-class TokenIds(dict):
+class TokenIds:
     """Ids of words: by rank for those with a row by themselves, by hash bucket for the others."""
 
     def __init__(self, frequent: list[str]):
-        self.rank = {w: i for i, w in enumerate(frequent)}
+        self.rank = pa.array(frequent, pa.string())
         self.own = max(FREQUENT, len(frequent))
         self.buckets = sizes(len(frequent))[1] - self.own
-        super().__init__(self.rank)
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= HELD_WORDS + len(self.rank):
-            self.clear()
-            self.update(self.rank)
-        made = self[word] = self.own + zlib.crc32(word.encode()) % self.buckets
-        return made
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+    def of(self, words: pa.Array | list[str]) -> np.ndarray:
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.string())
+        out = pc.fill_null(pc.index_in(words, value_set=self.rank), -1).to_numpy().astype(np.int32)
+        shared = np.flatnonzero(out < 0)
+        octets = words.take(pa.array(shared)).cast(pa.binary()).to_numpy(zero_copy_only=False)
+        out[shared] = self.own + np.fromiter(map(zlib.crc32, octets), np.int64, len(shared)) % self.buckets
+        return out
 
 
 def initial(own: int = 0, seed: int = 5) -> dict[str, np.ndarray]:
@@ -121,43 +120,65 @@ def shaped(values: np.ndarray, own: int = 0) -> dict[str, np.ndarray]:
 
 def framed(texts: list[np.ndarray], outside: int = OUTSIDE) -> tuple[np.ndarray, np.ndarray]:
     """All ids in a row with SIDE outside marks around each text, and the positions of the real tokens."""
-    edge = np.full(SIDE, outside, np.int32)
-    parts = [edge]
-    for ids in texts:
-        parts += [ids, edge]
-    row = np.concatenate(parts)
-    return row, np.flatnonzero(row != outside)
+    return framed_row(np.concatenate(texts), np.array([len(ids) for ids in texts]), outside)
+
+
+def framed_row(ids: np.ndarray, lengths: np.ndarray, outside: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same for texts that lie behind each other already."""
+    at = np.arange(len(ids)) + np.repeat(SIDE * np.arange(1, len(lengths) + 1), lengths)
+    row = np.full(len(ids) + SIDE * (len(lengths) + 1), outside, np.int32)
+    row[at] = ids
+    return row, at
 
 
 def outside(net: dict) -> int:
     return net["embed"].shape[1] - 1
 
 
-def forward(net: dict, row: np.ndarray, at: np.ndarray):
-    """Hidden values, class probabilities, and tokens in the order of their classes."""
+def hidden(net: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     total = net["embed"][0].take(row[at + PLACES[0]], axis=0)
     total += net["hidden"]
     for j, o in enumerate(PLACES[1:], 1):
         total += net["embed"][j].take(row[at + o], axis=0)
-    h = np.tanh(total, out=total)
+    return np.tanh(total, out=total)
+
+
+def forward(net: dict, row: np.ndarray, at: np.ndarray):
+    """Hidden values and class probabilities."""
+    h, steep = hidden(net, row, at), steepest(net)
     classes = np.empty((len(h), len(net["class_bias"])), h.dtype)
     for first in range(0, len(h), BLOCK):
         part = classes[first : first + BLOCK]
         np.matmul(h[first : first + BLOCK], net["to_class"], out=part)
         part += net["class_bias"]
-        softmax(part)
+        softmax(part, steep)
     return h, classes
 
 
-def softmax(logits: np.ndarray) -> np.ndarray:
-    """In place. Hidden values lie in [-1, 1], so logits of different rows are close enough for one common shift."""
-    logits -= logits.max()
+def steepest(net: dict) -> float:
+    """The size that no logit exceeds, since hidden values lie in [-1, 1]."""
+    layers = ("to_class", "class_bias"), ("to_word", "word_bias")
+    return max(float((np.abs(net[w]).sum(axis=-2) + np.abs(net[b])).max()) for w, b in layers)
+
+
+def softmax(logits: np.ndarray, steep: float) -> np.ndarray:
+    """In place; rows of a steep network are shifted by their own maximum, others need no shift."""
+    if steep > STEEP:
+        logits -= logits.max(axis=1, keepdims=True)
     np.exp(logits, out=logits)
-    logits += TINY
-    logits /= (logits @ np.ones(logits.shape[1], logits.dtype))[:, None]
+    logits *= (1 / (logits @ np.ones(logits.shape[1], logits.dtype)))[:, None]
     return logits
 
 
+def log_softmax(logits: np.ndarray, place: np.ndarray, steep: float) -> np.ndarray:
+    """Logarithm of the softmax at one place of each row; the logits are used up."""
+    if steep > STEEP:
+        logits -= logits.max(axis=1, keepdims=True)
+    found = logits[np.arange(len(place)), place]
+    np.exp(logits, out=logits)
+    return found - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
 def in_order(ids: np.ndarray, below: int) -> np.ndarray:
     """Stable order of ids; sixteen bits sort by radix."""
     return np.argsort(ids.astype(np.int16) if below < 1 << 15 else ids, kind="stable")
@@ -172,16 +193,17 @@ def by_class(classes: np.ndarray, count: int) -> tuple[np.ndarray, list[tuple[in
 
 def log_probabilities(net: dict, row: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Log probability of each token from its neighbours."""
-    token, (count, inside) = row[at], net["word_bias"].shape
-    h, classes = forward(net, row, at)
-    every, of_class = np.arange(len(at)), token // inside
-    out = np.log(classes[every, of_class])
-    order, runs = by_class(of_class, count)
-    h, place, found = h.take(order, axis=0), (token % inside)[order], np.empty(len(at), out.dtype)
+    token, (count, inside), steep = row[at], net["word_bias"].shape, steepest(net)
+    order, runs = by_class(token // inside, count)
+    token, h = token[order], hidden(net, row, at[order])
+    of_class, place, found = token // inside, token % inside, np.empty(len(at), h.dtype)
+    for first in range(0, len(h), BLOCK):
+        part = slice(first, first + BLOCK)
+        found[part] = log_softmax(h[part] @ net["to_class"] + net["class_bias"], of_class[part], steep)
     for c, who in runs:
-        word = softmax(h[who] @ net["to_word"][c] + net["word_bias"][c])
-        found[who] = word[every[: who.stop - who.start], place[who]]
-    out[order] += np.log(found)
+        found[who] += log_softmax(h[who] @ net["to_word"][c] + net["word_bias"][c], place[who], steep)
+    out = np.empty_like(found)
+    out[order] = found
     return out
 
 
@@ -197,58 +219,74 @@ class Trainer:
         self.squares[name][where] = squares
         self.net[name][where] -= STEP * grad / np.sqrt(squares)
 
+    def learn(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Steps of nearly equal numbers of tokens, BATCH at most, over texts that lie behind each other."""
+        if len(ids):
+            row, at = framed_row(ids, lengths, outside(self.net))
+            for part in np.array_split(at, -(-len(at) // BATCH)):
+                self.step(row, part)
+
     def step(self, row: np.ndarray, at: np.ndarray) -> None:
-        net, token, scale = self.net, row[at], np.float32(1 / np.sqrt(len(at)))
+        net, scale = self.net, np.float32(1 / np.sqrt(len(at)))
         count, inside = net["word_bias"].shape
+        low = at.min() - SIDE
+        near = row[low : at.max() + SIDE + 1]
+        # Tokens are worked on in the order of their classes, so each class is one slice.
+        order, runs = by_class(row[at] // inside, count)
+        at = at[order]
+        token, every, ones = row[at], np.arange(len(at)), np.ones(len(at), np.float32)
+        place, steep = token % inside, steepest(net)
         h, wrong = forward(net, row, at)
-        every, of_class = np.arange(len(at)), token // inside
-        wrong[every, of_class] -= 1
-        wrong *= scale
+        wrong[every, token // inside] -= 1
         down = wrong @ net["to_class"].T
-        words, (order, runs) = [], by_class(of_class, count)
-        # Tokens are worked on in the order of their classes, so each class is one slice.
-        sorted_h, place, back = h.take(order, axis=0), (token % inside)[order], np.empty_like(down)
+        grads = {n: np.zeros_like(net[n]) for n in ("to_word", "word_bias")}
         for c, who in runs:
-            own = sorted_h[who]
-            miss = softmax(own @ net["to_word"][c] + net["word_bias"][c])
-            miss[every[: who.stop - who.start], place[who]] -= 1
-            miss *= scale
-            back[who] = miss @ net["to_word"][c].T
-            words.append((c, own.T @ miss, miss.sum(axis=0)))
-        down[order] += back
-        self.update("to_class", h.T @ wrong)
-        self.update("class_bias", wrong.sum(axis=0))
-        for c, grad, bias in words:
-            self.update("to_word", grad, c)
-            self.update("word_bias", bias, c)
+            own, n = h[who], who.stop - who.start
+            miss = softmax(own @ net["to_word"][c] + net["word_bias"][c], steep)
+            miss[every[:n], place[who]] -= 1
+            down[who] += miss @ net["to_word"][c].T
+            grads["to_word"][c], grads["word_bias"][c] = own.T @ miss, ones[:n] @ miss
         down *= 1 - h * h
-        self.update("hidden", down.sum(axis=0))
+        grads |= {"to_class": h.T @ wrong, "class_bias": ones @ wrong, "hidden": ones @ down}
+        for name, grad in grads.items():
+            self.update(name, grad * scale)
+        # A neighbour learns from the tokens around it; one order of all neighbours serves every place.
+        around = np.zeros((len(near) + 2 * SIDE, HIDDEN), np.float32)
+        around[at - low + SIDE] = down * scale
+        order = in_order(near, net["embed"].shape[1])
+        first = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
+        met = near[order[first]]
         for j, o in enumerate(PLACES):
-            near = row[at + o]
-            order = in_order(near, net["embed"].shape[1])
-            first = np.flatnonzero(np.r_[True, np.diff(near[order]) != 0])
-            self.update("embed", np.add.reduceat(down.take(order, axis=0), first, axis=0), (j, near[order][first]))
+            self.update("embed", np.add.reduceat(around.take(order + (SIDE - o), axis=0), first, axis=0), (j, met))
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over all texts; a task adds up what it reads before the shuffle."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: Counter = Counter()
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                counts.update(words_of(text))
-                if len(counts) >= HELD_WORDS:
-                    yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
-                    counts = Counter()
-        if counts:
-            yield pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+            words, index, _ = distinct_words(batch.column(0))
+            held.append(pa.table({"word": words, "n": np.bincount(index, minlength=len(words))}))
+            size += held[-1].nbytes
+            if size >= HELD_BYTES:
+                yield from added_up(held)
+                held, size = [], 0
+        if held:
+            yield from added_up(held)
+
+    counts = texts.mapInArrow(counted, "word string, n long")
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+
 
-    return texts.mapInPandas(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+def added_up(counts: list[pa.Table]) -> list[pa.RecordBatch]:
+    both = pa.concat_tables(counts).group_by("word", use_threads=False).aggregate([("n", "sum")])
+    return both.select(["word", "n_sum"]).rename_columns(["word", "n"]).to_batches(max_chunksize=1 << 16)
 
 
 def fit_network(documents: DataFrame, text: str = "text", own_count: int = OWN_COUNT) -> tuple:
     """(words with a row by themselves, averaged network, counts of all words as a table, tokens and words by bucket)."""
+    bound_batches(documents.sparkSession)
     texts = documents.select(F.col(text).alias("text"))
     words = cut_lineage(word_counts(texts))
     first = [F.desc("n"), F.col("word")]
@@ -259,29 +297,25 @@ def fit_network(documents: DataFrame, text: str = "text", own_count: int = OWN_C
     totals = bucket_totals(words, frequent, top[-1]["n"]) if top else np.zeros((2, TokenIds([]).buckets))
     start = documents.sparkSession.sparkContext.broadcast((frequent, initial(len(frequent))))
 
-    def trained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, net = start.value
         ids, trainer, tokens, waiting, held = TokenIds(frequent), Trainer(net), 0, [], 0
-
-        def learn() -> None:
-            row, at = framed(waiting, outside(net))
-            for first in range(0, len(at), BATCH):
-                trainer.step(row, at[first : first + BATCH])
-
         for batch in batches:
-            for t in batch["text"]:
-                own = ids.of(words_of(t))
-                waiting.append(own)
-                held, tokens = held + len(own), tokens + len(own)
-                if held >= BATCH:
-                    learn()
-                    waiting, held = [], 0
-        learn()
+            words, index, lengths = distinct_words(batch.column(0))
+            waiting.append((ids.of(words)[index], lengths))
+            held, tokens = held + len(index), tokens + len(index)
+            if held >= HELD_TOKENS:
+                trainer.learn(*map(np.concatenate, zip(*waiting, strict=True)))
+                waiting, held = [], 0
+        if held:
+            trainer.learn(*map(np.concatenate, zip(*waiting, strict=True)))
         if tokens:
             # Averages weigh each copy by its tokens; sums of both reach the reducers.
-            yield pd.DataFrame({"tokens": [float(tokens)], "net": [flat(trainer.net)]})
+            net = flat(trainer.net)
+            copy = pa.ListArray.from_arrays(pa.array([0, len(net)], pa.int32()), pa.array(net))
+            yield pa.RecordBatch.from_arrays([pa.array([float(tokens)]), copy], ["tokens", "net"])
 
-    copies = texts.mapInPandas(trained, "tokens double, net array<float>")
+    copies = texts.mapInArrow(trained, "tokens double, net array<float>")
     sums = copies.select("tokens", F.posexplode("net").alias("at", "x")).groupBy("at")
     mean = sums.agg((F.sum(F.col("tokens") * F.col("x")) / F.sum("tokens")).cast("float").alias("x"))
     rows = mean.orderBy("at").toPandas()
@@ -324,32 +358,32 @@ def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, ke
         frequent, net, _ = held.value
         ids, chunk = TokenIds(frequent), TaskContext.get().partitionId() << 32
         for batch in batches:
-            kept, own, places = batch.column("kept"), [], []
-            met = Places()
-            for t in batch.column("text").to_pylist():
-                split = words_of(t)
-                own.append(ids.of(split))
-                shared = list(compress(split, (own[-1] >= ids.own).tolist()))
-                places.append(met.of(shared))
-            counts, sums = network_sums(net, own)
-            n = len(own)
+            kept, n = batch.column("kept"), len(batch)
             if not n:
                 continue
+            words, index, lengths = distinct_words(batch.column("text"))
+            own = ids.of(words)
+            sums = network_sums(net, own[index], lengths)
             # Rows of texts have keys that are no words, so that they spread over the join and match nothing.
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.full(n, chunk)), pa.array([f"\n{chunk} {i}" for i in range(n)], pa.string()),
-                lists(np.arange(n + 1), np.arange(n)), pa.nulls(n, pa.int32()), pa.array(sums), pa.array(counts), kept,
+                lists(np.arange(n + 1), np.arange(n)), pa.nulls(n, pa.int32()), pa.array(sums),
+                pa.array(lengths, pa.int64()), kept,
             ], parts.names)
-            if met:
-                every = np.concatenate(places)
-                order = np.argsort(every, kind="stable")
-                ends = np.searchsorted(every[order], np.arange(len(met) + 1))
-                texts = np.repeat(np.arange(n), [len(p) for p in places])[order]
-                m = len(met)
-                octets = np.array([len(w.encode()) for w in met], float)
+            shared = np.flatnonzero(own >= ids.own)
+            m = len(shared)
+            if m:
+                met = words.take(pa.array(shared))
+                number = np.full(len(words), -1, np.int64)
+                number[shared] = np.arange(m)
+                # The texts of each word, in the order of the words: numbers of both in one.
+                both = number[index] << 32 | np.repeat(np.arange(n), lengths)
+                both = np.sort(both[both >= 0])
+                ends = np.searchsorted(both, np.arange(m + 1) << 32)
+                octets = pc.binary_length(met).to_numpy().astype(float)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.full(m, chunk)), pa.array(list(met), pa.string()), lists(ends, texts),
-                    pa.array(ids.of(list(met)) - ids.own, pa.int32()), pa.array(-(octets + 1) * np.log(256)),
+                    pa.array(np.full(m, chunk)), met, lists(ends, both & 0xFFFFFFFF),
+                    pa.array(own[shared] - ids.own, pa.int32()), pa.array(-(octets + 1) * np.log(256)),
                     pa.nulls(m, pa.int64()), pa.nulls(m, kept.type),
                 ], parts.names)
             chunk += 1
@@ -375,38 +409,15 @@ def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, ke
     return out.select("kept.*", F.struct("log_likelihood", "tokens").alias(name))
 
 
-class Places(dict):
-    """Words in the order in which they are first met."""
-
-    def __missing__(self, word: str) -> int:
-        made = self[word] = len(self)
-        return made
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-
-
 def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
-def network_sums(net: dict, own: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and summed log probabilities of ids by the network, for each text."""
-    counts = np.array([len(x) for x in own], np.int64)
-    sums = np.zeros(len(own))
-    for group in grouped(counts):
-        row, at = framed([own[i] for i in group], outside(net))
-        owner = np.repeat(group, counts[group])
-        for first in range(0, len(at), BATCH):
-            part = slice(first, first + BATCH)
-            logs = log_probabilities(net, row, at[part]).astype(float)
-            np.add.at(sums, owner[part], logs)
-    return counts, sums
-
-
-def grouped(sizes: np.ndarray) -> Iterator[np.ndarray]:
-    """Runs of neighbouring texts with about 16 batches of tokens."""
-    run = np.cumsum(sizes) // (16 * BATCH)
-    for part in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(run)) + 1):
-        if len(part) and sizes[part].sum():
-            yield part
+def network_sums(net: dict, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Summed log probabilities of ids by the network, for each of the texts that lie behind each other."""
+    row, at = framed_row(ids, lengths, outside(net))
+    logs = np.empty(len(at))
+    for first in range(0, len(at), BATCH):
+        logs[first : first + BATCH] = log_probabilities(net, row, at[first : first + BATCH])
+    # Counts of no places at all would be integers.
+    return np.bincount(np.repeat(np.arange(len(lengths)), lengths), logs, minlength=len(lengths)).astype(float)
