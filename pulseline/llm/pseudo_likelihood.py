@@ -48,6 +48,8 @@ STEP = 0.08
 BLOCK = 2_048
 #: Tokens read before a task trains on them, and bytes of words counted before it adds them up and hands them on.
 HELD_TOKENS, HELD_BYTES = 16 * BATCH, 32 << 20
+#: Bytes of rows scored together (the longest row alone may be more); their distinct words are joined once.
+CHUNK_BYTES = 8 << 20
 #: Logits up to this size need no shift: float32 holds their exponentials and all ratios of them.
 STEEP = 40
 
@@ -339,8 +341,8 @@ def bucket_totals(words: DataFrame, frequent: list[str], least: int) -> np.ndarr
 def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, keep: list[str] | None = None) -> DataFrame:
     """Adds struct(log_likelihood, tokens) of `text` under a fitted model to the columns `keep`, or to all columns.
 
-    Each batch of texts is scored by the network and hands on its distinct words without a row by themselves, each with
-    the places of its texts. These are joined with the word counts, and go back to their batch, where texts add them up.
+    Each chunk of texts is scored by the network and hands on its distinct words without a row by themselves, each with
+    the places of its texts. These are joined with the word counts, and go back to their chunk, where texts add them up.
     """
     frequent, net, words, totals = model
     spark = bound_batches(df.sparkSession)
@@ -357,10 +359,8 @@ def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, ke
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, net, _ = held.value
         ids, chunk = TokenIds(frequent), TaskContext.get().partitionId() << 32
-        for batch in batches:
+        for batch in in_chunks(batches):
             kept, n = batch.column("kept"), len(batch)
-            if not n:
-                continue
             words, index, lengths = distinct_words(batch.column("text"))
             own = ids.of(words)
             sums = network_sums(net, own[index], lengths)
@@ -409,6 +409,20 @@ def with_pseudo_likelihood(df: DataFrame, text: str, name: str, model: tuple, ke
     return out.select("kept.*", F.struct("log_likelihood", "tokens").alias(name))
 
 
+def in_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together to CHUNK_BYTES; the larger a chunk, the more of its words are met again in it."""
+    held, size = [], 0
+    for batch in batches:
+        if len(batch):
+            held.append(batch)
+            size += batch.nbytes
+        if size >= CHUNK_BYTES:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def lists(ends: np.ndarray, values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 

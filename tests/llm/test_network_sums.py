@@ -116,3 +116,27 @@ def test_scores_equal_plain_sums(spark, odd):
                     want += np.log((counts[w] + spelled) / (n + d + 1))
             n, score = scores[text]
             assert n == len(split) and abs(score - want) <= 0.06 + 1e-4 * abs(want)
+
+
+def test_chunks_hold_every_row_and_share_words(spark, odd, monkeypatch):
+    """Small batches are put together, so a word that many of them hold is joined once; scores stay what they are."""
+    monkeypatch.setattr(p, "CHUNK_BYTES", 1000)
+    batches = [pa.record_batch({"i": pa.array(range(k, k + n))}) for k, n in ((0, 40), (40, 0), (40, 90), (130, 1), (131, 7))]
+    chunks = list(p.in_chunks(iter(batches)))
+    assert [len(c) for c in chunks] == [130, 8] and sum([c["i"].to_pylist() for c in chunks], []) == list(range(138))
+    assert list(p.in_chunks(iter(batches[1:2]))) == []
+    monkeypatch.undo()
+    texts = odd.select("text").coalesce(1)
+    model = p.fit_network(texts)
+    size, found = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before = spark.conf.get(size)
+    try:
+        for rows in ("2", "10000"):
+            spark.conf.set(size, rows)
+            scored = p.with_pseudo_likelihood(texts, "text", "s", model)
+            found.append(sorted((r["text"] or "", r["s"]["tokens"], r["s"]["log_likelihood"]) for r in scored.collect()))
+    finally:
+        spark.conf.set(size, before)
+    assert len(found[0]) == texts.count() == len(found[1])
+    for small, large in zip(*found, strict=True):
+        assert small[:2] == large[:2] and np.isclose(small[2], large[2], rtol=1e-6)
