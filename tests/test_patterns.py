@@ -162,3 +162,18 @@ def test_many_hot_machines_have_few_stretches(spark, monkeypatch):
     whole = plan_ranges(readings, "arrival_ts", min_ranges=1)
     assert got == rows(patterns.warning_held(readings, "10 minutes", time="arrival_ts", ranges=whole))
     assert len(got) > 50
+
+
+def test_a_hot_machine_above_the_limit_is_joined_in_a_short_tree(spark, monkeypatch):
+    """Its stretches are counted by its own readings, not by those of the others."""
+    picker = random.Random(6)
+    made = []
+    for i in range(4000):
+        name = "hot" if i % 4 == 0 else f"m{i % 60}"
+        made.append((name, at(i), i, "运行", 39.0 if picker.random() < 0.97 else 20.0))
+    readings = spark.createDataFrame(made, SCHEMA)
+    got, levels = stretches_of(monkeypatch, patterns.temperature_held, readings, "30 seconds", 40)
+    assert levels[0] <= 61 + 4000 // 40 and levels[1:] and levels[1] <= 61 + levels[0] // patterns.FAN_IN
+    whole = plan_ranges(readings, "arrival_ts", min_ranges=1)
+    assert got == rows(patterns.temperature_held(readings, "30 seconds", ranges=whole))
+    assert sum(r[0] == "hot" for r in got) > 10
