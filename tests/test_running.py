@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pulseline.operators import decode, kpis, running, topk
+from pulseline.operators import ranges as ranges_module
 from pulseline.operators.ranges import RANGE, plan_ranges, with_range
 
 
@@ -132,3 +133,32 @@ def test_top_products_need_three(lines):
     details = details_of(lines, *three)
     assert rows(topk.top_k_text(topk.sku_quantity(details), 3, "t")) == [("t", "[a:2,b:2,c:2]")]
     assert rows(topk.top_k_text(topk.sku_amount(details), 3, "t")) == [("t", "[c:18.00,a:2.00,b:2.00]")]
+
+
+def test_the_driver_holds_a_bounded_number_of_cuts(sequence, monkeypatch):
+    """More ranges than that lie evenly between fewer cuts, in the order of the rows."""
+    monkeypatch.setattr(ranges_module, "MAX_CUTS", 8, raising=False)
+    cuts = plan_ranges(sequence, "arrival", target_rows=100, min_ranges=1)
+    assert len(cuts.cuts) < 8 and 30 <= cuts.count <= 60
+    tagged = with_range(sequence, "arrival", cuts)
+    assert tagged.columns == [*sequence.columns, RANGE]
+    bounds = tagged.groupBy(RANGE).agg(F.min("arrival"), F.max("arrival"), F.count("*")).orderBy(RANGE).collect()
+    assert all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+    assert len(bounds) >= 25 and sum(b[3] for b in bounds) == 3000 and max(b[3] for b in bounds) <= 2 * 3000 / 8
+    unknown = sequence.limit(5).withColumn("arrival", F.lit(None).cast("bigint"))
+    assert [r[0] for r in with_range(unknown, "arrival", cuts).select(RANGE).collect()] == [None] * 5
+
+
+@pytest.mark.parametrize("sent", [0, 1, 100])
+def test_many_hot_keys_stay_off_the_driver(sequence, monkeypatch, sent):
+    """Up to a number of them are broadcast, more are joined; either way the sums are right."""
+    monkeypatch.setattr(ranges_module, "MAX_CUTS", 8, raising=False)
+    monkeypatch.setattr(ranges_module, "MAX_SENT_KEYS", sent, raising=False)
+    cuts = plan_ranges(sequence, "arrival", target_rows=50, min_ranges=1)
+    got = running.running_sums(sequence, "arrival", {"total": F.col("amount")}, key="key", ranges=cuts)
+    window = Window.partitionBy("key").orderBy("arrival").rowsBetween(Window.unboundedPreceding, 0)
+    want = sequence.withColumn("total", F.sum("amount").over(window))
+    assert rows(got.select(want.columns)) == rows(want)
+    hot = ranges_module.hot_keys(sequence, "key", cuts)
+    plan = hot._jdf.queryExecution().analyzed().toString()
+    assert ("strategy=broadcast" in plan) == (hot.count() <= sent) and "LogicalRDD" in plan
