@@ -18,11 +18,10 @@ from pyspark.sql import functions as F
 from ..functions import codes
 from ..operators import decode, joins, patterns, routing, running, topk, windows
 from ..operators.ranges import plan_ranges
-from ..streaming import processors
+from ..streaming import processors, stages
 from ..streaming.folds import Ranking, RunningSums, fold_kpis
 from ..streaming.runner import Flow, Output
 from ..streaming.sinks import last_per_key
-from ..streaming.stages import staged_stream
 from . import cells
 
 Lines = dict[str, DataFrame]
@@ -76,17 +75,18 @@ def _staged(
 ) -> tuple[DataFrame, Flow]:
     """Rows for several flows, and the flow that decodes their lines.
 
-    A stream's lines are read and decoded once: each batch's rows and rejects, in `files` files if given, are put into
-    the job's folder, and the flows read them there, as many files a batch. Rejects are among them, so that the
-    watermark goes on with every line.
+    A stream's lines are read and decoded once: each batch's rows and rejects are put into the job's folder, and the
+    flows read them there. With `files`, a batch is in as many files for each core, and the flows read one batch at a
+    time. Rejects are among the rows, so that the watermark goes on with every line.
     """
     rejects = {f"rejects_{kind}": lambda batch, _: decode.rejects_of(batch)}
     labelled = decoded.labelled
     if not labelled.isStreaming:
         return decoded.rows, Flow(f"rejects_{kind}", labelled, rejects)
     place = f"{folder}/staged_{kind}"
+    files = stages.files_a_batch(labelled.sparkSession, place, files) if files else None
     options = {"maxFilesPerTrigger": str(files)} if files else {}
-    found = staged_stream(labelled.sparkSession, place, labelled.schema, **options).withWatermark("arrival_ts", delay)
+    found = stages.staged_stream(labelled.sparkSession, place, labelled.schema, **options).withWatermark("arrival_ts", delay)
     return decode.rows_of(found), Flow(f"staged_{kind}", labelled, rejects, stage=place, stage_files=files)
 
 

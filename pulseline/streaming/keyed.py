@@ -70,7 +70,12 @@ class Folder:
         if not self.system.rename(self._at(name), self._at(to)):
             raise FileExistsError(f"{self.path}/{to}")
 
-    def remove(self, name: str) -> None:
+    def copy(self, name: str, to: str) -> None:
+        self.java.org.apache.hadoop.fs.FileUtil.copy(
+            self.system, self._at(name), self.system, self._at(to), False, self.system.getConf()
+        )
+
+    def remove(self, name: str = "") -> None:
         self.system.delete(self._at(name), True)
 
 

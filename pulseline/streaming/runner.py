@@ -33,7 +33,7 @@ class Flow:
         return not self.outputs or bool(self.outputs.keys() & sinks.keys())
 
     def put(self, batch: DataFrame, batch_id: int) -> None:
-        append_once(batch if self.stage_files is None else batch.coalesce(self.stage_files), batch_id, self.stage)
+        append_once(batch, batch_id, self.stage, self.stage_files)
 
 
 def write_outputs(

@@ -522,3 +522,31 @@ def test_windows_of_a_stream_close_in_append_mode(spark, captured, tmp_path):
     got = drain(windows.produce_count_conditional(produce, "1 day"), tmp_path)
     want = windows.produce_count_conditional(decode.decode_produce(batch(spark, path)).rows, "1 day")
     assert rows(got) == rows(want.where(F.col("machine_id") != "flush"))
+
+
+def test_all_cores_write_a_staged_batch_and_readers_take_it_whole(spark, captured, tmp_path):
+    """Batches of the stage have the same number of files, also where some tasks have no rows."""
+    paths = {kind: captured(kind, 2) for kind in ("order", "order_detail")}
+    lines = {k: stream(spark, p) for k, p in paths.items()}
+    flows = jobs.build("orders_with_details", lines, str(tmp_path / "state"), size="30 days", delay="4000 days", files=1)
+    table = str(tmp_path / "table")
+    sink = {codes.TABLE_ORDER_JOIN: sinks.latest_sink(table, ["row_key"], joins.PAIR_ORDER)}
+    queries = run_job(flows, sink, checkpoint=str(tmp_path / "check"), trigger={"availableNow": True})
+    for query in queries:
+        query.awaitTermination()
+    cores = spark.sparkContext.defaultParallelism
+    batches = sorted((tmp_path / "state/orders_with_details/staged_order_detail").glob("batch_id=*"))
+    assert cores > 1 and len(batches) > 1
+    assert [len([f for f in b.iterdir() if f.name.startswith("part-")]) for b in batches] == [cores] * len(batches)
+    taken = [s["numInputRows"] for p in queries[-1].recentProgress for s in p["sources"] if "staged_order_detail" in s["description"]]
+    assert [n for n in taken if n] == [spark.read.parquet(str(b)).count() for b in batches]
+
+
+def test_files_of_a_batch_stay_over_restarts(spark, tmp_path):
+    folder = str(tmp_path / "stage")
+    files = stages.files_a_batch(spark, folder, 1)
+    assert stages.files_a_batch(spark, folder, 3) == files == spark.sparkContext.defaultParallelism
+    for batch_id in (0, 1, 1):
+        stages.append_once(spark.range(3 * batch_id).coalesce(1), batch_id, folder, files)
+    assert spark.read.parquet(folder).count() == 3
+    assert len(spark.read.parquet(folder).inputFiles()) == 2 * files
