@@ -42,8 +42,16 @@ def order_detail_window_join(
 
 
 def order_detail_pairs(orders: DataFrame, details: DataFrame, size: str = "1 second", *, time: str = "arrival_ts"):
-    """The pairs with the columns that order them. Streams carry a watermark on `time` on both sides."""
-    return _orders_side(orders, size, time).join(_details_side(details, size, time), ["id", "w"])
+    """The pairs with the columns that order them. Streams carry a watermark on `time` on both sides.
+
+    They meet on the last instant of the window, since a stream's state holds the keys of each row several times.
+    """
+
+    def narrow(side: DataFrame) -> DataFrame:
+        return side.withColumn("w", F.window_time("w"))
+
+    pairs = narrow(_orders_side(orders, size, time)).join(narrow(_details_side(details, size, time)), ["id", "w"])
+    return pairs.withColumn("w", F.window("w", size))
 
 
 def order_detail_latest(

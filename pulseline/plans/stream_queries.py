@@ -20,6 +20,7 @@ from ..session import shared_folder
 from ..sources import tables
 from ..sources.lines import read_lines
 from ..streaming import sinks
+from ..streaming.keyed import Folder
 from ..streaming.runner import run_job
 from . import jobs
 
@@ -40,26 +41,32 @@ SOURCES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def capture(lines: DataFrame, path: str, pieces: int = PIECES) -> None:
     """Write lines in `pieces` steps that follow the arrival order, as a topic would have received them."""
-    lines.write.parquet(f"{path}-all")
-    kept = lines.sparkSession.read.parquet(f"{path}-all")
+    kept = _kept(lines, path)
     low, high = kept.select(F.min("arrival"), F.max("arrival")).first()
     width = (high - low) // pieces + 1
     for i in range(pieces):
         first = low + i * width
-        kept.where(F.col("arrival").between(first, first + width - 1)).write.mode("append").parquet(path)
+        kept.where(F.col("arrival").between(first, first + width - 1)).write.mode("append").parquet(path, compression="zstd")
+    Folder(lines.sparkSession, f"{path}-all").remove()
+
+
+def _kept(lines: DataFrame, path: str) -> DataFrame:
+    """The lines, made once; they go when all steps are written."""
+    lines.write.parquet(f"{path}-all")
+    return lines.sparkSession.read.parquet(f"{path}-all")
 
 
 def capture_late(lines: DataFrame, path: str, late: str, pieces: int = 2 * PIECES) -> None:
     """Like `capture`, but each line is delivered later than it should be, by up to `late`."""
     by = F.unix_micros("arrival_ts") + F.pmod(F.xxhash64("arrival"), F.lit(duration_micros(late)))
-    lines.withColumn("delivered", by).write.parquet(f"{path}-all")
-    kept = lines.sparkSession.read.parquet(f"{path}-all")
+    kept = _kept(lines.withColumn("delivered", by), path)
     low, high = kept.select(F.min("delivered"), F.max("delivered")).first()
     width = (high - low) // pieces + 1
     for i in range(pieces):
         first = low + i * width
         part = kept.where(F.col("delivered").between(first, first + width - 1)).drop("delivered")
-        part.write.mode("append").parquet(path)
+        part.write.mode("append").parquet(path, compression="zstd")
+    Folder(lines.sparkSession, f"{path}-all").remove()
 
 
 def close_windows(path: str, spark: SparkSession) -> None:

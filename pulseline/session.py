@@ -14,6 +14,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
 }
 
 # Settings that have to be there when the session starts.

@@ -40,9 +40,12 @@ def write_outputs(
     batch: DataFrame, batch_id: int, outputs: dict[str, Output], sinks: dict[str, Sink], *, streamed: bool = False,
     stage: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
-    """A micro-batch is held while it is worked on: an output may use it twice, and its lines are read once."""
+    """A micro-batch is held while it is worked on: an output may use it twice, and its lines are read once.
+
+    One that is only staged is used once.
+    """
     wanted = {name: output for name, output in outputs.items() if name in sinks}
-    shared = streamed or len(wanted) > 1
+    shared = bool(wanted) and (streamed or len(wanted) > 1)
     if shared:
         batch.persist()
     try:

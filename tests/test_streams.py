@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from pulseline.functions import codes
 from pulseline.operators import decode, joins, patterns, windows
-from pulseline.plans import jobs
+from pulseline.plans import jobs, stream_queries
 from pulseline.sources import tables
 from pulseline.sources.lines import kafka_lines, read_lines
 from pulseline.streaming import processors, sinks, stages
-from pulseline.streaming.runner import run_job
+from pulseline.streaming.runner import run_job, write_outputs
 
 SF = str(TESTDATA / "sf0.001")
 KINDS = {
@@ -550,3 +550,32 @@ def test_files_of_a_batch_stay_over_restarts(spark, tmp_path):
         stages.append_once(spark.range(3 * batch_id).coalesce(1), batch_id, folder, files)
     assert spark.read.parquet(folder).count() == 3
     assert len(spark.read.parquet(folder).inputFiles()) == 2 * files
+
+
+class Held:
+    """Counts how often a micro-batch is held."""
+
+    held = 0
+
+    def persist(self):
+        self.held += 1
+
+    def unpersist(self):
+        pass
+
+
+@pytest.mark.parametrize("wanted", [False, True])
+def test_a_batch_that_is_only_staged_is_not_held(wanted):
+    batch, done = Held(), []
+    sink = {"rejects": lambda rows, batch_id, name: done.append(name)} if wanted else {}
+    outputs = {"rejects": lambda rows, batch_id: rows}
+    write_outputs(batch, 0, outputs, sink, streamed=True, stage=lambda rows, batch_id: done.append("stage"))
+    assert done == ["stage", *sink] and batch.held == wanted
+
+
+def test_captured_lines_lie_on_disk_once(lines, tmp_path):
+    made = lines([f"line {i}" for i in range(20)]).repartition(3)
+    for name, capture in (("a", stream_queries.capture), ("b", lambda rows, path: stream_queries.capture_late(rows, path, "5 seconds"))):
+        capture(made, str(tmp_path / name))
+        assert rows(made.sparkSession.read.parquet(str(tmp_path / name))) == rows(made)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["a", "b"]
